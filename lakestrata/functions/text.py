@@ -59,8 +59,8 @@ def before_first(col: Column, separator: str) -> Column:
 
 
 def b64url(col: Column) -> Column:
-    """URL-safe base64 with padding."""
-    return F.translate(F.base64(col), "+/", "-_")
+    """URL-safe base64 with padding, on one line."""
+    return F.translate(F.base64(col), "+/\r\n", "-_")
 
 
 def unb64url(col: Column) -> Column:

@@ -18,14 +18,19 @@ class MissingTableError(Exception):
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType | str | None = None, normalise: bool = True
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str | None = None,
+    normalise: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """CSV with a header row, UTF-8, quotes doubled inside quotes.
 
     Without a schema every column is text; NA spellings become NULL either
-    way, before values are converted.
+    way, before values are converted. Files whose values hold line breaks need
+    ``multi_line``, which reads each file as one split: keep such files small.
     """
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", False)
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
     if schema is None:
         raw = reader.csv(path)
         return normalise_na(raw) if normalise else raw

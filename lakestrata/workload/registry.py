@@ -6,7 +6,7 @@ import importlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 Runner = Callable[[SparkSession, str], DataFrame]
 
@@ -20,7 +20,7 @@ class Query:
 
 QUERIES: dict[str, Query] = {}
 
-MODULES = ["joins", "rows", "privacy"]
+MODULES = ["joins", "rows", "privacy", "quality", "star", "audit", "feeds", "streams", "storage"]
 
 # SQL twins of ``lakestrata.sources.domain``.
 DOMAIN_SQL = """
@@ -57,13 +57,18 @@ def with_domain(body: str, *ctes: str) -> str:
     return f"WITH {', '.join([DOMAIN_SQL.strip(), *ctes])} {body}"
 
 
+def _plain_column(field: T.StructField) -> Column:
+    col = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.DecimalType):
+        return col.cast("double").alias(field.name)
+    if isinstance(field.dataType, T.DateType):
+        return col.cast("string").alias(field.name)
+    return col
+
+
 def plain(df: DataFrame) -> DataFrame:
-    """Decimals as doubles, once everything is added up."""
-    return df.select(*[
-        F.col(f"`{f.name}`").cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType)
-        else F.col(f"`{f.name}`")
-        for f in df.schema
-    ])
+    """Decimals as doubles, once everything is added up, and dates as text."""
+    return df.select(*[_plain_column(f) for f in df.schema])
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Runner], Runner]:
