@@ -81,21 +81,21 @@ def _padded(number: Column, width: int) -> Column:
 
 
 def _cpf(digest: Column) -> Column:
-    """Nine digits of the digest and the two modulo-11 check digits."""
-    base = _padded(_digest_number(digest, 0), 9)
+    """Nine digits of the digest and the two modulo-11 check digits.
 
-    def check_digit(text: Column, length: int) -> Column:
-        total = sum(
-            (F.substring(text, i + 1, 1).cast("int") * (length + 1 - i) for i in range(length)),
-            start=F.lit(0),
-        )
-        return ((total * 10) % 11 % 10).cast("string")
-
-    ten = F.concat(base, check_digit(base, 9))
-    full = F.concat(ten, check_digit(ten, 10))
+    With digits d0..d8 the first check digit weighs them 10 down to 2 and the
+    second 11 down to 3 plus twice the first, so both follow from two sums.
+    """
+    base = _digest_number(digest, 0) % 10 ** 9
+    digits = [F.floor(base / 10 ** (8 - i)).cast("int") % 10 for i in range(9)]
+    plain_sum = sum(digits[1:], start=digits[0])
+    weighted = sum((d * (10 - i) for i, d in enumerate(digits)), start=F.lit(0))
+    first = weighted * 10 % 11 % 10
+    second = (weighted + plain_sum + first * 2) * 10 % 11 % 10
+    text = _padded(base, 9)
     return F.concat(
-        F.substring(full, 1, 3), F.lit("."), F.substring(full, 4, 3), F.lit("."),
-        F.substring(full, 7, 3), F.lit("-"), F.substring(full, 10, 2),
+        F.substring(text, 1, 3), F.lit("."), F.substring(text, 4, 3), F.lit("."), F.substring(text, 7, 3),
+        F.lit("-"), first.cast("string"), second.cast("string"),
     )
 
 
@@ -113,7 +113,7 @@ def mask_pseudonym(col: Column, kind: str, key: str) -> Column:
     digest = F.sha2(F.concat(F.lit(f"{key}|{kind}|"), col.cast("string")), 256)
     n = [_digest_number(digest, slot) for slot in range(4)]
     if kind == "name":
-        out = F.concat_ws(" ", _pick(FIRST_NAMES, n[0]), _pick(LAST_NAMES, n[1]))
+        out = F.concat(_pick(FIRST_NAMES, n[0]), F.lit(" "), _pick(LAST_NAMES, n[1]))
     elif kind == "email":
         out = F.concat(
             F.lower(_pick(FIRST_NAMES, n[0])), F.lit("."), F.lower(_pick(LAST_NAMES, n[1])),
@@ -131,7 +131,7 @@ def mask_pseudonym(col: Column, kind: str, key: str) -> Column:
         out = _cpf(digest)
     else:
         out = _pick(WORDS, n[0])
-    return F.when(col.isNotNull(), out)
+    return out
 
 
 def laplace_noise(

@@ -24,20 +24,23 @@ def with_sequence(
 ) -> DataFrame:
     """Number all rows 1..n in ``order`` without a single-task window.
 
-    Rows are range-partitioned by the whole order and written once; each part
-    is then numbered on its own and shifted by the rows in the parts before.
+    Rows are range-partitioned and sorted by the whole order once; the row's
+    place inside its partition is written with it, and shifted by the rows in
+    the partitions before. The table is moved once and read back once.
     """
     partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(partitions, *order).withColumn("_part", F.spark_partition_id())
-    ranged = cut_lineage(ranged, "sequence")
-    sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
+    ranged = df.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
+    # The id holds the partition above bit 33 and the row number below it.
+    placed = ranged.withColumn("_id", F.monotonically_increasing_id())
+    placed = cut_lineage(placed, "sequence").withColumns({
+        "_part": F.shiftright("_id", 33), "_local": F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)),
+    })
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
     # One row per range partition: bounded by ``partitions``.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    local = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
     return (
-        ranged.withColumn("_local", local)
-        .join(F.broadcast(offsets), "_part")
-        .withColumn(column, F.col("_offset") + F.col("_local"))
-        .drop("_part", "_local", "_offset")
+        placed.join(F.broadcast(offsets), "_part")
+        .withColumn(column, F.col("_offset") + F.col("_local") + 1)
+        .drop("_id", "_part", "_local", "_offset")
     )

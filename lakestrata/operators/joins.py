@@ -8,7 +8,8 @@ join, which shares its partitioning with neighbouring joins on the same key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -24,18 +25,30 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
 
 
 def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS, top: int = 64) -> list:
-    """Keys that hold at least about ``min_rows`` rows, ``top`` at most.
+    """Keys that hold at least about ``min_rows`` rows, ``top`` at most."""
+    return hot_keys_of({"": df}, key, min_rows, top)[""]
 
-    One pass over the key column with a mergeable frequent-items sketch: no
-    shuffle beyond one small sketch per task, and at most ``top`` values reach
-    the driver. The list only steers balance; results do not depend on it.
+
+def hot_keys_of(
+    tables: Mapping[str, DataFrame], key: str, min_rows: int = HOT_ROWS, top: int = 64
+) -> dict[str, list]:
+    """Hot keys of several tables that share a key column, in one job.
+
+    One pass over the key columns with a mergeable frequent-items sketch: no
+    shuffle beyond one small sketch per table and task, and at most ``top``
+    values per table reach the driver. The lists only steer balance; results
+    do not depend on them.
     """
-    found = (
-        df.where(F.col(key).isNotNull())
-        .agg(F.expr(f"approx_top_k(`{key}`, {int(top)}, {max(10_000, int(top))})").alias("items"))
-        .first()["items"]
-    )
-    return [row["item"] for row in (found or []) if row["count"] >= min_rows]
+    keys = reduce(DataFrame.unionByName, [
+        df.where(F.col(key).isNotNull()).select(F.lit(name).alias("_table"), F.col(key).alias("_key"))
+        for name, df in tables.items()
+    ])
+    sketch = F.expr(f"approx_top_k(_key, {int(top)}, {max(10_000, int(top))})")
+    found = {
+        row["_table"]: [item["item"] for item in row["items"] if item["count"] >= min_rows]
+        for row in keys.groupBy("_table").agg(sketch.alias("items")).collect()
+    }
+    return {name: found.get(name, []) for name in tables}
 
 
 def _salt(columns: Sequence[str], salts: int) -> Column:

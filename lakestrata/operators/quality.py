@@ -153,18 +153,25 @@ def validate(df: DataFrame, suite: Sequence[Rule], examples: int = 0) -> DataFra
     )
     if not examples:
         return results
-    return results.join(_examples(df, suite, fails, examples), "rule_id", "left")
+    # Only rules that failed are looked at again. The counts are one row per
+    # rule, so they pass through the driver.
+    counted_rows = results.collect()
+    results = df.sparkSession.createDataFrame(counted_rows, results.schema)
+    failed = [row["rule_id"] for row in counted_rows if row["unexpected"]]
+    if not failed:
+        return results.withColumn("examples", F.lit(None).cast("array<string>"))
+    return results.join(_examples(df, suite, {i: fails[i] for i in failed}, examples), "rule_id", "left")
 
 
-def _examples(df: DataFrame, suite: Sequence[Rule], fails: Sequence[Column], n: int) -> DataFrame:
+def _examples(df: DataFrame, suite: Sequence[Rule], fails: Mapping[int, Column], n: int) -> DataFrame:
     """The ``n`` smallest distinct offending values per rule, as text.
 
     Only failing (rule, value) pairs leave the scan, repeated values are
     merged before the shuffle, and each task forwards at most ``n`` per rule.
     """
     pairs = F.array_compact(F.array(*[
-        F.when(bad, F.struct(F.lit(i).alias("rule_id"), F.col(rule["column"]).cast("string").alias("value")))
-        for i, (rule, bad) in enumerate(zip(suite, fails))
+        F.when(bad, F.struct(F.lit(i).alias("rule_id"), F.col(suite[i]["column"]).cast("string").alias("value")))
+        for i, bad in fails.items()
     ]))
     distinct = df.select(F.explode(pairs).alias("p")).select("p.*").where("value is not null").distinct()
     rank = F.row_number().over(Window.partitionBy("rule_id").orderBy("value"))

@@ -11,25 +11,31 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from lakestrata import constants as K
 from lakestrata.operators.filters import project
-from lakestrata.operators.joins import HOT_ROWS, hot_keys, left_join
+from lakestrata.operators.joins import HOT_ROWS, hot_keys_of, left_join
 
 Tables = Mapping[str, DataFrame]
 
 
-def customers_with_orders(customers: DataFrame, orders: DataFrame) -> DataFrame:
-    """customers left join orders, as matched rows plus customers without orders.
+def buyers_and_idle(customers: DataFrame, orders: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The two parts of customers left join orders: matched rows, and customers
+    without orders.
 
     In the inner part adaptive execution may split a customer with very many
     orders (it may not on the right of an outer join), and the anti part only
-    sees one row per ordering customer.
+    sees one row per buyer.
     """
     matched = customers.join(orders, "customer_id", "inner")
-    buyers = orders.select("customer_id").distinct()
-    idle = customers.join(buyers, "customer_id", "left_anti")
+    idle = customers.join(orders.select("customer_id").distinct(), "customer_id", "left_anti")
+    return matched, idle
+
+
+def customers_with_orders(customers: DataFrame, orders: DataFrame) -> DataFrame:
+    """customers left join orders."""
+    matched, idle = buyers_and_idle(customers, orders)
     return matched.unionByName(idle, allowMissingColumns=True)
 
 
@@ -50,13 +56,6 @@ def reviews_per_order(reviews: DataFrame) -> DataFrame:
     )
 
 
-def _join_order(left: DataFrame, right: DataFrame, null_keys: str, hot_rows: int | None) -> DataFrame:
-    hot = None
-    if null_keys == "sql" and hot_rows:
-        hot = hot_keys(right, "order_id", hot_rows)
-    return left_join(left, right, "order_id", null_keys=null_keys, hot=hot)
-
-
 def consolidate(
     tables: Tables,
     driving: str = "customers",
@@ -75,36 +74,40 @@ def consolidate(
     if mode not in ("fanout", "preaggregate"):
         raise ValueError("mode is 'fanout' or 'preaggregate'")
     if driving == "orders":
-        tables = {
-            name: project(tables[name], _order_first_columns(tables[name], name)) for name in K.ORDER_FIRST_COLUMNS
-        }
-    payments, reviews, per_order_rows = tables["payments"], tables.get("reviews"), hot_rows
+        tables = {name: project(tables[name], _order_first_columns(tables[name], name)) for name in K.ORDER_FIRST_COLUMNS}
+    else:
+        tables = {name: tables[name] for name in ("customers", "orders", "payments", "items", "products")}
     if mode == "preaggregate":
-        payments = payments_per_order(payments)
-        reviews = None if reviews is None else reviews_per_order(reviews)
-        per_order_rows = None  # one row per order: nothing left to salt
+        tables["payments"] = payments_per_order(tables["payments"])
+        if "reviews" in tables:
+            tables["reviews"] = reviews_per_order(tables["reviews"])
+
+    # What is already one row per order needs no salt.
+    many = ["items"] if mode == "preaggregate" else [t for t in ("payments", "items", "reviews") if t in tables]
+    hot: dict[str, list] = {}
+    if hot_rows and null_keys == "sql":
+        hot = hot_keys_of({name: tables[name] for name in many}, "order_id", hot_rows)
+
+    def per_order(left: DataFrame, name: str, right: DataFrame) -> DataFrame:
+        return left_join(left, right, "order_id", null_keys=null_keys, hot=hot.get(name))
 
+    customers, orders, items, products = (tables[t] for t in ("customers", "orders", "items", "products"))
     if driving == "orders":
-        spine = left_join(tables["orders"], tables["customers"], "customer_id", null_keys=null_keys)
-        wide = _join_order(spine, payments, null_keys, per_order_rows)
-        wide = _join_order(wide, tables["items"], null_keys, hot_rows)
-        wide = left_join(wide, tables["products"], "product_id", null_keys=null_keys)
-        return _join_order(wide, reviews, null_keys, per_order_rows)
+        wide = left_join(orders, customers, "customer_id", null_keys=null_keys)
+        wide = per_order(wide, "payments", tables["payments"])
+        wide = per_order(wide, "items", items)
+        wide = left_join(wide, products, "product_id", null_keys=null_keys)
+        return per_order(wide, "reviews", tables["reviews"])
 
-    items = tables["items"]
+    lines = left_join(items, products, "product_id", null_keys=null_keys)
     if null_keys == "match":
-        spine = left_join(tables["customers"], tables["orders"], "customer_id", null_keys="match")
-        lines = left_join(items, tables["products"], "product_id", null_keys="match")
-        return _join_order(_join_order(spine, payments, "match", None), lines, "match", None)
+        spine = left_join(customers, orders, "customer_id", null_keys="match")
+        return per_order(per_order(spine, "payments", tables["payments"]), "items", lines)
 
     # Customers without orders have no order key to join on: they skip the
     # order joins, which also keeps one huge NULL key out of them.
-    orders, customers = tables["orders"], tables["customers"]
-    matched = customers.join(orders, "customer_id", "inner")
-    hot = hot_keys(items, "order_id", hot_rows) if hot_rows else None
-    wide = _join_order(matched, payments, "sql", per_order_rows)
-    wide = left_join(wide, items_with_products(items, tables["products"]), "order_id", hot=hot)
-    idle = customers.join(orders.select("customer_id").distinct(), "customer_id", "left_anti")
+    matched, idle = buyers_and_idle(customers, orders)
+    wide = per_order(per_order(matched, "payments", tables["payments"]), "items", lines)
     return wide.unionByName(idle, allowMissingColumns=True)
 
 
@@ -116,25 +119,32 @@ def _order_first_columns(df: DataFrame, name: str) -> list[str]:
     return columns
 
 
-def sales_by_state(tables: Tables, state: Column | None = None) -> DataFrame:
+def sales_by_state(tables: Tables) -> DataFrame:
     """Fan-out sums per state without building the fan-out.
 
-    Rows and price of payments x items of one order follow from per-order
-    counts, so each table is reduced to one row per order before it is joined.
+    Rows and price of payments x items of one order follow from its counts,
+    so payments and items are reduced to one row per order, and orders to one
+    row per customer, before each is joined: every join is one to one, and a
+    customer or order with very many rows is merged before the shuffle.
     """
     paid = tables["payments"].groupBy("order_id").agg(F.count(F.lit(1)).alias("payment_rows"))
     lines = tables["items"].groupBy("order_id").agg(
         F.count(F.lit(1)).alias("item_rows"), F.sum("price").alias("item_price")
     )
-    spine = customers_with_orders(
-        tables["customers"].select("customer_id", "customer_state"),
-        tables["orders"].select("customer_id", "order_id"),
+    payment_rows = F.coalesce("payment_rows", F.lit(1))
+    per_customer = (
+        tables["orders"].select("order_id", "customer_id")
+        .join(paid, "order_id", "left")
+        .join(lines, "order_id", "left")
+        .groupBy("customer_id")
+        .agg(
+            F.sum(payment_rows * F.coalesce("item_rows", F.lit(1))).alias("rows"),
+            F.sum(F.col("item_price") * payment_rows).cast("decimal(38,2)").alias("price"),
+        )
     )
-    wide = spine.join(paid, "order_id", "left").join(lines, "order_id", "left")
-    payments = F.coalesce("payment_rows", F.lit(1))
-    state = F.col("customer_state") if state is None else state
-    return wide.groupBy(state.alias("customer_state")).agg(
-        F.sum(payments * F.coalesce("item_rows", F.lit(1))).alias("wide_rows"),
+    customers = tables["customers"].select("customer_id", "customer_state")
+    return customers.join(per_customer, "customer_id", "left").groupBy("customer_state").agg(
+        F.sum(F.coalesce("rows", F.lit(1))).alias("wide_rows"),
         F.count_distinct("customer_id").alias("customers"),
-        F.sum(F.col("item_price") * payments).cast("decimal(38,2)").alias("price_total"),
+        F.sum("price").cast("decimal(38,2)").alias("price_total"),
     )
