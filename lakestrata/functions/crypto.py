@@ -50,10 +50,10 @@ def decrypt_column(
         raise ValueError("on_missing is 'null' or 'error'")
     lookup = keys.select(F.col("version").alias(version_column), F.col("key_value").alias("_key"))
     joined = df.join(broadcast_if_small(lookup), version_column, "left")
-    key = F.col("_key")
+    plain = F.try_aes_decrypt(F.col(column), F.col("_key"), F.lit("GCM")).cast("string")
     if on_missing == "error":
-        key = F.coalesce(key, F.raise_error(F.lit("no key for a row's version")).cast("binary"))
-    plain = F.try_aes_decrypt(F.col(column), key, F.lit("GCM")).cast("string")
+        missing = F.raise_error(F.lit("no key for a row's version")).cast("string")
+        plain = F.when(F.col("_key").isNull(), missing).otherwise(plain)
     return joined.withColumn(column, plain).select(*df.columns)
 
 

@@ -73,7 +73,8 @@ def _digest_number(digest: Column, slot: int) -> Column:
 
 
 def _pick(words: list[str], number: Column) -> Column:
-    return F.element_at(F.array(*map(F.lit, words)), (number % len(words) + 1).cast("int"))
+    # ``get`` keeps a NULL index NULL; ``element_at`` does not.
+    return F.get(F.array(*map(F.lit, words)), (number % len(words)).cast("int"))
 
 
 def _padded(number: Column, width: int) -> Column:

@@ -201,16 +201,21 @@ def failed_rule_summary(results: DataFrame) -> DataFrame:
     return results.agg(F.array_join(F.sort_array(failed), ", ").alias("failed_rules"))
 
 
+def require_success(results: DataFrame) -> DataFrame:
+    """The results, or ``QualityGateError`` naming the failed rules."""
+    # One row per rule: the suite bounds what reaches the driver.
+    failed = results.where(~F.col("success")).orderBy("rule_id").collect()
+    if failed:
+        raise QualityGateError("; ".join(
+            f"{r['rule_type']}({r['column_name']}): {r['unexpected']} unexpected" for r in failed
+        ))
+    return results
+
+
 def quality_gate(df: DataFrame, suite: Sequence[Rule]) -> DataFrame:
     """Rule results; raises ``QualityGateError`` unless every rule passes."""
     results = validate(df, suite)
-    # One row per rule: the suite bounds what reaches the driver.
-    rows = results.orderBy("rule_id").collect()
-    failed = [r for r in rows if not r["success"]]
-    if failed:
-        text = "; ".join(f"{r['rule_type']}({r['column_name']}): {r['unexpected']} unexpected" for r in failed)
-        raise QualityGateError(text)
-    return df.sparkSession.createDataFrame(rows, results.schema)
+    return require_success(df.sparkSession.createDataFrame(results.collect(), results.schema))
 
 
 def quarantine(df: DataFrame, suite: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:

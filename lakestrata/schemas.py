@@ -4,24 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+STRING, INT, LONG, DOUBLE = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType()
+MONEY, NTZ = T.DecimalType(18, 2), T.TimestampNTZType()
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+
+def struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
 # Domain tables -------------------------------------------------------------
-CUSTOMERS = _struct(
-    "customer_id string, customer_unique_id string, customer_city string, customer_state string"
-)
-ORDERS = _struct(
-    "order_id string, customer_id string, order_status string, order_purchase_timestamp timestamp_ntz"
-)
-PAYMENTS = _struct("order_id string, payment_type string, payment_value decimal(18,2)")
-ITEMS = _struct(
-    "order_id string, order_item_id int, product_id string, price decimal(18,2), freight_value decimal(18,2)"
-)
-REVIEWS = _struct("order_id string, review_score int")
-PRODUCTS = _struct("product_id string, product_category_name string, product_weight_g int")
+CUSTOMERS = struct(customer_id=STRING, customer_unique_id=STRING, customer_city=STRING, customer_state=STRING)
+ORDERS = struct(order_id=STRING, customer_id=STRING, order_status=STRING, order_purchase_timestamp=NTZ)
+PAYMENTS = struct(order_id=STRING, payment_type=STRING, payment_value=MONEY)
+ITEMS = struct(order_id=STRING, order_item_id=INT, product_id=STRING, price=MONEY, freight_value=MONEY)
+REVIEWS = struct(order_id=STRING, review_score=INT)
+PRODUCTS = struct(product_id=STRING, product_category_name=STRING, product_weight_g=INT)
 
 DOMAIN = {
     "customers": CUSTOMERS,
@@ -33,27 +30,23 @@ DOMAIN = {
 }
 
 # Landed feeds --------------------------------------------------------------
-INDICATOR = _struct("data string, valor string")
+INDICATOR = struct(data=STRING, valor=STRING)
 INDICATOR_DOC = T.ArrayType(INDICATOR)
-WEATHER_DOC = _struct(
-    "main struct<temp:double,humidity:int,pressure:int>,"
-    "weather array<struct<description:string>>,"
-    "wind struct<speed:double>"
+WEATHER_DOC = struct(
+    main=struct(temp=DOUBLE, humidity=INT, pressure=INT),
+    weather=T.ArrayType(struct(description=STRING)),
+    wind=struct(speed=DOUBLE),
 )
 
-# Events and processed events ------------------------------------------------
-SALES_EVENT = _struct(
-    "timestamp string, customer_state string, price string, order_id string, event_sequence_id bigint"
-)
+# Sales events ----------------------------------------------------------------
+SALES_EVENT = struct(timestamp=STRING, customer_state=STRING, price=STRING, order_id=STRING, event_sequence_id=LONG)
 SALES_REQUIRED = ["customer_state", "price", "order_id", "timestamp"]
 
 # Governance -----------------------------------------------------------------
-AUDIT = _struct(
-    "timestamp timestamp_ntz, level string, dag_id string, task_id string, user string, action string,"
-    "details string, compliance_status string, risk_level string, service string,"
-    "error_message string, stack_trace_needed boolean"
+AUDIT = struct(
+    timestamp=NTZ, level=STRING, dag_id=STRING, task_id=STRING, user=STRING, action=STRING, details=STRING,
+    compliance_status=STRING, risk_level=STRING, service=STRING, error_message=STRING,
+    stack_trace_needed=T.BooleanType(),
 )
 AUDIT_COLUMNS = AUDIT.fieldNames()
-KEY_HISTORY = _struct(
-    "version string, key_value binary, created_at timestamp_ntz, expires_at timestamp_ntz"
-)
+KEY_HISTORY = struct(version=STRING, key_value=T.BinaryType(), created_at=NTZ, expires_at=NTZ)

@@ -103,5 +103,6 @@ BUILDERS = {
 }
 
 
-def domain_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: build(spark, sf_dir) for name, build in BUILDERS.items()}
+def domain_tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
+    """The named domain tables, all six without a name."""
+    return {name: BUILDERS[name](spark, sf_dir) for name in names or BUILDERS}

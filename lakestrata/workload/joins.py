@@ -75,7 +75,7 @@ def sales_by_masked_state(spark, sf_dir):
 SELECT c.customer_id, customer_state, order_id, order_status
 FROM d_customers c LEFT JOIN (SELECT * FROM d_orders WHERE order_status = 'P') o ON c.customer_id = o.customer_id"""))
 def customers_left_pending_orders(spark, sf_dir):
-    tables = domain_tables(spark, sf_dir)
+    tables = domain_tables(spark, sf_dir, "customers", "orders")
     pending = tables["orders"].where("order_status = 'P'").select("customer_id", "order_id", "order_status")
     return customers_with_orders(tables["customers"].select("customer_id", "customer_state"), pending)
 
@@ -85,7 +85,7 @@ SELECT i.product_id, order_id, order_item_id, CAST(price AS DOUBLE) AS price,
        CAST(freight_value AS DOUBLE) AS freight_value, product_category_name, product_weight_g
 FROM d_items i LEFT JOIN d_products r ON i.product_id = r.product_id"""))
 def items_left_products(spark, sf_dir):
-    tables = domain_tables(spark, sf_dir)
+    tables = domain_tables(spark, sf_dir, "items", "products")
     return items_with_products(tables["items"], tables["products"])
 
 
@@ -93,7 +93,7 @@ def items_left_products(spark, sf_dir):
 SELECT o.order_id, order_status, payment_type, CAST(payment_value AS DOUBLE) AS payment_value, payment_sequential
 FROM d_orders o LEFT JOIN d_payments p ON o.order_id = p.order_id"""))
 def orders_left_payments(spark, sf_dir):
-    tables = domain_tables(spark, sf_dir)
+    tables = domain_tables(spark, sf_dir, "orders", "payments")
     return left_join(tables["orders"].select("order_id", "order_status"), tables["payments"], "order_id")
 
 
@@ -101,7 +101,7 @@ def orders_left_payments(spark, sf_dir):
 SELECT order_id, CAST(sum(payment_value) AS DOUBLE) AS payment_value, count(*) AS payment_count
 FROM d_payments GROUP BY order_id"""))
 def payments_by_order(spark, sf_dir):
-    return payments_per_order(domain_tables(spark, sf_dir)["payments"])
+    return payments_per_order(domain_tables(spark, sf_dir, "payments")["payments"])
 
 
 @query("join_null_keys_match", """

@@ -15,7 +15,7 @@ from lakestrata.workload.registry import query, with_domain
 @query("project_columns", with_domain("""
 SELECT order_id, customer_id, order_status, order_purchase_timestamp FROM d_orders"""))
 def project_columns(spark, sf_dir):
-    return filters.project(domain_tables(spark, sf_dir)["orders"], K.ORDER_FIRST_COLUMNS["orders"])
+    return filters.project(domain_tables(spark, sf_dir, "orders")["orders"], K.ORDER_FIRST_COLUMNS["orders"])
 
 
 @query("map_columns", """
@@ -46,7 +46,7 @@ def normalise_na(spark, sf_dir):
 @query("filter_min_price", with_domain("""
 SELECT order_id, order_item_id, product_id, CAST(price AS DOUBLE) AS price FROM d_items WHERE price > 40000"""))
 def filter_min_price(spark, sf_dir):
-    items = domain_tables(spark, sf_dir)["items"].select("order_id", "order_item_id", "product_id", "price")
+    items = domain_tables(spark, sf_dir, "items")["items"].select("order_id", "order_item_id", "product_id", "price")
     return filters.filter_min(items, "price", 40_000)
 
 

@@ -151,7 +151,7 @@ JOIN (SELECT date_trunc('month', l_shipdate) + to_months({lag}) AS mes, avg(CAST
 
 def _correlation(spark, sf_dir, lag):
     """Monthly sales beside an indicator feed of (data, valor) texts."""
-    tables = domain_tables(spark, sf_dir)
+    tables = domain_tables(spark, sf_dir, "orders", "items")
     sales = tables["orders"].join(tables["items"], "order_id").groupBy(
         F.to_date(F.date_trunc("month", "order_purchase_timestamp")).alias("mes")
     ).agg(F.sum("price").alias("valor_total"))

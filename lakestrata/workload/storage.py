@@ -91,7 +91,7 @@ def upsert_partitions(spark, sf_dir):
 SELECT order_id, order_status, order_purchase_timestamp, strftime(order_purchase_timestamp, '%Y-%m') AS mes FROM d_orders"""))
 def silver_by_month(spark, sf_dir):
     root = work_path(spark, "silver-month")
-    orders = domain_tables(spark, sf_dir)["orders"].select("order_id", "order_status", "order_purchase_timestamp")
+    orders = domain_tables(spark, sf_dir, "orders")["orders"].select("order_id", "order_status", "order_purchase_timestamp")
     orders = orders.withColumn("mes", F.date_format("order_purchase_timestamp", "yyyy-MM"))
     files.write_layer(orders, root, "silver", "orders", ["mes"])
     schema = orders.schema
