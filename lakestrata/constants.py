@@ -54,6 +54,13 @@ AUDIT_PRESETS = {
     "WARNING": ("WARNING_EVENT", "LGPD_WARNING", "MEDIUM"),
     "ERROR": ("ERROR_EVENT", "LGPD_BREACH", "HIGH"),
 }
+# masking method -> (action, compliance status) of its audit row
+MASK_AUDIT = {
+    "hash": ("DATA_MASKED_HASH", "LGPD_PSEUDONYMIZED"),
+    "fake": ("DATA_MASKED_FAKE", "LGPD_PSEUDONYMIZED"),
+    "static": ("DATA_MASKED_STATIC", "LGPD_ANONYMIZED"),
+    "partial": ("DATA_MASKED_PARTIAL", "LGPD_PSEUDONYMIZED"),
+}
 UPLOAD_SERVICE = "MinIO/S3"
 TRANSFER_SERVICE = "MinIO/S3_Lifecycle"
 VALIDATION_SERVICE = "Data_Validation"

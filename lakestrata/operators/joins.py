@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 BROADCAST_ROWS = 100_000
 HOT_ROWS = 1_000_000
+HOT_KEYS = 1_000
+SKETCH_GROUPS = 256
 SALTS = 32
 
 
@@ -24,29 +26,40 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if small else df
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS, top: int = 64) -> list:
+def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS, top: int = HOT_KEYS) -> list:
     """Keys that hold at least about ``min_rows`` rows, ``top`` at most."""
     return hot_keys_of({"": df}, key, min_rows, top)[""]
 
 
 def hot_keys_of(
-    tables: Mapping[str, DataFrame], key: str, min_rows: int = HOT_ROWS, top: int = 64
+    tables: Mapping[str, DataFrame], key: str, min_rows: int = HOT_ROWS, top: int = HOT_KEYS
 ) -> dict[str, list]:
     """Hot keys of several tables that share a key column, in one job.
 
-    One pass over the key columns with a mergeable frequent-items sketch: no
-    shuffle beyond one small sketch per table and task, and at most ``top``
-    values per table reach the driver. The lists only steer balance; results
-    do not depend on them.
+    One pass over the key columns with mergeable frequent-items sketches. They
+    are merged in two steps, first in up to ``SKETCH_GROUPS`` tasks and then in
+    one, so that hundreds of thousands of tasks do not report to a single one.
+    At most ``top`` values per table reach the driver. The lists only steer
+    balance; results do not depend on them.
     """
     keys = reduce(DataFrame.unionByName, [
-        df.where(F.col(key).isNotNull()).select(F.lit(name).alias("_table"), F.col(key).alias("_key"))
+        df.where(F.col(key).isNotNull()).select(
+            F.lit(name).alias("_table"), F.col(key).alias("_key"),
+            (F.spark_partition_id() % SKETCH_GROUPS).alias("_group"),
+        )
         for name, df in tables.items()
     ])
-    sketch = F.expr(f"approx_top_k(_key, {int(top)}, {max(10_000, int(top))})")
+    tracked = 4 * top
+    merged = (
+        keys.groupBy("_table", "_group")
+        .agg(F.expr(f"approx_top_k_accumulate(_key, {tracked})").alias("sketch"))
+        .groupBy("_table")
+        .agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"))
+    )
+    estimates = merged.select("_table", F.expr(f"approx_top_k_estimate(sketch, {int(top)})").alias("items"))
     found = {
         row["_table"]: [item["item"] for item in row["items"] if item["count"] >= min_rows]
-        for row in keys.groupBy("_table").agg(sketch.alias("items")).collect()
+        for row in estimates.collect()
     }
     return {name: found.get(name, []) for name in tables}
 

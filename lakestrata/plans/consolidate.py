@@ -95,8 +95,12 @@ def consolidate(
     if driving == "orders":
         wide = left_join(orders, customers, "customer_id", null_keys=null_keys)
         wide = per_order(wide, "payments", tables["payments"])
-        wide = per_order(wide, "items", items)
-        wide = left_join(wide, products, "product_id", null_keys=null_keys)
+        if null_keys == "match":
+            # Orders without items meet a product without id: products last.
+            wide = left_join(per_order(wide, "items", items), products, "product_id", null_keys="match")
+        else:
+            # Products first, so all joins on the order share one partitioning.
+            wide = per_order(wide, "items", items_with_products(items, products))
         return per_order(wide, "reviews", tables["reviews"])
 
     lines = left_join(items, products, "product_id", null_keys=null_keys)

@@ -13,6 +13,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from lakestrata import constants as K
 from lakestrata.functions.masking import DEFAULT_POLICY, MaskRule, mask_columns
 from lakestrata.functions.time import ntz
 from lakestrata.operators import audit, quality
@@ -49,14 +50,13 @@ class Lake:
 
 def record(
     spark: SparkSession, lake: Lake, dag: str, task: str, action: str, message: str,
-    as_of: datetime | str, level: str = "INFO",
+    as_of: datetime | str, level: str = "INFO", compliance: str | None = None,
 ) -> None:
-    """Append one audit row for a pipeline step."""
+    """Append one audit row for a pipeline step; the level sets what is not given."""
     step = spark.createDataFrame(
-        [(level, dag, task, action, message)],
-        "level string, dag_id string, task_id string, action string, message string",
+        [(level, dag, task, action, message, compliance)],
+        "level string, dag_id string, task_id string, action string, message string, compliance_status string",
     ).withColumn("timestamp", ntz(as_of))
-    # The preset's own action is only a default, ours is kept.
     append_audit(audit.audit_rows(step, preset=True), lake.audit)
 
 
@@ -79,7 +79,9 @@ def consolidate_and_mask(
     write_layer(counted, lake.root, "silver", SALES, ["mes"])
     rows = seen.get["rows"]
     for column, rule in policy.items():
-        record(spark, lake, "consolidate", "mask", "DATA_MASKED", f"{column}: {rule.method}. {rule.reason}", as_of)
+        action, compliance = K.MASK_AUDIT.get(rule.method, ("DATA_MASKED", None))
+        message = f"{column}: {rule.method}. {rule.reason}"
+        record(spark, lake, "consolidate", "mask", action, message, as_of, compliance=compliance)
     record(spark, lake, "consolidate", "write", "CONSOLIDATION_WRITTEN", f"{rows} rows", as_of)
     return rows
 
@@ -97,6 +99,9 @@ def check_sales(
     rows = results.collect()
     results = spark.createDataFrame(rows, results.schema)
     append_audit(audit.audit_validations(results, SALES, as_of), lake.audit)
+    if quality.suite_summary(results).first()["below_threshold"]:
+        text = f"success rate below {K.SUCCESS_RATE_FLOOR:.0%}"
+        record(spark, lake, "gate", "validate", "VALIDATION_THRESHOLD_BREACH", text, as_of, "CRITICAL")
     return quality.require_success(results)
 
 

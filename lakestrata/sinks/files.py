@@ -84,8 +84,8 @@ def land_bronze(tables: Mapping[str, DataFrame | str | None], root: str, spark:
 
 def append_audit(rows: DataFrame, path: str) -> None:
     """Append audit rows, partitioned by day."""
-    day = F.to_date("timestamp").alias("event_date")
-    rows.select(*schemas.AUDIT_COLUMNS, day).write.mode("append").partitionBy("event_date").parquet(path)
+    dated = rows.select(*schemas.AUDIT_COLUMNS, F.to_date("timestamp").alias("event_date"))
+    dated.hint("rebalance", "event_date").write.mode("append").partitionBy("event_date").parquet(path)
 
 
 def append_new(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> None:

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from lakestrata import constants as K, schemas
 from lakestrata.functions.text import default_text, safe_number
 from lakestrata.functions.time import ntz
+from lakestrata.operators.audit import audit_rows
 from lakestrata.operators.filters import above
 
 
@@ -74,6 +75,31 @@ def split_invalid(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     return events.where(~is_invalid()), events.where(is_invalid())
 
 
+def sales_audit(events: DataFrame, as_of: datetime | str, minimum: float = K.MIN_PRICE) -> DataFrame:
+    """One audit row per event: processed, skipped by the rule, or invalid."""
+    price = safe_number(_price())
+    shown = F.format_string("%.2f", price)
+    state = default_text(F.col("customer_state"), K.UNKNOWN_STATE)
+    good = above(price, minimum)
+
+    def pick(invalid: str | Column, processed: str | Column, skipped: str | Column) -> Column:
+        parts = [p if isinstance(p, Column) else F.lit(p) for p in (invalid, processed, skipped)]
+        return F.when(is_invalid(), parts[0]).when(good, parts[1]).otherwise(parts[2])
+
+    return audit_rows(events.select(
+        ntz(as_of).alias("timestamp"),
+        pick("WARNING", "INFO", "INFO").alias("level"),
+        pick("STREAM_EVENT_INVALID_PRICE", "STREAM_EVENT_PROCESSED", "STREAM_EVENT_SKIPPED_RULE").alias("action"),
+        pick("LGPD_WARNING", "LGPD_PROCESSED", "LGPD_NA").alias("compliance_status"),
+        pick("MEDIUM", "INFO", "INFO").alias("risk_level"),
+        pick(
+            F.concat(F.lit("Evento com 'price' invalido: "), F.col("price").cast("string"), F.lit(". Pulando processamento.")),
+            F.concat(F.lit("State: "), state, F.lit(", Value: R$ "), shown),
+            F.concat(F.lit(f"Evento de venda ignorado (preco <= R$ {minimum}): R$ "), shown),
+        ).alias("message"),
+    ))
+
+
 def stream_counts(events: DataFrame, minimum: float = K.MIN_PRICE) -> list[Column]:
     """Aggregates consumed / processed / skipped / invalid."""
     price = safe_number(_price())

@@ -46,6 +46,23 @@ def flatten_weather_short(spark, sf_dir):
     return rows.where("temperatura is not null")
 
 
+@query("flatten_weather_collected", """
+SELECT event_id, 'cidade_' || user_id AS cidade, value AS temperatura, event_type AS condicao, ts AS data_coleta
+FROM events WHERE event_type <> 'error'""")
+def flatten_weather_collected(spark, sf_dir):
+    rows = feeds.flatten_weather(weather_documents(spark, sf_dir), 4)
+    return rows.where("temperatura is not null")
+
+
+@query("flatten_weather_pressure", """
+SELECT event_id, 'cidade_' || user_id AS cidade, value AS temperatura, event_type AS condicao,
+       CAST(user_id AS INTEGER) AS umidade, CAST(1000 + user_id AS INTEGER) AS pressao
+FROM events WHERE event_type <> 'error'""")
+def flatten_weather_pressure(spark, sf_dir):
+    rows = feeds.flatten_weather(weather_documents(spark, sf_dir), 5)
+    return rows.where("temperatura is not null")
+
+
 @query("malformed_documents", """
 SELECT event_id, 'cidade_' || user_id AS cidade FROM events WHERE event_type IN ('error', 'view')""")
 def malformed_documents(spark, sf_dir):

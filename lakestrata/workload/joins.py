@@ -135,7 +135,7 @@ def join_hot_keys_salted(spark, sf_dir):
     """The salted path on real data: the most frequent buyers count as hot."""
     orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_totalprice")
     customers = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_mktsegment").alias("segment"))
-    return left_join(customers, orders, "c_custkey", hot=hot_keys(orders, "c_custkey", min_rows=20))
+    return left_join(customers, orders, "c_custkey", hot=hot_keys(orders, "c_custkey", min_rows=14))
 
 
 @query("join_suffixes", """

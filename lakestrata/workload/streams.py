@@ -69,6 +69,21 @@ def sales_invalid(spark, sf_dir):
     return invalid.select("event_ts", "price", "order_id")
 
 
+@query("sales_audit_rows", f"""
+WITH {EVENT_CTE}, t AS (SELECT *, TRY_CAST(price AS DOUBLE) AS p FROM s)
+SELECT TIMESTAMP '{AS_OF}' AS timestamp, CASE WHEN p IS NULL THEN 'WARNING' ELSE 'INFO' END AS level,
+  'system' AS dag_id, 'system' AS task_id, 'airflow_process' AS user,
+  CASE WHEN p IS NULL THEN 'STREAM_EVENT_INVALID_PRICE' WHEN p > 100 THEN 'STREAM_EVENT_PROCESSED' ELSE 'STREAM_EVENT_SKIPPED_RULE' END AS action,
+  CASE WHEN p IS NULL THEN 'Evento com ''price'' invalido: ' || price || '. Pulando processamento.'
+       WHEN p > 100 THEN 'State: ' || coalesce(nullif(trim(customer_state), ''), 'UNKNOWN') || ', Value: R$ ' || printf('%.2f', p)
+       ELSE 'Evento de venda ignorado (preco <= R$ 100): R$ ' || printf('%.2f', p) END AS details,
+  CASE WHEN p IS NULL THEN 'LGPD_WARNING' WHEN p > 100 THEN 'LGPD_PROCESSED' ELSE 'LGPD_NA' END AS compliance_status,
+  CASE WHEN p IS NULL THEN 'MEDIUM' ELSE 'INFO' END AS risk_level, 'N/A' AS service, '' AS error_message,
+  false AS stack_trace_needed FROM t""")
+def sales_audit_rows(spark, sf_dir):
+    return sales.sales_audit(_as_sales(table(spark, sf_dir, "events")), AS_OF)
+
+
 @query("sales_stream_counts", f"""
 WITH {EVENT_CTE} SELECT count(*) AS consumed, count(*) FILTER (WHERE TRY_CAST(price AS DOUBLE) > 100) AS processed,
   count(*) FILTER (WHERE TRY_CAST(price AS DOUBLE) <= 100) AS skipped,
