@@ -14,7 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 BROADCAST_ROWS = 100_000
-HOT_ROWS = 1_000_000
+# Rows of one key that a single task still joins in seconds.
+HOT_ROWS = 5_000_000
 HOT_KEYS = 1_000
 SKETCH_GROUPS = 256
 SALTS = 32

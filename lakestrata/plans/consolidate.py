@@ -88,31 +88,35 @@ def consolidate(
     if hot_rows and null_keys == "sql":
         hot = hot_keys_of({name: tables[name] for name in many}, "order_id", hot_rows)
 
-    def per_order(left: DataFrame, name: str, right: DataFrame) -> DataFrame:
-        return left_join(left, right, "order_id", null_keys=null_keys, hot=hot.get(name))
+    def per_order(spine: DataFrame, parts: Tables) -> DataFrame:
+        """Left join the parts on the order, those with hot keys last: a salted
+        join leaves its rows in another partitioning."""
+        wide = spine
+        for name in sorted(parts, key=lambda name: bool(hot.get(name))):
+            wide = left_join(wide, parts[name], "order_id", null_keys=null_keys, hot=hot.get(name))
+        columns = [c for df in (spine, *parts.values()) for c in df.columns if c != "order_id"]
+        return wide.select("order_id", *columns)
 
     customers, orders, items, products = (tables[t] for t in ("customers", "orders", "items", "products"))
+    payments = {"payments": tables["payments"]}
     if driving == "orders":
-        wide = left_join(orders, customers, "customer_id", null_keys=null_keys)
-        wide = per_order(wide, "payments", tables["payments"])
+        spine = left_join(orders, customers, "customer_id", null_keys=null_keys)
+        reviews = {"reviews": tables["reviews"]}
         if null_keys == "match":
             # Orders without items meet a product without id: products last.
-            wide = left_join(per_order(wide, "items", items), products, "product_id", null_keys="match")
-        else:
-            # Products first, so all joins on the order share one partitioning.
-            wide = per_order(wide, "items", items_with_products(items, products))
-        return per_order(wide, "reviews", tables["reviews"])
+            wide = left_join(per_order(spine, payments | {"items": items}), products, "product_id", null_keys="match")
+            return per_order(wide, reviews)
+        # Products first, so all joins on the order share one partitioning.
+        return per_order(spine, payments | {"items": items_with_products(items, products)} | reviews)
 
-    lines = left_join(items, products, "product_id", null_keys=null_keys)
+    lines = {"items": left_join(items, products, "product_id", null_keys=null_keys)}
     if null_keys == "match":
-        spine = left_join(customers, orders, "customer_id", null_keys="match")
-        return per_order(per_order(spine, "payments", tables["payments"]), "items", lines)
+        return per_order(left_join(customers, orders, "customer_id", null_keys="match"), payments | lines)
 
     # Customers without orders have no order key to join on: they skip the
     # order joins, which also keeps one huge NULL key out of them.
     matched, idle = buyers_and_idle(customers, orders)
-    wide = per_order(per_order(matched, "payments", tables["payments"]), "items", lines)
-    return wide.unionByName(idle, allowMissingColumns=True)
+    return per_order(matched, payments | lines).unionByName(idle, allowMissingColumns=True)
 
 
 def _order_first_columns(df: DataFrame, name: str) -> list[str]:
