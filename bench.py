@@ -59,6 +59,8 @@ def main() -> None:
         .appName("lakestrata-bench")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Call-site capture for error messages costs as much as planning itself.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "12g"))
         .config("spark.sql.shuffle.partitions", cpus)
         # One file per table: cut it finely enough for all cores.

@@ -13,23 +13,24 @@ from lakestrata.functions.time import month_start
 def gold_sales(fact: DataFrame, clients: DataFrame, products: DataFrame, how: str = "rollup") -> DataFrame:
     """Sales by state x category x month with subtotals.
 
-    Sales are added up per client, product and month before the dimensions
-    are joined, so the joins and the grouping sets see far fewer rows.
+    Sales are added up at the finest level first, merged per task before the
+    shuffle; only those few rows are multiplied by the grouping sets.
     """
     if how not in ("rollup", "cube"):
         raise ValueError("how is 'rollup' or 'cube'")
-    base = (
-        fact.groupBy("cliente_id", "produto_id", month_start(F.col("data_venda")).alias("mes"))
+    keys = ["estado", "categoria", "mes"]
+    leaves = (
+        fact.select("cliente_id", "produto_id", "valor_total", "quantidade", month_start(F.col("data_venda")).alias("mes"))
+        .join(clients.select("cliente_id", "estado"), "cliente_id", "left")
+        .join(products.select("produto_id", "categoria"), "produto_id", "left")
+        .groupBy(*keys)
         .agg(
             F.sum("valor_total").alias("valor_total"),
             F.sum("quantidade").alias("quantidade"),
             F.count(F.lit(1)).alias("linhas"),
         )
-        .join(clients.select("cliente_id", "estado"), "cliente_id", "left")
-        .join(products.select("produto_id", "categoria"), "produto_id", "left")
     )
-    keys = ["estado", "categoria", "mes"]
-    grouped = base.rollup(*keys) if how == "rollup" else base.cube(*keys)
+    grouped = leaves.rollup(*keys) if how == "rollup" else leaves.cube(*keys)
     return grouped.agg(
         F.grouping_id().cast("int").alias("nivel"),
         F.sum("valor_total").cast("decimal(38,2)").alias("valor_total"),

@@ -18,21 +18,17 @@ def parse_monitor_log(lines: DataFrame, column: str = "value") -> DataFrame:
     details, line.
     """
     line = F.col(column)
-    time = F.try_to_timestamp(before_first(before_first(line, " - "), ","), F.lit(LOG_TIME))
-    pattern = r"^.*? - (.*?) - ([A-Z]+) - EVENT: (\S+) - (.*)$"
-    body = F.regexp_extract(line, pattern, 4)
-    details_at = F.lit(" - Details: ")
-
-    def group(n: int):
-        return F.nullif(F.regexp_extract(line, pattern, n), F.lit(""))
-
+    parts = F.split(line, " - ", 5)
+    time = F.try_to_timestamp(before_first(F.get(parts, F.lit(0)), ","), F.lit(LOG_TIME))
+    event, body = F.get(parts, F.lit(3)), F.get(parts, F.lit(4))
+    mark = " - Details: "
     return lines.select(
         time.cast("timestamp_ntz").alias("log_time"),
-        group(1).alias("logger"),
-        group(2).alias("level"),
-        group(3).alias("event_type"),
-        F.nullif(F.substring_index(body, " - Details: ", 1), F.lit("")).alias("message"),
-        F.when(F.contains(body, details_at), F.substring_index(body, " - Details: ", -1)).alias("details"),
+        F.get(parts, F.lit(1)).alias("logger"),
+        F.get(parts, F.lit(2)).alias("level"),
+        F.when(event.startswith("EVENT: "), F.substring_index(event, "EVENT: ", -1)).alias("event_type"),
+        F.substring_index(body, mark, 1).alias("message"),
+        F.when(body.contains(mark), F.substring_index(body, mark, -1)).alias("details"),
         line.alias("line"),
     ).where("log_time is not null")
 
