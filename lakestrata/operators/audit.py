@@ -155,9 +155,16 @@ def audit_summary(period: DataFrame) -> DataFrame:
     ).withColumn("taxa_conformidade_lgpd", percent(F.col("eventos_ok"), F.col("total_eventos"))).drop("eventos_ok")
 
 
+def _day_column(audit: DataFrame) -> str | None:
+    return "event_date" if "event_date" in audit.columns else None
+
+
 def audit_report(audit: DataFrame, start: datetime | str, end: datetime | str) -> dict[str, DataFrame]:
-    """The report of a closed period as named DataFrames."""
-    period = between_ts(audit, "timestamp", start, end)
+    """The report of a closed period as named DataFrames.
+
+    On the stored audit table only the period's days are read.
+    """
+    period = between_ts(audit, "timestamp", start, end, _day_column(audit)).drop("event_date")
     return {
         "resumo": audit_summary(period),
         "distribuicao_acoes": value_counts(period, "action"),
@@ -170,7 +177,7 @@ def audit_report(audit: DataFrame, start: datetime | str, end: datetime | str) -
 
 
 def audit_last_days(audit: DataFrame, days: int = 7, *, as_of: datetime | str) -> DataFrame:
-    return last_days(audit, "timestamp", days, as_of)
+    return last_days(audit, "timestamp", days, as_of, _day_column(audit))
 
 
 def authority_report(audit: DataFrame) -> DataFrame:

@@ -61,14 +61,24 @@ def drop_null(df: DataFrame, subset: Sequence[str]) -> DataFrame:
     return df.na.drop(subset=list(subset))
 
 
-def between_ts(df: DataFrame, column: str, start: datetime | str, end: datetime | str) -> DataFrame:
-    """Closed time range."""
-    return df.where(F.col(column).between(ntz(start), ntz(end)))
+def between_ts(
+    df: DataFrame, column: str, start: datetime | str, end: datetime | str, day_column: str | None = None
+) -> DataFrame:
+    """Closed time range; ``day_column`` names a date partition to prune by."""
+    start, end = ntz(start), ntz(end)
+    if day_column:
+        df = df.where(F.col(day_column).between(F.to_date(start), F.to_date(end)))
+    return df.where(F.col(column).between(start, end))
 
 
-def last_days(df: DataFrame, column: str, days: int, as_of: datetime | str) -> DataFrame:
+def last_days(
+    df: DataFrame, column: str, days: int, as_of: datetime | str, day_column: str | None = None
+) -> DataFrame:
     """Rows from ``as_of - days`` on, inclusive."""
-    return df.where(F.col(column) >= add_days(ntz(as_of), -days))
+    start = add_days(ntz(as_of), -days)
+    if day_column:
+        df = df.where(F.col(day_column) >= F.to_date(start))
+    return df.where(F.col(column) >= start)
 
 
 def filter_in(df: DataFrame, column: str, values: Sequence) -> DataFrame:
@@ -94,12 +104,19 @@ def filter_contains(df: DataFrame, column: str, text: str) -> DataFrame:
 
 
 def split_by_age(
-    df: DataFrame, column: str, days: int = K.HOT_DAYS, *, as_of: datetime | str
+    df: DataFrame, column: str, days: int = K.HOT_DAYS, *, as_of: datetime | str, day_column: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(hot, cold): cold rows are strictly older than ``days``.
 
     Rows without a timestamp stay hot, so the two parts cover the input.
-    Both filters reach the scan, where a date partition prunes.
+    ``day_column`` names the table's date partition: each part then reads only
+    its own days, and the day of the cutoff is read by both.
     """
-    cold = F.col(column) < add_days(ntz(as_of), -days)
-    return df.where(~cold | F.col(column).isNull()), df.where(cold)
+    cutoff = add_days(ntz(as_of), -days)
+    hot = (F.col(column) >= cutoff) | F.col(column).isNull()
+    cold = F.col(column) < cutoff
+    if day_column:
+        day = F.col(day_column)
+        hot = hot & ((day >= F.to_date(cutoff)) | day.isNull())
+        cold = cold & (day <= F.to_date(cutoff))
+    return df.where(hot), df.where(cold)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -110,8 +111,15 @@ def upsert_partitions(
     and the final overwrite can be repeated.
     """
     target = spark.read.parquet(path)
-    touched = batch.select(*partition_by).distinct()
-    affected = target.join(touched, list(partition_by), "left_semi")
+    # Partition values are metadata, as many as the batch has partitions; as
+    # literals they prune the scan.
+    touched = [
+        reduce(Column.__and__, [F.col(c).eqNullSafe(F.lit(row[c])) for c in partition_by])
+        for row in batch.select(*partition_by).distinct().collect()
+    ]
+    if not touched:
+        return
+    affected = target.where(reduce(Column.__or__, touched))
     staged = work_path(spark, "upsert")
     upsert(affected, batch, keys, order).write.parquet(staged)
     merged = spark.read.parquet(staged).hint("rebalance", *partition_by)

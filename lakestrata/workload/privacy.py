@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lakestrata.functions import crypto, masking
 from lakestrata.functions.masking import MaskRule, mask_columns
+from lakestrata.functions.time import add_days, version_stamp
 from lakestrata.operators.aggregates import masking_stats
 from lakestrata.plans.consolidate import consolidate
 from lakestrata.settings import cut_lineage
@@ -167,9 +168,14 @@ def rekey_roundtrip(spark, sf_dir):
 
 
 @query("expired_keys", """
-SELECT 'v' || r_regionkey AS version, TIMESTAMP '2024-01-01 00:00:00' + to_days(r_regionkey * 10) AS created_at
-FROM region WHERE TIMESTAMP '2024-01-01 00:00:00' + to_days(r_regionkey * 10) < TIMESTAMP '2024-02-20 00:00:00' - INTERVAL 30 DAY
-  AND r_regionkey <> 0""")
+SELECT DISTINCT 'v' || strftime(o_orderdate, '%Y%m%d%H%M%S') AS version, o_orderdate AS created_at FROM orders
+WHERE o_orderdate < TIMESTAMP '1999-01-31 00:00:00' - INTERVAL 90 DAY AND o_orderdate <> TIMESTAMP '1998-01-05 00:00:00'""")
 def expired(spark, sf_dir):
-    keys = demo_keys(spark, sf_dir)
-    return crypto.expired_keys(keys, 30, "2024-02-20 00:00:00", active="v0").select("version", "created_at")
+    """A key history with one version per order day; one old key is still active."""
+    created = F.col("o_orderdate")
+    keys = table(spark, sf_dir, "orders").select(
+        version_stamp(created).alias("version"), created.alias("created_at"),
+        add_days(created, 90).alias("expires_at"),
+    ).distinct()
+    old = crypto.expired_keys(keys, 90, "1999-01-31 00:00:00", active="v19980105000000")
+    return old.select("version", "created_at")

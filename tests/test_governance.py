@@ -120,6 +120,11 @@ def test_audit_table_is_pruned_by_day(spark, trail, tmp_path, capsys):
     assert back.drop("event_date").schema.simpleString() == schemas.AUDIT.simpleString() and back.count() == 9
     back.where("event_date = date'2024-01-15'").explain("formatted")
     assert "PartitionFilters: [isnotnull(event_date" in capsys.readouterr().out
+    report = audit.audit_report(back, "2024-01-01 00:00:00", "2024-01-31 23:59:59")
+    report["resumo"].explain("formatted")
+    assert "PartitionFilters: [isnotnull(event_date" in capsys.readouterr().out
+    assert first(report["resumo"])["total_eventos"] == 8 and "event_date" not in report["autoridade"].columns
+    assert audit.audit_last_days(back, 7, as_of="2024-02-07 23:59:59").count() == 2
 
 
 GOOD = '{"main":{"temp":21.5,"humidity":60,"pressure":1013},"weather":[{"description":"céu limpo"}],"wind":{"speed":3.2}}'

@@ -170,6 +170,14 @@ def test_unknown_versions(spark, keys):
     assert crypto.decrypt_column(wrong, "v", keys).first()["v"] is None
 
 
+def test_masking_key_stays_out_of_plans(spark, capsys):
+    df = spark.createDataFrame([("a", "b")], "customer_city string, customer_state string")
+    masked = mask_columns(df, key="very-private")
+    masked.explain(True)
+    masked.withColumn("nome", masking.mask_pseudonym(F.col("customer_city"), "nome", "very-private")).explain("formatted")
+    assert "very-private" not in capsys.readouterr().out
+
+
 def test_key_bytes_stay_out_of_plans(spark, keys, capsys):
     df = spark.createDataFrame([(1, "a")], "id int, v string")
     crypto.encrypt_column(df, "v", keys, "v1").explain(True)

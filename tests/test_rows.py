@@ -86,6 +86,9 @@ def test_age_split_boundary(spark):
     ).select(F.col("t").cast("timestamp_ntz").alias("t"))
     hot, cold = filters.split_by_age(df, "t", as_of="2024-01-31 00:00:00")
     assert hot.count() == 2 and str(cold.first()[0]) == "2023-12-31 23:59:59.999999"
+    dated = df.withColumn("day", F.to_date("t"))
+    parts = filters.split_by_age(dated, "t", as_of="2024-01-31 12:00:00", day_column="day")
+    assert [p.count() for p in parts] == [1, 2]
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
