@@ -13,7 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-BROADCAST_ROWS = 100_000
+BROADCAST_ROWS = 10_000
 # Rows of one key that a single task still joins in seconds.
 HOT_ROWS = 5_000_000
 HOT_KEYS = 1_000
@@ -22,7 +22,8 @@ SALTS = 32
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast only after a bounded count; otherwise leave the join to Spark."""
+    """Broadcast a narrow lookup only after a bounded count of its rows;
+    a larger one is left to Spark's own choice of join."""
     small = df.limit(max_rows + 1).count() <= max_rows
     return F.broadcast(df) if small else df
 

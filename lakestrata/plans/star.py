@@ -31,19 +31,28 @@ FACT_GRAIN = ["order_id", "product_id", "order_item_id"]
 LEGACY_GRAIN = ["order_id"]
 
 
+def _dimension(
+    source: DataFrame, key: str, mapping: Mapping[str, str | Column], defaults: Mapping[str, object], order: Sequence
+) -> DataFrame:
+    """One row per key, the first under ``order``.
+
+    The wide table repeats a dimension row many times: equal rows are merged
+    per task by hash before the few that are left are ranked.
+    """
+    dim = map_columns(source, mapping, defaults).where(F.col(key).isNotNull()).distinct()
+    return dedupe_first(dim, [key], order or [c for c in dim.columns if c != key])
+
+
 def build_dim_cliente(
     consolidated: DataFrame, mapping: Mapping[str, str | Column] = CLIENT_COLUMNS, order: Sequence = ()
 ) -> DataFrame:
-    """One row per customer, the first under ``order``."""
-    dim = map_columns(consolidated, mapping, CLIENT_DEFAULTS).where(F.col("cliente_id").isNotNull())
-    return dedupe_first(dim, ["cliente_id"], order or [c for c in dim.columns if c != "cliente_id"])
+    return _dimension(consolidated, "cliente_id", mapping, CLIENT_DEFAULTS, order)
 
 
 def build_dim_produto(
     consolidated: DataFrame, mapping: Mapping[str, str | Column] = PRODUCT_COLUMNS, order: Sequence = ()
 ) -> DataFrame:
-    dim = map_columns(consolidated, mapping, PRODUCT_DEFAULTS).where(F.col("produto_id").isNotNull())
-    return dedupe_first(dim, ["produto_id"], order or [c for c in dim.columns if c != "produto_id"])
+    return _dimension(consolidated, "produto_id", mapping, PRODUCT_DEFAULTS, order)
 
 
 def build_fato_vendas(

@@ -134,6 +134,13 @@ def test_append_and_upsert_tables(spark, tmp_path):
     assert untouched == {f: f.stat().st_mtime_ns for f in (tmp_path / "p" / "day=20").iterdir()}
 
 
+def test_layer_of_csv_files(spark, tmp_path):
+    root = str(tmp_path)
+    files.write_csv(spark.createDataFrame([("o1", 5), ("NA", 1)], schemas.REVIEWS), f"{root}/bronze/reviews")
+    back = sources.read_layer(spark, root, "bronze", "reviews", fmt="csv", schema=schemas.REVIEWS)
+    assert rows(back) == [("o1", 5), (None, 1)] and back.schema == schemas.REVIEWS
+
+
 def test_csv_round_trip_and_na(spark, tmp_path):
     path = str(tmp_path / "c")
     df = spark.createDataFrame([("a,b", 1, "ação"), ('q"q', None, "N/A"), ("back\\slash", 3, "x")], "s string, n int, t string")
