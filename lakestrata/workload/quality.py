@@ -21,7 +21,7 @@ SUITE = [
 ]
 
 WIDE = """
-w AS (SELECT o.order_id, o.customer_id, order_status, payment_type, order_item_id, price, freight_value
+w AS (SELECT o.order_id, c.customer_id, order_status, payment_type, order_item_id, price, freight_value
       FROM d_customers c LEFT JOIN d_orders o ON c.customer_id = o.customer_id
       LEFT JOIN d_payments p ON o.order_id = p.order_id LEFT JOIN d_items i ON o.order_id = i.order_id)"""
 

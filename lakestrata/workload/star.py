@@ -207,7 +207,8 @@ def regional_weather(spark, sf_dir):
 @query("lineage_rows", with_domain("""
 SELECT 'consolidate' AS stage, 'customers, items, orders' AS inputs,
        (SELECT count(*) FROM d_customers) + (SELECT count(*) FROM d_items) + (SELECT count(*) FROM d_orders) AS input_rows,
-       (SELECT count(*) FROM d_orders o LEFT JOIN d_items i ON o.order_id = i.order_id) AS output_rows
+       (SELECT count(*) FROM d_customers c LEFT JOIN d_orders o ON c.customer_id = o.customer_id
+        LEFT JOIN d_items i ON o.order_id = i.order_id) AS output_rows
 UNION ALL SELECT 'fact', 'items', (SELECT count(*) FROM d_items), (SELECT count(*) FROM fact)""", FACT))
 def lineage_rows(spark, sf_dir):
     tables = domain_tables(spark, sf_dir)
