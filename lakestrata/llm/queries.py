@@ -3,30 +3,86 @@ that computes the same."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakestrata.llm import decontaminate, line_dedup, ngram_join, packing, quality_gbt
-from lakestrata.llm.common import crc32_of, table
+from lakestrata.llm import (
+    chat, decontaminate, html_text, line_dedup, ngram_join, packing, pii, quality_gbt, secret_scan, winnowing,
+)
+from lakestrata.llm.common import Batches, crc32_of, pylist, table
 
 Runner = Callable[[SparkSession, str], DataFrame]
 
+# The queries' key for surrogates; a deployment passes its own to the operator.
+SURROGATE_KEY = "lakestrata surrogate key"
+
+
+def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.replace_entities(docs, SURROGATE_KEY)
+
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source stands for an owner, its texts of one language for a repository."""
+    return secret_scan.scan(
+        table(spark, sf_dir, "documents"), owner=F.col("source"), repository=F.concat_ws("/", "source", "lang")
+    )
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.with_edits(table(spark, sf_dir, "documents"))
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row per document and benchmark item it contains."""
     found = decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "n_words", "edits", "word_end")
 
 
+# A conversation of control strings alone, added to the table's own.
+CONTROL_CONVERSATION = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+CHAT_DIGEST = (
+    "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, rewritten_at int"
+)
+
+
+def _chat_digests(batches: Batches) -> Batches:
+    """What the formatted texts say, read back from them."""
+    sha = lambda text: hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
+    names = [c.split()[0] for c in CHAT_DIGEST.split(", ")]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int32()]
+    for batch in batches:
+        out: list[list] = [[] for _ in names]
+        columns = [pylist(batch, c) for c in ("conv_id", "formatted", "roles", "spans", "rewritten_at")]
+        for conv_id, formatted, roles, spans, rewritten in zip(*columns):
+            turns = chat.read_back(formatted)
+            loss = chat.loss_text(formatted, roles, spans)
+            said = "".join(f"{role}\n{text}\n" for role, text in turns)
+            row = (conv_id, len(turns), sha(said), len(loss), sha(loss), len(formatted), rewritten)
+            for column, value in zip(out, row):
+                column.append(value)
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
+
+
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text"
+    )
+    added = spark.createDataFrame(CONTROL_CONVERSATION, "conv_id long, turn long, role string, text string")
+    return chat.format_conversations(rows.unionByName(added)).mapInArrow(_chat_digests, CHAT_DIGEST)
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return line_dedup.drop_boilerplate(docs, F.col("source")).select("doc_id", "text", "n_lines", "n_dropped")
@@ -52,6 +108,10 @@ FROM cut
 """
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     forest = quality_gbt.train(docs, table(spark, sf_dir, "labels"))
@@ -62,8 +122,8 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Runner] = {
     run.__name__: run
     for run in (
-        op2_best_fit_packing, op4_ngram_jaccard_join, op6_benchmark_decontamination, op8_line_dedup,
-        op10_quality_classifier,
+        op1_pii_surrogates, op2_best_fit_packing, op3_secret_scan, op4_ngram_jaccard_join, op5_winnowing,
+        op6_benchmark_decontamination, op7_chat_formatting, op8_line_dedup, op9_html_text, op10_quality_classifier,
     )
 }
 SQL: dict[str, str] = {"op8_line_dedup": OP8_SQL}
