@@ -100,7 +100,7 @@ bad AS (
   WHERE h.n >= {line_dedup.MIN_PAGES} AND h.n > CAST({line_dedup.RATIO} AS DOUBLE) * t.pages GROUP BY h.host),
 cut AS (
   SELECT doc_id, text, string_split(body, chr(10)) AS all_lines,
-         list_filter(string_split(body, chr(10)), x -> NOT list_contains(coalesce(bad, []), trim(x))) AS kept
+         [x FOR x IN string_split(body, chr(10)) IF NOT list_contains(coalesce(bad, []), trim(x))] AS kept
   FROM d LEFT JOIN bad ON d.host IS NOT DISTINCT FROM bad.host)
 SELECT doc_id, CASE WHEN len(kept) < len(all_lines) THEN array_to_string(kept, chr(10)) ELSE text END AS text,
        CAST(len(all_lines) AS INTEGER) AS n_lines, CAST(len(all_lines) - len(kept) AS INTEGER) AS n_dropped
