@@ -18,12 +18,20 @@ from lakestrata.operators.joins import broadcast_if_small
 
 def _key_of(keys: DataFrame, version: str) -> Column:
     """Key bytes of one version; an unknown version fails the query."""
-    found = keys.where(F.col("version") == version).agg(F.max("key_value").alias("key_value"))
+    found = _one_key_each(keys.where(F.col("version") == version)).agg(F.max("key_value").alias("key_value"))
     return F.coalesce(
         found.scalar(), F.raise_error(F.lit(f"no key for version {version}")).cast("binary")
     )
 
 
+def _one_key_each(keys: DataFrame) -> DataFrame:
+    """One row per version; two different keys under one version are an error."""
+    clash = F.raise_error(F.concat(F.lit("several keys for version "), F.col("version"))).cast("binary")
+    return keys.groupBy("version").agg(F.min("key_value").alias("low"), F.max("key_value").alias("high")).select(
+        "version", F.when(F.col("low").eqNullSafe(F.col("high")), F.col("low")).otherwise(clash).alias("key_value")
+    )
+
+
 def _encrypted(col: Column, key: Column) -> Column:
     return F.aes_encrypt(col.cast("string").cast("binary"), key, F.lit("GCM"))
 
@@ -48,7 +56,7 @@ def decrypt_column(
     """
     if on_missing not in ("null", "error"):
         raise ValueError("on_missing is 'null' or 'error'")
-    lookup = keys.select(F.col("version").alias(version_column), F.col("key_value").alias("_key"))
+    lookup = _one_key_each(keys).select(F.col("version").alias(version_column), F.col("key_value").alias("_key"))
     joined = df.join(broadcast_if_small(lookup), version_column, "left")
     plain = F.try_aes_decrypt(F.col(column), F.col("_key"), F.lit("GCM")).cast("string")
     if on_missing == "error":
@@ -69,7 +77,7 @@ def rekey(
     stale = F.col(version_column) != new_version
     if old_version is not None:
         stale = F.col(version_column) == old_version
-    lookup = keys.select(F.col("version").alias(version_column), F.col("key_value").alias("_key"))
+    lookup = _one_key_each(keys).select(F.col("version").alias(version_column), F.col("key_value").alias("_key"))
     joined = df.join(broadcast_if_small(lookup), version_column, "left")
     old_key = F.coalesce(
         F.col("_key"), F.raise_error(F.lit("no key for a row's version")).cast("binary")

@@ -6,7 +6,7 @@ the JVM, and masking never adds a shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -141,12 +141,14 @@ def laplace_noise(
     epsilon: float,
     sensitivity: float,
     seed: int | None = None,
-    noise_key: tuple[str, str] | None = None,
+    noise_key: tuple[str | Sequence[str], str] | None = None,
 ) -> DataFrame:
     """Add Laplace(0, sensitivity / epsilon) noise to each value.
 
-    ``noise_key=(id_column, secret)`` draws the noise from a keyed digest of
-    the row id instead of ``rand``: repeatable whatever the partitioning.
+    ``noise_key=(id_columns, secret)`` draws the noise from a keyed digest of
+    the row's identity instead of ``rand``: repeatable whatever the
+    partitioning. The columns must tell rows apart; rows that agree in all of
+    them share a draw, and the differences of their values would be exact.
     Noise per row protects single values; it is no guarantee for aggregates
     that are computed afterwards from the same column.
     """
@@ -164,7 +166,8 @@ def laplace_noise(
     scale = sensitivity / epsilon
     if noise_key:
         row_id, secret = noise_key
-        digest = F.sha2(F.concat(F.col(row_id).cast("string"), F.lit(secret)), 256)
+        parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ([row_id] if isinstance(row_id, str) else row_id)]
+        digest = F.sha2(F.concat(F.concat_ws("|", *parts), F.lit(secret)), 256)
         bits = F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint").cast("double")
         unit = (bits + 0.5) / float(2 ** 52)
     else:
@@ -206,13 +209,22 @@ DEFAULT_POLICY = {
 }
 
 
-def mask_columns(df: DataFrame, policy: Mapping[str, MaskRule] = DEFAULT_POLICY, *, key: str) -> DataFrame:
-    """Mask several columns in one projection; the key is required."""
+def mask_columns(
+    df: DataFrame, policy: Mapping[str, MaskRule] = DEFAULT_POLICY, *, key: str, lenient: bool = False
+) -> DataFrame:
+    """Mask several columns in one projection; the key is required.
+
+    A column of the policy that the table lacks is an error, since the data it
+    should protect may be there under another name; ``lenient`` skips it.
+    """
     if not key:
         raise ValueError("masking key is required")
     unknown = sorted({rule.method for rule in policy.values()} - _BUILDERS.keys())
     if unknown:
         raise ValueError(f"unknown masking method: {', '.join(unknown)}")
+    absent = sorted(set(policy) - set(df.columns))
+    if absent and not lenient:
+        raise ValueError(f"the table lacks columns of the policy: {', '.join(absent)}")
     masked = {
         name: _BUILDERS[rule.method](F.col(name), name, key, **rule.options)
         for name, rule in policy.items()

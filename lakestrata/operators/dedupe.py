@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from lakestrata.settings import cut_lineage
 
 
+# Rows that one task of ``with_sequence`` sorts.
+SEQUENCE_ROWS = 2_000_000
+
+
 def dedupe_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """First row per key under an explicit order.
 
@@ -26,9 +30,12 @@ def with_sequence(
 
     Rows are range-partitioned and sorted by the whole order once; the row's
     place inside its partition is written with it, and shifted by the rows in
-    the partitions before. The table is moved once and read back once.
+    the partitions before. The table is moved once and read back once. Unless
+    given, the number of partitions grows with the rows, which are counted.
     """
-    partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if not partitions:
+        least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        partitions = max(least, -(-df.count() // SEQUENCE_ROWS))
     ranged = df.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
     # The id holds the partition above bit 33 and the row number below it.
     placed = ranged.withColumn("_id", F.monotonically_increasing_id())

@@ -29,7 +29,8 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
 
 
 def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS, top: int = HOT_KEYS) -> list:
-    """Keys that hold at least about ``min_rows`` rows, ``top`` at most."""
+    """Keys that hold at least about ``min_rows`` rows, and at least one in
+    ``top`` of all rows: there are never more than ``top`` of them."""
     return hot_keys_of({"": df}, key, min_rows, top)[""]
 
 
@@ -41,8 +42,10 @@ def hot_keys_of(
     One pass over the key columns with mergeable frequent-items sketches. They
     are merged in two steps, first in up to ``SKETCH_GROUPS`` tasks and then in
     one, so that hundreds of thousands of tasks do not report to a single one.
-    At most ``top`` values per table reach the driver. The lists only steer
-    balance; results do not depend on them.
+    A key counts as hot from ``min_rows`` rows on, or from one in ``top`` of
+    the table's rows if that is more. No more than ``top`` keys can hold so
+    many, so the list is complete. It only steers balance; results do not
+    depend on it.
     """
     keys = reduce(DataFrame.unionByName, [
         df.where(F.col(key).isNotNull()).select(
@@ -54,13 +57,13 @@ def hot_keys_of(
     tracked = 4 * top
     merged = (
         keys.groupBy("_table", "_group")
-        .agg(F.expr(f"approx_top_k_accumulate(_key, {tracked})").alias("sketch"))
+        .agg(F.expr(f"approx_top_k_accumulate(_key, {tracked})").alias("sketch"), F.count(F.lit(1)).alias("rows"))
         .groupBy("_table")
-        .agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"))
+        .agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"), F.sum("rows").alias("rows"))
     )
-    estimates = merged.select("_table", F.expr(f"approx_top_k_estimate(sketch, {int(top)})").alias("items"))
+    estimates = merged.select("_table", "rows", F.expr(f"approx_top_k_estimate(sketch, {int(top)})").alias("items"))
     found = {
-        row["_table"]: [item["item"] for item in row["items"] if item["count"] >= min_rows]
+        row["_table"]: [i["item"] for i in row["items"] if i["count"] >= max(min_rows, row["rows"] / top)]
         for row in estimates.collect()
     }
     return {name: found.get(name, []) for name in tables}
@@ -85,28 +88,35 @@ def left_join(
 ) -> DataFrame:
     """Left join on one column.
 
-    ``null_keys="match"`` joins NULL to NULL as data-frame merges do.
-    ``hot`` lists keys that are frequent on the right (see ``hot_keys``); each
-    must occur there. Rows of such a key are dealt over ``salts`` partitions.
+    ``null_keys="match"`` joins NULL to NULL as data-frame merges do; the NULL
+    key is then treated as a hot one. ``hot`` lists keys that are frequent on
+    the right (see ``hot_keys``); each must occur there. Rows of such a key are
+    dealt over ``salts`` partitions.
     """
-    if null_keys == "match":
-        renamed = right.withColumnRenamed(on, "_right_key")
-        return left.join(renamed, F.col(on).eqNullSafe(F.col("_right_key")), "left").drop("_right_key")
-    if null_keys != "sql":
+    if null_keys not in ("sql", "match"):
         raise ValueError("null_keys is 'sql' or 'match'")
-    if not hot:
+    match = null_keys == "match"
+    if not hot and not match:
         return left.join(right, on, "left")
 
-    is_hot = F.coalesce(F.col(on).isin(list(hot)), F.lit(False))
+    is_hot = F.coalesce(F.col(on).isin(list(hot or [])), F.lit(match))
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     spread_left = left.withColumn("_salt", F.explode(copies))
     spread_right = right.withColumns({
         "_salt": F.when(is_hot, _salt(right.columns, salts)).otherwise(F.lit(0)),
         "_hit": F.lit(True),
     })
-    joined = spread_left.join(spread_right, [on, "_salt"], "left")
     # A hot key always has partners, so a copy without one is an empty salt.
-    return joined.where(~is_hot | F.col("_hit")).drop("_salt", "_hit")
+    if not match:
+        joined = spread_left.join(spread_right, [on, "_salt"], "left")
+        return joined.where(~is_hot | F.col("_hit")).drop("_salt", "_hit")
+    # The NULL key may have none at all: then its first copy stays.
+    nulls = right.where(F.col(on).isNull()).limit(1).agg(F.count(F.lit(1)).alias("n")).scalar()
+    renamed = spread_right.withColumnsRenamed({on: "_right_key", "_salt": "_right_salt"})
+    same = F.col(on).eqNullSafe(F.col("_right_key")) & (F.col("_salt") == F.col("_right_salt"))
+    lonely = F.col(on).isNull() & (F.col("_salt") == 0) & (nulls == 0)
+    joined = spread_left.join(renamed, same, "left").where(~is_hot | F.col("_hit") | lonely)
+    return joined.drop("_salt", "_hit", "_right_key", "_right_salt")
 
 
 def join_with_suffixes(

@@ -1,24 +1,46 @@
-"""Insert-if-absent and upsert without a MERGE-capable table format."""
+"""Insert-if-absent and upsert without a MERGE-capable table format.
+
+A row with a NULL in a key has no key to conflict on. It is known by its whole
+row: it is added unless the target holds an equal row, and once only. So any
+load may be repeated and adds nothing the second time.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lakestrata.operators.dedupe import dedupe_first
 
 Order = Sequence[str | Column]
 
 
-def new_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Order) -> DataFrame:
-    """Batch rows whose key the target lacks, the first per key.
+def _has_key(keys: Sequence[str]) -> Column:
+    return reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+
+
+def _keys_of(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each key once: a target may hold a key many times."""
+    return df.where(_has_key(keys)).select(*keys).distinct()
 
-    Running the same batch again yields nothing. NULL keys never conflict, as
-    in SQL, so they are kept out of the deduplication's reach by the caller.
-    """
-    first = dedupe_first(batch, keys, order)
-    return first.join(target.select(*keys), list(keys), "left_anti")
+
+def _new_without_key(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Batch rows without a key that the target does not hold, each once."""
+    shared = [c for c in target.columns if c in batch.columns]
+    rows = batch.where(~_has_key(keys)).dropDuplicates(shared)
+    known = target.where(~_has_key(keys)).select(*[F.col(c).alias(f"_known_{c}") for c in shared]).distinct()
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_known_{c}")) for c in shared])
+    return rows.join(known, same, "left_anti")
+
+
+def new_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Order) -> DataFrame:
+    """Batch rows whose key the target lacks, the first per key, and rows
+    without a key that it lacks."""
+    first = dedupe_first(batch.where(_has_key(keys)), keys, order)
+    added = first.join(_keys_of(target, keys), list(keys), "left_anti")
+    return added.select(*batch.columns).unionByName(_new_without_key(target, batch, keys).select(*batch.columns))
 
 
 def insert_if_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Order) -> DataFrame:
@@ -27,7 +49,9 @@ def insert_if_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str], o
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Order) -> DataFrame:
-    """Target with the batch's rows replacing equal keys; the first per key wins."""
-    latest = dedupe_first(batch, keys, order)
-    kept = target.join(latest.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(latest.select(*target.columns))
+    """Target with the batch's rows replacing equal keys; the first per key
+    wins. Rows without a key replace nothing."""
+    latest = dedupe_first(batch.where(_has_key(keys)), keys, order)
+    kept = target.join(latest.select(*keys), list(keys), "left_anti").select(*target.columns)
+    added = _new_without_key(target, batch, keys)
+    return kept.unionByName(latest.select(*target.columns)).unionByName(added.select(*target.columns))

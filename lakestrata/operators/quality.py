@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from lakestrata import constants as K
 from lakestrata.operators.aggregates import null_cells
@@ -39,7 +39,7 @@ def _between(df: DataFrame, c: Column, rule: Rule) -> Column:
     low, high = rule.get("min"), rule.get("max")
     if low is None and high is None:
         raise ValueError("a between rule needs min or max")
-    fails = []
+    fails = [F.isnan(c)] if _may_be_nan(df, rule["column"]) else []
     if low is not None:
         fails.append(c < F.lit(low))
     if high is not None:
@@ -47,19 +47,31 @@ def _between(df: DataFrame, c: Column, rule: Rule) -> Column:
     return reduce(Column.__or__, fails)
 
 
-def _zscore(df: DataFrame, c: Column, rule: Rule) -> Column:
-    """Distance from the mean in standard deviations, both computed once."""
+def _may_be_nan(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType))
+
+
+def _numbers(df: DataFrame, c: Column) -> tuple[Column, Column]:
+    """The values as doubles, and the same without NaN for statistics."""
     x = c.cast("double")
-    mean = df.agg(F.avg(x).alias("m")).scalar()
-    deviation = df.agg(F.stddev_samp(x).alias("s")).scalar()
-    return F.abs(x - mean) > F.lit(float(rule.get("max", 3.0))) * deviation
+    return x, F.when(~F.isnan(x), x)
+
+
+def _zscore(df: DataFrame, c: Column, rule: Rule) -> Column:
+    """Distance from the mean in standard deviations, both computed once and
+    without NaN; NaN is unexpected."""
+    x, known = _numbers(df, c)
+    mean = df.agg(F.avg(known).alias("m")).scalar()
+    deviation = df.agg(F.stddev_samp(known).alias("s")).scalar()
+    return F.isnan(x) | (F.abs(x - mean) > F.lit(float(rule.get("max", 3.0))) * deviation)
 
 
 def _iqr(df: DataFrame, c: Column, rule: Rule) -> Column:
-    quartiles = df.agg(F.percentile_approx(c, [0.25, 0.75], 10_000).alias("q"))
+    x, known = _numbers(df, c)
+    quartiles = df.agg(F.percentile_approx(known, [0.25, 0.75], 10_000).alias("q"))
     q1, q3 = quartiles.select(F.col("q")[0]).scalar(), quartiles.select(F.col("q")[1]).scalar()
     margin = (q3 - q1) * F.lit(float(rule.get("factor", 1.5)))
-    return outside(c.cast("double"), q1 - margin, q3 + margin)
+    return F.isnan(x) | outside(x, q1 - margin, q3 + margin)
 
 
 RuleBuilder = Callable[[DataFrame, Column, Rule], Column]

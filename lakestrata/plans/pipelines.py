@@ -17,11 +17,11 @@ from lakestrata import constants as K
 from lakestrata.functions.masking import DEFAULT_POLICY, MaskRule, mask_columns
 from lakestrata.functions.time import ntz
 from lakestrata.operators import audit, quality
-from lakestrata.operators.aggregates import row_counts
+from lakestrata.operators.aggregates import masking_stats, row_counts
 from lakestrata.operators.joins import orphan_keys
 from lakestrata.plans.consolidate import Tables, consolidate
-from lakestrata.plans.star import build_star
-from lakestrata.sinks.files import append_audit, write_layer
+from lakestrata.plans.star import build_star, fact_losses
+from lakestrata.sinks.files import append_audit, append_new, write_layer
 from lakestrata.sinks.star import load_star, read_star
 from lakestrata.sources.tables import read_layer
 from lakestrata.streaming.sales import process_sales_stream
@@ -71,16 +71,24 @@ def consolidate_and_mask(
     mode: str = "fanout",
 ) -> int:
     """Consolidate, mask and write the silver sales table by purchase month;
-    the number of rows written."""
-    masked = mask_columns(consolidate(tables, driving, mode), policy, key=key)
+    the number of rows written.
+
+    A full rebuild: months that are no longer there are removed. The numbers of
+    distinct values before and after masking are audited per column.
+    """
+    wide = consolidate(tables, driving, mode)
+    masked = mask_columns(wide, policy, key=key)
     by_month = masked.withColumn("mes", F.date_format("order_purchase_timestamp", "yyyy-MM"))
     seen = Observation("silver")
     counted = by_month.observe(seen, F.count(F.lit(1)).alias("rows"))
-    write_layer(counted, lake.root, "silver", SALES, ["mes"])
+    path = write_layer(counted, lake.root, "silver", SALES, ["mes"], replace="table")
     rows = seen.get["rows"]
+    # One row per masked column.
+    stats = {r["column"]: r for r in masking_stats(wide, spark.read.parquet(path), list(policy)).collect()}
     for column, rule in policy.items():
         action, compliance = K.MASK_AUDIT.get(rule.method, ("DATA_MASKED", None))
-        message = f"{column}: {rule.method}. {rule.reason}"
+        distinct = f"{stats[column]['original_unique']} -> {stats[column]['masked_unique']} distinct values"
+        message = f"{column}: {rule.method}, {distinct}. {rule.reason}"
         record(spark, lake, "consolidate", "mask", action, message, as_of, compliance=compliance)
     record(spark, lake, "consolidate", "write", "CONSOLIDATION_WRITTEN", f"{rows} rows", as_of)
     return rows
@@ -108,16 +116,21 @@ def check_sales(
 def publish_star(
     spark: SparkSession, lake: Lake, version: str, as_of: datetime | str
 ) -> DataFrame:
-    """Build the star from silver, check its keys and publish it whole; row
-    counts per table."""
-    tables = build_star(read_layer(spark, lake.root, "silver", SALES))
-    for dim, column in (("dim_cliente", "cliente_id"), ("dim_produto", "produto_id")):
-        if not orphan_keys(tables["fato_vendas"], tables[dim], column).isEmpty():
-            record(spark, lake, "star", "check", "STAR_ORPHANS", f"{dim} lacks keys of the fact", as_of, "ERROR")
-            raise LoadError(f"{dim} lacks keys of the fact")
-    load_star(spark, tables, lake.star, version)
+    """Build the star from silver, check the written keys and publish it
+    whole; row counts per table. Rows the fact drops are audited."""
+    silver = read_layer(spark, lake.root, "silver", SALES)
+
+    def no_orphans(written: Mapping[str, DataFrame]) -> None:
+        for dim, column in (("dim_cliente", "cliente_id"), ("dim_produto", "produto_id")):
+            if not orphan_keys(written["fato_vendas"], written[dim], column).isEmpty():
+                record(spark, lake, "star", "check", "STAR_ORPHANS", f"{dim} lacks keys of the fact", as_of, "ERROR")
+                raise LoadError(f"{dim} lacks keys of the fact")
+
+    load_star(spark, build_star(silver), lake.star, version, no_orphans)
     counts = row_counts(read_star(spark, lake.star))
-    record(spark, lake, "star", "load", "STAR_PUBLISHED", version, as_of)
+    lost = fact_losses(silver).first()
+    text = f"{version}: {lost['kept']} of {lost['rows']} rows, {lost['incomplete']} incomplete, {lost['merged']} merged"
+    record(spark, lake, "star", "load", "STAR_PUBLISHED", text, as_of)
     return counts
 
 
@@ -131,9 +144,10 @@ def run_batch(
     return publish_star(spark, lake, version, as_of)
 
 
-def sales_events(consolidated: DataFrame) -> DataFrame:
+def sales_events(consolidated: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     """Consolidated rows as sales events; the event time is the purchase time."""
     return consolidated.select(
+        *also,
         F.col("order_purchase_timestamp").cast("string").alias("timestamp"),
         "customer_state",
         F.col("price").cast("string").alias("price"),
@@ -141,14 +155,47 @@ def sales_events(consolidated: DataFrame) -> DataFrame:
     )
 
 
+def land_events(spark: SparkSession, lake: Lake) -> str:
+    """Append the sales of the silver table that are not landed yet, one event
+    per order line; the path of the event table, which is only ever appended
+    to."""
+    path = f"{lake.root}/bronze/{SALES}_events"
+    line = ["order_id", "product_id", "order_item_id"]
+    silver = read_layer(spark, lake.root, "silver", SALES)
+    events = sales_events(silver, line[1:])
+    append_new(spark, path, events.where("order_id is not null"), line, ["price", "timestamp"])
+    return path
+
+
 def run_stream(spark: SparkSession, lake: Lake, as_of: datetime | str | None = None) -> list[StreamingQuery]:
-    """Stream the silver table's files through the sales processor until all
-    that is there now is processed."""
-    path = f"{lake.root}/silver/{SALES}"
+    """Stream all landed sales events through the sales processor until all
+    that is there now is processed.
+
+    A silver rebuild rewrites files, but lands only events that are new, so a
+    second run does not emit a sale again.
+    """
+    path = land_events(spark, lake)
     schema = spark.read.parquet(path).schema
-    events = sales_events(spark.readStream.schema(schema).parquet(path))
+    events = spark.readStream.schema(schema).parquet(path)
     out = f"{lake.root}/silver"
     queries = process_sales_stream(
         events, f"{out}/{SALES}_stream", f"{out}/{SALES}_stream_invalid", f"{lake.root}/checkpoints/{SALES}", as_of
     )
     return list(queries)
+
+
+def finish_stream(
+    spark: SparkSession, lake: Lake, queries: Sequence[StreamingQuery], as_of: datetime | str
+) -> dict[str, int]:
+    """Wait for the queries of ``run_stream``, add up the counters observed in
+    their micro-batches and audit the totals."""
+    totals = dict.fromkeys(("consumed", "processed", "skipped", "invalid"), 0)
+    for query in queries:
+        query.awaitTermination()
+        for progress in query.recentProgress:
+            seen = progress.observedMetrics.get("sales")
+            for name in totals if seen is not None else ():
+                totals[name] += seen[name]
+    text = ", ".join(f"{name} {n}" for name, n in totals.items())
+    record(spark, lake, "stream", "process", "STREAM_FINISHED", text, as_of)
+    return totals

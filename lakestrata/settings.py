@@ -21,8 +21,12 @@ SCALE_SETTINGS = {
 
 
 def apply_scale_settings(spark: SparkSession) -> SparkSession:
-    """Apply ``SCALE_SETTINGS`` where the session holds no explicit value."""
-    explicit = dict(spark.sparkContext.getConf().getAll())
+    """Apply ``SCALE_SETTINGS`` where the session holds no value of its own.
+
+    A value given at start-up or set at run time is left alone.
+    """
+    # Only settings somebody has given are listed; defaults are not.
+    explicit = spark.conf.getAll
     for name, value in SCALE_SETTINGS.items():
         if name not in explicit:
             spark.conf.set(name, value)

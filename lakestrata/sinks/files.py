@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakestrata import schemas
-from lakestrata.operators.dedupe import dedupe_first
 from lakestrata.operators.load import new_rows, upsert
 from lakestrata.settings import work_path
 from lakestrata.sources.tables import MissingTableError, avro_available, layer_path
@@ -27,18 +26,24 @@ def write_avro(df: DataFrame, path: str, avro_schema: str) -> None:
 
 
 def write_layer(
-    df: DataFrame, root: str, layer: str, table: str, partition_by: Sequence[str] = (), mode: str = "overwrite"
+    df: DataFrame, root: str, layer: str, table: str, partition_by: Sequence[str] = (), mode: str = "overwrite",
+    replace: str = "partitions",
 ) -> str:
     """Write a layer table; with partitions only those in ``df`` are replaced.
 
+    ``replace="table"`` is for a full rebuild: partitions that ``df`` no longer
+    holds are removed too.
+
     Rows are clustered by partition value first, in many tasks per value, so
     a large or hot partition is written in parallel and a task does not keep
     a file open per partition value. ``REBALANCE`` splits oversized parts.
     """
+    if replace not in ("partitions", "table"):
+        raise ValueError("replace is 'partitions' or 'table'")
     path = layer_path(root, layer, table)
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic" if replace == "partitions" else "static")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return path
 
@@ -90,12 +95,17 @@ def append_audit(rows: DataFrame, path: str) -> None:
 
 
 def append_new(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> None:
-    """Insert-if-absent into a Parquet table; a repeated batch adds nothing."""
+    """Insert-if-absent into a Parquet table; a repeated batch adds nothing.
+
+    Only a missing path counts as an empty table; any other failure to read it
+    is raised.
+    """
     try:
         target = spark.read.parquet(path)
-    except PySparkException:
-        dedupe_first(batch, keys, order).write.mode("append").parquet(path)
-        return
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        target = batch.limit(0)
     new_rows(target, batch, keys, order).select(*target.columns).write.mode("append").parquet(path)
 
 
@@ -111,15 +121,13 @@ def upsert_partitions(
     and the final overwrite can be repeated.
     """
     target = spark.read.parquet(path)
-    # Partition values are metadata, as many as the batch has partitions; as
-    # literals they prune the scan.
-    touched = [
-        reduce(Column.__and__, [F.col(c).eqNullSafe(F.lit(row[c])) for c in partition_by])
-        for row in batch.select(*partition_by).distinct().collect()
-    ]
-    if not touched:
+    # Joined on the partition columns, the batch's partitions prune the scan
+    # while it runs; the list of them stays in the cluster.
+    touched = batch.select(*[F.col(c).alias(f"_touched_{c}") for c in partition_by]).distinct()
+    if touched.isEmpty():
         return
-    affected = target.where(reduce(Column.__or__, touched))
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_touched_{c}")) for c in partition_by])
+    affected = target.join(touched, same, "left_semi")
     staged = work_path(spark, "upsert")
     upsert(affected, batch, keys, order).write.parquet(staged)
     merged = spark.read.parquet(staged).hint("rebalance", *partition_by)

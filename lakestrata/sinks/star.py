@@ -7,18 +7,26 @@ load that fails half-way is never visible and the previous one stays in use.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 MANIFEST = "version string, tables array<string>"
 
 
-def load_star(spark: SparkSession, tables: Mapping[str, DataFrame], root: str, version: str) -> str:
+def load_star(
+    spark: SparkSession,
+    tables: Mapping[str, DataFrame],
+    root: str,
+    version: str,
+    check: Callable[[dict[str, DataFrame]], None] | None = None,
+) -> str:
     """Write dimensions, then facts, then publish ``version``.
 
-    Versions must sort by age, as ``version_stamp`` names do.
+    ``check`` gets the tables as they were written and may raise; the version
+    is then not published. Versions must sort by age, as ``version_stamp``
+    names do.
     """
     published = _versions(spark, root)
     if published is not None and not published.where(F.col("version") >= version).isEmpty():
@@ -26,6 +34,8 @@ def load_star(spark: SparkSession, tables: Mapping[str, DataFrame], root: str, v
     names = sorted(tables, key=lambda name: name.startswith("fato"))
     for name in names:
         tables[name].write.mode("overwrite").parquet(f"{root}/versions/{version}/{name}")
+    if check is not None:
+        check({name: spark.read.parquet(f"{root}/versions/{version}/{name}") for name in names})
     manifest = spark.createDataFrame([(version, names)], MANIFEST)
     manifest.coalesce(1).write.mode("append").json(f"{root}/manifest")
     return version
@@ -34,7 +44,9 @@ def load_star(spark: SparkSession, tables: Mapping[str, DataFrame], root: str, v
 def _versions(spark: SparkSession, root: str) -> DataFrame | None:
     try:
         return spark.read.schema(MANIFEST).json(f"{root}/manifest")
-    except PySparkException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 

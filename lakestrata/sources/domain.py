@@ -11,16 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 
-_SCHEMAS: dict[str, T.StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A source table. Its schema is read from the file footer once per path,
-    not once per use: inference is a job of its own."""
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    """A source table, under the schema its files have now."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def money(col: Column) -> Column:

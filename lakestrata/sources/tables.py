@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F, types as T
 
 from lakestrata import schemas
 from lakestrata.operators.filters import normalise_na
@@ -26,21 +26,34 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header row, UTF-8, quotes doubled inside quotes.
 
-    Without a schema every column is text; NA spellings become NULL either
-    way, before values are converted. Files whose values hold line breaks need
-    ``multi_line``, which reads each file as one split: keep such files small.
+    Columns are found by the names in the file's header: other columns and
+    another order make no difference, and a column of the schema that the
+    file lacks is NULL. Files of one folder must have the same header; one
+    that differs fails the read. Without a schema every column is text; NA
+    spellings become NULL either way, before values are converted. Files whose
+    values hold line breaks need ``multi_line``, which reads each file as one
+    split: keep such files small.
     """
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    header = csv_header(spark, path, multi_line)
+    text = T.StructType([T.StructField(name, T.StringType()) for name in header])
+    raw = _csv_reader(spark, multi_line).schema(text).option("enforceSchema", False).csv(path)
+    clean = normalise_na(raw) if normalise else raw
     if schema is None:
-        raw = reader.csv(path)
-        return normalise_na(raw) if normalise else raw
+        return clean
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    if not normalise:
-        return reader.schema(schema).csv(path)
-    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-    clean = normalise_na(reader.schema(text).csv(path))
-    return clean.select(*[clean[f.name].cast(f.dataType).alias(f.name) for f in schema])
+    return clean.select(*[
+        (F.col(f"`{f.name}`") if f.name in header else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema
+    ])
+
+
+def _csv_reader(spark: SparkSession, multi_line: bool) -> DataFrameReader:
+    return spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+
+
+def csv_header(spark: SparkSession, path: str, multi_line: bool = False) -> list[str]:
+    """The column names in the header of a CSV file or folder."""
+    return _csv_reader(spark, multi_line).csv(path).columns
 
 
 def explore_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -62,12 +75,15 @@ def load_tables(
         path = f"{base.rstrip('/')}/{relative}"
         try:
             if relative.endswith(".csv"):
+                held = csv_header(spark, path)
                 df = read_csv(spark, path, table_schemas.get(name))
             else:
                 df = spark.read.parquet(path)
+                held = df.columns
         except AnalysisException as error:
             raise MissingTableError(f"table {name!r} not found at {path}") from error
-        lacking = [c for c in (required or {}).get(name, ()) if c not in df.columns]
+        # What the file holds, not what its schema declares.
+        lacking = [c for c in (required or {}).get(name, ()) if c not in held]
         if lacking:
             raise MissingTableError(f"table {name!r} lacks {', '.join(lacking)}")
         if df.isEmpty():

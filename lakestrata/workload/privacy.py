@@ -15,6 +15,7 @@ from lakestrata.workload.joins import DEMO_KEY, WIDE_CUSTOMER_FIRST
 from lakestrata.workload.registry import query, with_domain
 
 NOISE_KEY = "demo-noise-key"
+LINE_ID = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
 @query("mask_hash", f"SELECT doc_id, sha256(text || '{DEMO_KEY}') AS text, sha256(CAST(n_chars AS VARCHAR) || '{DEMO_KEY}') AS n_chars FROM documents")
@@ -117,14 +118,14 @@ def stats(spark, sf_dir):
 
 @query("dp_noise_keyed", f"""
 WITH u AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
-  (CAST('0x' || substr(sha256(CAST(l_orderkey AS VARCHAR) || '{NOISE_KEY}'), 1, 13) AS BIGINT) + 0.5::DOUBLE)
+  (CAST('0x' || substr(sha256(concat_ws('|', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR)) || '{NOISE_KEY}'), 1, 13) AS BIGINT) + 0.5::DOUBLE)
     / 4503599627370496.0::DOUBLE - 0.5::DOUBLE AS u FROM lineitem)
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
   round(l_quantity - sign(u) * ln(greatest(1 - 2 * abs(u), 1.1102230246251565e-16)) * 2.0::DOUBLE, 6) AS l_quantity FROM u""")
 def dp_noise_keyed(spark, sf_dir):
-    """Repeatable noise drawn from a keyed digest of the order."""
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
-    noisy = masking.laplace_noise(lines, "l_quantity", 0.5, 1.0, noise_key=("l_orderkey", NOISE_KEY))
+    """Repeatable noise drawn from a keyed digest of the line's identity."""
+    lines = table(spark, sf_dir, "lineitem").select(*LINE_ID, "l_quantity")
+    noisy = masking.laplace_noise(lines, "l_quantity", 0.5, 1.0, noise_key=(LINE_ID, NOISE_KEY))
     return noisy.withColumn("l_quantity", F.round("l_quantity", 6))
 
 

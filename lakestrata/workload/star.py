@@ -19,7 +19,7 @@ FACT = """
 fact AS (
   SELECT * FROM (
     SELECT i.order_id, o.customer_id AS cliente_id, i.product_id AS produto_id,
-           order_purchase_timestamp AS data_venda, price AS valor_total, order_item_id AS quantidade,
+           order_purchase_timestamp AS data_venda, price AS valor_total, 1 AS quantidade,
            row_number() OVER (PARTITION BY i.order_id, i.product_id, order_item_id ORDER BY price) AS rn
     FROM d_customers c JOIN d_orders o ON c.customer_id = o.customer_id JOIN d_items i ON o.order_id = i.order_id)
   WHERE rn = 1)"""
@@ -42,8 +42,10 @@ def build_dim_cliente(spark, sf_dir):
 
 
 @query("build_dim_produto", with_domain("""
-SELECT DISTINCT r.product_id AS produto_id, product_category_name AS nome_produto, product_category_name AS categoria,
-       product_weight_g AS preco_unitario FROM d_products r JOIN d_items i ON i.product_id = r.product_id"""))
+SELECT r.product_id AS produto_id, product_category_name AS nome_produto, product_category_name AS categoria,
+       CAST(min(price) AS DOUBLE) AS preco_unitario
+FROM d_products r JOIN d_items i ON i.product_id = r.product_id JOIN d_orders o ON i.order_id = o.order_id
+GROUP BY 1, 2, 3"""))
 def build_dim_produto(spark, sf_dir):
     wide = consolidate(domain_tables(spark, sf_dir), mode="preaggregate")
     return star.build_star(wide)["dim_produto"]
@@ -66,7 +68,16 @@ def fato_vendas_legacy_grain(spark, sf_dir):
     """One row per order: the first item wins, as with a conflict on order_id."""
     wide = consolidate(domain_tables(spark, sf_dir), mode="preaggregate")
     order = ("price", "order_purchase_timestamp", "product_id")
-    return star.build_fato_vendas(wide, star.LEGACY_GRAIN, order)
+    return star.build_fato_vendas(wide, star.LEGACY_GRAIN, order, star.LEGACY_QUANTITY)
+
+
+@query("fact_losses", with_domain("""
+SELECT count(*) AS rows, CAST(0 AS BIGINT) AS incomplete, count(*) - (SELECT count(*) FROM fact) AS merged,
+       (SELECT count(*) FROM fact) AS kept FROM d_items""", FACT))
+def fact_losses(spark, sf_dir):
+    """What the fact makes of the rows of orders with items."""
+    tables = domain_tables(spark, sf_dir, "orders", "items")
+    return star.fact_losses(tables["orders"].join(tables["items"], "order_id"))
 
 
 @query("star_load_counts", with_domain("""
@@ -89,6 +100,36 @@ def insert_new_rows(spark, sf_dir):
     return new_rows(buyers, batch.unionByName(batch), ["c_custkey"], ["c_name"])
 
 
+@query("insert_null_keys", """
+WITH t AS (SELECT nullif(o_custkey % 10, 0) AS k, o_orderstatus AS v FROM orders WHERE o_orderkey % 3 = 0),
+b AS (SELECT nullif(o_custkey % 20, 0) AS k, o_orderpriority AS v FROM orders)
+SELECT * FROM t UNION ALL (SELECT k, min(v) FROM b WHERE k IS NOT NULL AND k NOT IN (SELECT k FROM t WHERE k IS NOT NULL) GROUP BY k)
+UNION ALL (SELECT DISTINCT k, v FROM b WHERE k IS NULL AND v NOT IN (SELECT v FROM t WHERE k IS NULL))""")
+def insert_null_keys(spark, sf_dir):
+    """Rows without a key are known by their whole row."""
+    return insert_if_absent(*_null_key_batches(spark, sf_dir), ["k"], ["v"])
+
+
+@query("upsert_null_keys", """
+WITH t AS (SELECT nullif(o_custkey % 10, 0) AS k, o_orderstatus AS v FROM orders WHERE o_orderkey % 3 = 0),
+b AS (SELECT nullif(o_custkey % 20, 0) AS k, o_orderpriority AS v FROM orders)
+SELECT * FROM t WHERE k IS NULL OR k NOT IN (SELECT k FROM b WHERE k IS NOT NULL)
+UNION ALL (SELECT k, min(v) FROM b WHERE k IS NOT NULL GROUP BY k)
+UNION ALL (SELECT DISTINCT k, v FROM b WHERE k IS NULL AND v NOT IN (SELECT v FROM t WHERE k IS NULL))""")
+def upsert_null_keys(spark, sf_dir):
+    return upsert(*_null_key_batches(spark, sf_dir), ["k"], ["v"])
+
+
+def _null_key_batches(spark, sf_dir):
+    """A target and a batch whose keys repeat and are sometimes NULL."""
+    orders = table(spark, sf_dir, "orders")
+    target = orders.where("o_orderkey % 3 = 0").select(
+        F.expr("nullif(o_custkey % 10, 0)").alias("k"), F.col("o_orderstatus").alias("v")
+    )
+    batch = orders.select(F.expr("nullif(o_custkey % 20, 0)").alias("k"), F.col("o_orderpriority").alias("v"))
+    return target, batch
+
+
 BATCHES = """
 t AS (SELECT c_custkey AS id, c_name AS name, c_acctbal AS amount FROM customer WHERE c_mktsegment <> 'BUILDING'),
 b AS (SELECT o_custkey AS id, first(o_orderpriority ORDER BY o_orderkey) AS name,

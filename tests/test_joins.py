@@ -156,3 +156,24 @@ def test_broadcast_only_behind_a_size_check(spark):
     plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" in plan(probe.join(broadcast_if_small(small, 100), "id"))
     assert "broadcast" not in plan(probe.join(broadcast_if_small(big, 100), "id"))
+
+
+@pytest.mark.parametrize("has_null", [True, False])
+def test_null_key_is_dealt_over_tasks_and_matches(spark, has_null):
+    left = spark.createDataFrame([(None, 1), (None, 2), (1, 3), (2, 4)], "k int, a int")
+    right = spark.createDataFrame([(1, 10), (1, 11), *([(None, n) for n in range(20, 60)] if has_null else [])], "k int, b int")
+    want = [(1, 3, 10), (1, 3, 11), (2, 4, None)]
+    want += [(None, a, n) for a in (1, 2) for n in (range(20, 60) if has_null else [None])]
+    out = left_join(left, right, "k", null_keys="match")
+    assert out.columns == ["k", "a", "b"]
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(want, key=repr)
+    with_hot = left_join(left, right, "k", null_keys="match", hot=[1])
+    assert sorted(map(tuple, with_hot.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_hot_list_holds_every_key_above_its_share(spark):
+    rows = [(k,) for k in range(4) for _ in range(50)] + [(k,) for k in range(100, 140)]
+    df = spark.createDataFrame(rows, "k int")
+    # 240 rows: with a list of 4, a key is hot from 60 rows on whatever the floor is.
+    assert hot_keys(df, "k", 1, 4) == []
+    assert sorted(hot_keys(df, "k", 1, 8)) == [0, 1, 2, 3]

@@ -104,7 +104,9 @@ def test_policy_unknown_method_and_absent_column(spark):
     df = spark.createDataFrame([("sp", "SP", 1)], "customer_city string, customer_state string, n int")
     masked = mask_columns(df, key=KEY).first()
     assert masked["customer_city"] == "[CIDADE_REMOVIDA_LGPD]" and len(masked["customer_state"]) == 64
-    assert mask_columns(df, {"absent": MaskRule("hash")}, key=KEY).columns == df.columns
+    assert mask_columns(df, {"absent": MaskRule("hash")}, key=KEY, lenient=True).columns == df.columns
+    with pytest.raises(ValueError, match="absent"):
+        mask_columns(df, {"absent": MaskRule("hash")}, key=KEY)
     with pytest.raises(ValueError, match="rot13"):
         mask_columns(df, {"n": MaskRule("rot13")}, key=KEY)
 
@@ -190,3 +192,21 @@ def test_key_lifetime_and_retention(keys):
     gone = crypto.expired_keys(keys, 30, "2024-03-15 00:00:00", active="v2").collect()
     assert [r["version"] for r in gone] == ["v1"]
     assert crypto.expired_keys(keys, 30, "2024-01-31 00:00:00", active="v2").count() == 0  # exactly 30 days
+
+
+def test_noise_differs_between_rows_of_an_order(spark):
+    df = spark.createDataFrame([("o", k, v) for k, v in enumerate((1.0, 5.0, 9.0))], "id string, line int, v double")
+    out = masking.laplace_noise(df, "v", 0.5, 1.0, noise_key=(["id", "line"], "s"))
+    shifts = [r["v"] - (1, 5, 9)[r["line"]] for r in out.collect()]
+    assert len({round(x, 9) for x in shifts}) == 3
+    again = masking.laplace_noise(df.repartition(3), "v", 0.5, 1.0, noise_key=(["id", "line"], "s"))
+    assert {r["line"]: r["v"] for r in out.collect()} == {r["line"]: r["v"] for r in again.collect()}
+
+
+def test_repeated_key_version_does_not_multiply_rows(spark, keys):
+    df = spark.createDataFrame([(1, "a")], "id int, v string")
+    secret = crypto.encrypt_column(df, "v", keys, "v1")
+    assert [r["v"] for r in crypto.decrypt_column(secret, "v", keys.unionByName(keys)).collect()] == ["a"]
+    clash = crypto.rotate_key(keys, "v1", b"2" * 32, "2024-04-01 00:00:00")
+    with pytest.raises(Exception, match="several keys"):
+        crypto.decrypt_column(secret, "v", clash).collect()

@@ -131,3 +131,13 @@ def test_check_collected(spark):
     assert (rows["ok"]["status"], rows["ok"]["extreme_rows"]) == ("OK", 0)
     assert (rows["hot"]["status"], rows["hot"]["null_percent"], rows["hot"]["extreme_rows"]) == ("NULLS", 10.0, 2)
     assert rows["gone"]["status"] == "MISSING"
+
+
+def test_nan_is_unexpected_but_hides_nothing(spark):
+    values = [float(v) for v in range(50)] + [1e6, float("nan")]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    low = validate(df, [{"type": "between", "column": "v", "min": -1}]).first()
+    assert (low["unexpected"], low["success"]) == (1, False)
+    for kind in ("zscore", "iqr"):
+        bad = quality.quarantine(df, [{"type": kind, "column": "v"}])[1]
+        assert sorted(str(r["v"]) for r in bad.collect()) == ["1000000.0", "nan"]

@@ -34,11 +34,17 @@ def wide(spark):
 def test_fact_drops_incomplete_rows_and_dedupes(wide):
     fact = star.build_fato_vendas(wide)
     assert sorted((r["order_id"], r["produto_id"], r["quantidade"]) for r in fact.collect()) == [
-        ("o1", "p1", 1), ("o1", "p2", 2), ("o3", "p1", 1),
+        ("o1", "p1", 1), ("o1", "p2", 1), ("o3", "p1", 1),
     ]
     assert fact.columns == ["order_id", "cliente_id", "produto_id", "data_venda", "valor_total", "quantidade"]
 
 
+def test_fact_quantity_and_losses(wide):
+    fact = star.build_fato_vendas(wide, quantity=star.LEGACY_QUANTITY)
+    assert sorted(r["quantidade"] for r in fact.collect()) == [1, 1, 2]
+    assert tuple(star.fact_losses(wide).first()) == (9, 5, 1, 3)
+
+
 def test_legacy_grain_keeps_one_row_per_order(wide):
     assert star.build_fato_vendas(wide, star.LEGACY_GRAIN).count() == 2
 
@@ -235,3 +241,70 @@ def test_jdbc_refresh_options():
     direct = FakeFrame()
     jdbc_full_refresh(direct, "jdbc:x", "vendas")
     assert direct.write.calls["table"] == "vendas"
+
+
+def test_rows_without_a_key_load_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    batch = spark.createDataFrame([(None, "a"), (None, "b"), (None, "b"), (2, "c")], "k int, v string")
+    for _ in range(3):
+        files.append_new(spark, path, batch, ["k"], ["v"])
+    assert rows(spark.read.parquet(path)) == [(2, "c"), (None, "a"), (None, "b")]
+    target = spark.createDataFrame([(None, "a"), (2, "old")], "k int, v string")
+    once = upsert(target, batch, ["k"], ["v"])
+    assert rows(once) == rows(upsert(once, batch, ["k"], ["v"])) == [(2, "c"), (None, "a"), (None, "b")]
+    twice = spark.createDataFrame([(2, "x"), (2, "y")], "k int, v string")
+    assert rows(new_rows(twice, batch, ["k"], ["v"])) == [(None, "a"), (None, "b")]
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    old=st.lists(st.tuples(st.none() | st.integers(0, 3), st.sampled_from("ab")), max_size=6),
+    new=st.lists(st.tuples(st.none() | st.integers(0, 3), st.sampled_from("ab")), min_size=1, max_size=8),
+)
+def test_null_and_repeated_keys_are_idempotent(spark, old, new):
+    target = spark.createDataFrame(old, "k int, v string")
+    batch = spark.createDataFrame(new, "k int, v string")
+    for load in (insert_if_absent, upsert):
+        once = load(target, batch, ["k"], ["v"])
+        assert rows(load(once, batch, ["k"], ["v"])) == rows(once)
+        assert {r for r in new if r[0] is None} <= {tuple(r) for r in once.collect()}
+
+
+def test_unreadable_table_is_not_an_empty_one(spark, tmp_path):
+    path = tmp_path / "t"
+    path.mkdir()
+    (path / "part-0.parquet").write_bytes(b"no parquet")
+    batch = spark.createDataFrame([(1, "a")], "k int, v string")
+    with pytest.raises(Exception):
+        files.append_new(spark, str(path), batch, ["k"], ["v"])
+    assert [f.name for f in path.iterdir()] == ["part-0.parquet"]
+
+
+def test_full_replace_removes_old_partitions(spark, tmp_path):
+    two = spark.createDataFrame([(1, "x"), (2, "y")], "v int, mes string")
+    files.write_layer(two, str(tmp_path), "silver", "t", ["mes"])
+    path = files.write_layer(two.where("v = 1"), str(tmp_path), "silver", "t", ["mes"], replace="table")
+    assert rows(spark.read.parquet(path)) == [(1, "x")]
+
+
+def test_csv_is_read_by_column_name(spark, tmp_path):
+    wider = tmp_path / "customers.csv"
+    wider.write_text("customer_state,extra,customer_id,customer_city\nSP,1,c1,sao paulo\nRJ,2,c2,NA\n")
+    schema = "customer_id string, customer_city string, customer_state string, customer_unique_id string"
+    out = sources.read_csv(spark, str(wider), schema)
+    assert rows(out) == [("c1", "sao paulo", "SP", None), ("c2", None, "RJ", None)]
+    with pytest.raises(sources.MissingTableError, match="customer_unique_id"):
+        sources.load_tables(
+            spark, str(tmp_path), {"customers": "customers.csv"}, required={"customers": ["customer_unique_id"]}
+        )
+    assert sources.csv_header(spark, str(wider)) == ["customer_state", "extra", "customer_id", "customer_city"]
+
+
+def test_star_is_not_published_if_the_check_fails(spark, tmp_path):
+    def refuse(written):
+        assert written["fato_b"].count() == 3
+        raise ValueError("orphans")
+
+    with pytest.raises(ValueError, match="orphans"):
+        load_star(spark, {"dim_a": spark.range(2), "fato_b": spark.range(3)}, str(tmp_path), "v1", refuse)
+    assert current_version(spark, str(tmp_path)) is None

@@ -139,10 +139,24 @@ def test_batch_pipeline(spark, tmp_path):
         "DATA_MASKED_STATIC", "DATA_MASKED_HASH", "CONSOLIDATION_WRITTEN", "VALIDATION_SUCCESS", "STAR_PUBLISHED",
     }
 
-    for q in pipelines.run_stream(spark, lake, AS_OF):
-        q.awaitTermination()
+    totals = pipelines.finish_stream(spark, lake, pipelines.run_stream(spark, lake, AS_OF), AS_OF)
     silver = spark.read.parquet(f"{lake.root}/silver/vendas")
-    assert spark.read.parquet(f"{lake.root}/silver/vendas_stream").count() == silver.where("price > 100").count()
+    lines = silver.select("order_id", "product_id", "order_item_id").where("order_item_id is not null").distinct()
+    emitted = lambda: spark.read.parquet(f"{lake.root}/silver/vendas_stream").count()
+    assert totals["processed"] == emitted() > 0
+    assert totals["consumed"] >= lines.count() and sum(totals.values()) == 2 * totals["consumed"]
+    actions = {r["action"] for r in read_audit(spark, lake.audit).select("action").collect()}
+    assert "STREAM_FINISHED" in actions
+
+    # A rebuild from fewer orders drops the months that are gone, and a second
+    # stream run emits no sale again.
+    before = emitted()
+    few = {**tables, "orders": tables["orders"].where("order_purchase_timestamp < '1993-01-01'")}
+    pipelines.consolidate_and_mask(spark, few, lake, "key", AS_OF)
+    months = {r["mes"] for r in spark.read.parquet(f"{lake.root}/silver/vendas").select("mes").distinct().collect()}
+    assert all(m is None or m.startswith("1992") or m == "__HIVE_DEFAULT_PARTITION__" for m in months)
+    assert pipelines.finish_stream(spark, lake, pipelines.run_stream(spark, lake, AS_OF), AS_OF)["consumed"] == 0
+    assert emitted() == before
 
 
 def test_gate_stops_the_pipeline(spark, tmp_path):
