@@ -120,7 +120,7 @@ def render(turns: Turns, template: Template) -> tuple[str, list[tuple[int, int,
     """The output, (start, end, text start, text end) of every turn, and the
     first turn whose rendering changed what was there before, if any."""
     spans: list[tuple[int, int, int, int]] = []
-    before = template([])
+    before = ""
     rewritten = None
     for k in range(len(turns)):
         output = template(turns[: k + 1])

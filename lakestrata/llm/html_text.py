@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -172,6 +173,7 @@ class _Page(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, bool]] = []  # tag, hidden
+        self.names: Counter[str] = Counter()  # of the open elements: most searches need not look
         self.hidden = 0
         self.pre = 0
         self.contexts: list[_Lines] = [_Lines()]
@@ -181,6 +183,8 @@ class _Page(HTMLParser):
 
     def handle_starttag(self, tag: str, attributes) -> None:
         for open_, stops in ENDS.get(tag, ()):
+            if not any(self.names[name] for name in open_):
+                continue
             for k in range(len(self.open) - 1, -1, -1):
                 name = self.open[k][0]
                 if name in open_:
@@ -202,6 +206,7 @@ class _Page(HTMLParser):
         self.hidden += hidden
         if tag == "details":
             self.open[-1] = ("details" if "open" in attrs else "details-closed", hidden)
+        self.names[tag] += 1
         if not self.hidden:
             self._enter(tag, attrs)
 
@@ -215,6 +220,8 @@ class _Page(HTMLParser):
         if tag == "br":
             self._void("br") if not self.hidden else None
             return
+        if not self.names[tag]:
+            return
         for k in range(len(self.open) - 1, -1, -1):
             name = self.open[k][0].removesuffix("-closed")
             if name == tag:
@@ -228,13 +235,10 @@ class _Page(HTMLParser):
     def handle_data(self, data: str) -> None:
         if self.hidden or (self.open and self.open[-1][0] == "details-closed"):
             return
-        into = self.contexts[-1]
-        if self.tables and self._loose():
-            # Text of a table outside its cells stands before it.
-            if not data.strip():
-                return
-            into = self.contexts[-1]
-        into.text(data, self.pre > 0)
+        # Text of a table outside its cells stands before the table.
+        if self.tables and self._loose() and not data.strip():
+            return
+        self.contexts[-1].text(data, self.pre > 0)
 
     def _loose(self) -> bool:
         for name, _ in reversed(self.open):
@@ -261,8 +265,10 @@ class _Page(HTMLParser):
     def _close_to(self, k: int) -> None:
         while len(self.open) > k:
             tag, hidden = self.open.pop()
+            tag = tag.removesuffix("-closed")
+            self.names[tag] -= 1
             if not self.hidden:
-                self._leave(tag.removesuffix("-closed"))
+                self._leave(tag)
             self.hidden -= hidden
 
     def _void(self, tag: str) -> None:
@@ -347,6 +353,9 @@ def page_text(html: str) -> str:
     """The visible text of a page, laid out in lines."""
     page = _Page()
     page.feed(html)
+    # A tag that the page ends in is no text.
+    if re.match(r"<[a-zA-Z/!?]", page.rawdata):
+        page.rawdata = ""
     page.close()
     page._close_to(0)
     return "\n".join(page.contexts[0].result())
