@@ -43,7 +43,7 @@ def _fold(batches: Batches) -> Batches:
     for batch in batches:
         a += batch.column(0).to_pylist()
         b += batch.column(1).to_pylist()
-        if len(a) >= FOLD_EDGES:
+        if len(a) > FOLD_EDGES:
             yield out()
     yield out()
 
@@ -62,15 +62,21 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return linked.unionByName(least.select("u", F.col("m").alias("v")))
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, at_once: int = FOLD_EDGES) -> DataFrame:
     """``node`` and ``component``, the smallest node it is connected with, for
     every node of ``edges (u long, v long)`` that is not itself the smallest.
 
-    Each round moves edges closer to their smallest node; rounds end when the
-    edge table no longer changes. Every round is written to the shared folder.
+    Every task first folds its edges to one a node. If no more than
+    ``at_once`` edges are left, one task folds those. Otherwise star rounds
+    move edges closer to their smallest node until the edge table no longer
+    changes; every round is written to the shared folder.
     """
     oriented = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    current = cut_lineage(oriented.mapInArrow(_fold, "u long, v long").distinct(), "edges")
+    current = cut_lineage(oriented.mapInArrow(_fold, "u long, v long"), "edges")
+    if current.limit(at_once + 1).count() <= at_once:
+        folded = current.coalesce(1).mapInArrow(_fold, "u long, v long")
+        return cut_lineage(folded, "edges").select(F.col("u").alias("node"), F.col("v").alias("component"))
+    current = current.distinct()
     before = None
     while True:
         state = current.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x"), F.bit_xor(F.hash("v", "u")).alias("y")).first()

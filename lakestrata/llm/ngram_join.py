@@ -15,7 +15,10 @@ about n * n / 2**64):
    are cut into size-banded tiles of a bounded number of nodes. A node brings
    a parity bitmap of its set, as wide as its band asks for. Differing bits
    bound the overlap from above; pairs that pass get the exact intersection
-   of their sorted arrays. Pairs inside one component are not looked at.
+   of their sorted arrays. Pairs inside one component are not looked at. A
+   tile first hands on only pairs that connect what its earlier pairs left
+   apart. If all of these are links, so is everything they stand for; if some
+   fail, a second pass hands on every pair that is still open.
 
 Defined results: NULL text counts as empty; an empty text has no shingles and
 links with nothing; a text with fewer words than an n-gram is one shingle.
@@ -230,7 +233,26 @@ def _pairs(u, v) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
 
-def _small_tile(rows: list[tuple]) -> list[tuple[int, int]]:
+class _Merged:
+    """Which components one tile has found to belong together."""
+
+    def __init__(self) -> None:
+        self.up: dict[int, int] = {}
+
+    def find(self, x: int) -> int:
+        while x in self.up:
+            x = self.up[x]
+        return x
+
+    def join(self, a: int, b: int) -> bool:
+        """False if they already were one."""
+        a, b = self.find(a), self.find(b)
+        if a != b:
+            self.up[max(a, b)] = min(a, b)
+        return a != b
+
+
+def _small_tile(rows: list[tuple], merged: _Merged | None) -> list[tuple[int, int]]:
     """Pairs of a few rows (node, component, n, side, bits), one by one."""
     found = []
     diagonal = not any(r[3] == 1 for r in rows)
@@ -248,11 +270,12 @@ def _small_tile(rows: list[tuple]) -> list[tuple[int, int]]:
                     continue
             elif not _bound_passes(np.frombuffer(bits, "<u8"), n, np.frombuffer(other_bits, "<u8"), m):
                 continue
-            found.append((node, other))
+            if merged is None or merged.join(component, other_component):
+                found.append((node, other))
     return found
 
 
-def _large_tile(rows: list[tuple]) -> list[tuple[int, int]]:
+def _large_tile(rows: list[tuple], merged: _Merged | None) -> list[tuple[int, int]]:
     """The same pairs, a row against its window of sizes at a time."""
     node, component, size, side = (np.array([r[k] for r in rows], dtype=np.int64) for k in range(4))
     bits = [np.frombuffer(r[4], "<u8") for r in rows]
@@ -277,34 +300,49 @@ def _large_tile(rows: list[tuple]) -> list[tuple[int, int]]:
         near = (component[window] != component[i]) & (100 * bound >= 80 * (size[i] + size[window] - bound))
         if diagonal:
             near &= node[window] > node[i]
-        found += [(int(node[i]), int(node[j])) for j in window[near]]
+        for j in window[near]:
+            if merged is None or merged.join(int(component[i]), int(component[j])):
+                found.append((int(node[i]), int(node[j])))
     return found
 
 
-def _tiles_of(batches: Batches) -> Batches:
-    """Rows come sorted by tile; one tile is held at a time."""
-    key, rows = None, []
-    found: list[tuple[int, int]] = []
-    for batch in batches:
-        columns = [pylist(batch, c) for c in ("tile", "node", "component", "n", "side", "bits")]
-        for tile, *row in zip(*columns):
-            if tile != key:
-                found += (_small_tile if len(rows) <= SMALL_TILE else _large_tile)(rows)
-                key, rows = tile, []
-            rows.append(tuple(row))
-        if found:
-            distinct = set(found)
-            found = []
-            yield _pairs([p[0] for p in distinct], [p[1] for p in distinct])
-    found += (_small_tile if len(rows) <= SMALL_TILE else _large_tile)(rows)
-    yield _pairs([p[0] for p in found], [p[1] for p in found])
+def _tiles_of(every: bool):
+    """Rows come sorted by tile; one tile is held at a time.
+
+    Without ``every``, pairs that a tile's earlier pairs already connect are
+    left out, so a tile gives fewer pairs than it has rows.
+    """
+    def pairs_of(rows: list[tuple]) -> list[tuple[int, int]]:
+        merged = None if every else _Merged()
+        return (_small_tile if len(rows) <= SMALL_TILE else _large_tile)(rows, merged)
+
+    def run(batches: Batches) -> Batches:
+        key, rows = None, []
+        found: list[tuple[int, int]] = []
+        for batch in batches:
+            columns = [pylist(batch, c) for c in ("tile", "node", "component", "n", "side", "bits")]
+            for tile, *row in zip(*columns):
+                if tile != key:
+                    found += pairs_of(rows)
+                    key, rows = tile, []
+                rows.append(tuple(row))
+            if found:
+                distinct = set(found)
+                found = []
+                yield _pairs([p[0] for p in distinct], [p[1] for p in distinct])
+        found += pairs_of(rows)
+        yield _pairs([p[0] for p in found], [p[1] for p in found])
+
+    return run
 
 
 def _open_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """The lists that still hold nodes of several components.
+    """The lists that still hold nodes of several components, without their
+    leaders, which every other node has met.
 
     The nodes of the leader's component are the main side of a list.
     """
+    lists = lists.where("node <> leader")
     labelled = lists.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = (
         labelled.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
@@ -318,7 +356,7 @@ def _open_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def _tiles(open_lists: DataFrame, sets: DataFrame) -> DataFrame:
+def _tiles(open_lists: DataFrame, sets: DataFrame, every: bool) -> DataFrame:
     """Pairs across components that the bitmaps let through.
 
     A list of at most ``TILE`` nodes is one tile. A longer one is cut into
@@ -361,7 +399,7 @@ def _tiles(open_lists: DataFrame, sets: DataFrame) -> DataFrame:
         .withColumn("band", F.explode(bands))
         .select(F.xxhash64("token", "band", "i", "j").alias("tile"), "node", "component", "n", "side", "bits")
     )
-    return placed.repartition("tile").sortWithinPartitions("tile").mapInArrow(_tiles_of, "u long, v long").distinct()
+    return placed.repartition("tile").sortWithinPartitions("tile").mapInArrow(_tiles_of(every), "u long, v long").distinct()
 
 
 def _check(pairs: DataFrame, source: DataFrame, rows: DataFrame) -> DataFrame:
@@ -400,7 +438,8 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         .orderBy(F.desc("held"), "node").limit(HOT_SHINGLES).orderBy("held", "node").select("node")
     )
     hot = np.array([r[0] for r in frequent.collect()], dtype=np.int64).view(np.uint64)
-    lists = cut_lineage(_lists(source.mapInArrow(_postings(hot), "token long, node long, hot boolean")), "lists")
+    postings = cut_lineage(source.mapInArrow(_postings(hot), "token long, node long, hot boolean"), "postings")
+    lists = cut_lineage(_lists(postings), "lists")
 
     listed = lists.select("node").distinct()
     sets = cut_lineage(
@@ -412,13 +451,22 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     near = cut_lineage(_screen(stars, sets), "pairs")
     edges = cut_lineage(_check(near, source, rows), "links")
     labels = components(edges)
-    others = cut_lineage(_tiles(cut_lineage(_open_lists(lists, labels), "lists"), sets), "pairs")
-    if others.isEmpty():
-        return rows, labels
-    more = cut_lineage(_check(others, source, rows), "links")
-    if more.isEmpty():
-        return rows, labels
-    return rows, components(edges.unionByName(more))
+    failed = None
+    for every in (False, True):
+        others = _tiles(cut_lineage(_open_lists(lists, labels), "lists"), sets, every)
+        if failed is not None:
+            others = others.join(failed, ["u", "v"], "left_anti")
+        others = cut_lineage(others, "pairs")
+        if others.isEmpty():
+            break
+        more = cut_lineage(_check(others, source, rows), "links")
+        edges = edges.unionByName(more)
+        labels = components(edges)
+        failed = cut_lineage(others.join(more, ["u", "v"], "left_anti"), "failed")
+        # All that the tiles took for links were links: nothing was left out.
+        if failed.isEmpty():
+            break
+    return rows, labels
 
 
 def _lists(postings: DataFrame) -> DataFrame:
