@@ -31,6 +31,7 @@ HEADLINE = [
     "build_dim_cliente",
     "build_fato_vendas",
     "star_load_counts",
+    "batch_pipeline",
     "gold_sales_rollup",
     "insert_if_absent",
     "upsert",

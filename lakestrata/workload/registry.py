@@ -20,7 +20,7 @@ class Query:
 
 QUERIES: dict[str, Query] = {}
 
-MODULES = ["joins", "rows", "privacy", "quality", "star", "audit", "feeds", "streams", "storage"]
+MODULES = ["joins", "rows", "privacy", "quality", "star", "audit", "feeds", "streams", "storage", "pipelines"]
 
 # SQL twins of ``lakestrata.sources.domain``.
 DOMAIN_SQL = """
