@@ -20,7 +20,8 @@ matches if the edits are at most ``EDITS`` of its words. Items of fewer than
 ``MIN_WORDS`` words match nothing: so few words say nothing about their origin.
 
 Defined results: NULL and empty texts and items match nothing; repeated rows
-give one result row; a NULL identifier is reported as NULL; with an empty table
+give one result row; a NULL identifier, of a text or an item, is reported as
+NULL; with an empty table
 nothing matches. Only the identifier and the text are read.
 """
 
@@ -263,7 +264,8 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     items = cut_lineage(
         benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_of().alias("text"))
-        .mapInArrow(_item_rows, "item_id long, n_words long, words binary, keys array<long>"),
+        .mapInArrow(_item_rows, "item_id long, n_words long, words binary, keys array<long>")
+        .withColumn("item_row", F.monotonically_increasing_id()),
         "items",
     )
     sizes = sorted(r["n_words"] for r in items.select("n_words").distinct().collect())
@@ -287,16 +289,16 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         ).withColumn("row_id", F.monotonically_increasing_id()),
         "windows",
     )
-    item_keys = cut_lineage(items.select("item_id", F.explode("keys").alias("key")).distinct(), "item_keys")
+    item_keys = cut_lineage(items.select("item_row", F.explode("keys").alias("key")), "item_keys")
     collided = (
         found.select("row_id", "starts", F.posexplode("keys").alias("at", "key"))
         .select("row_id", "key", F.expr(f"starts[cast(at div {KEYS} as int)]").alias("start"))
-        .join(item_keys, "key").groupBy("row_id", "item_id").agg(F.collect_set("start").alias("starts"))
+        .join(item_keys, "key").groupBy("row_id", "item_row").agg(F.collect_set("start").alias("starts"))
     )
     texts = found.select("row_id", "doc_id", "text_hash", "words")
     candidates = (
         collided.join(texts, "row_id")
-        .join(items.select("item_id", F.col("words").alias("item_words")), "item_id")
+        .join(items.select("item_row", "item_id", F.col("words").alias("item_words")), "item_row")
     )
     return candidates.select("doc_id", "text_hash", "item_id", "words", "item_words", "starts").mapInArrow(_verified, out).distinct()
 
