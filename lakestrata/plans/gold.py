@@ -73,13 +73,13 @@ def regional_weather(
     ``sales`` holds (estado, dia, valor_total); when its state is masked, pass
     the masking key and the plain states of ``weather`` (estado, dia,
     temperatura) are hashed the same way. Both sides are reduced to one row
-    per state and day before the join.
+    per state and day before the join, and states are hashed after that.
     """
-    if key:
-        weather = weather.withColumn("estado", mask_hash(F.col("estado"), key))
     days = weather.groupBy("estado", "dia").agg(
         F.avg("temperatura").alias("temperatura"), F.count(F.lit(1)).alias("medicoes")
     )
+    if key:
+        days = days.withColumn("estado", mask_hash(F.col("estado"), key))
     sold = sales.groupBy("estado", "dia").agg(
         F.sum("valor_total").cast("decimal(38,2)").alias("valor_total"), F.count(F.lit(1)).alias("vendas")
     )

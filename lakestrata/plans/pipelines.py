@@ -17,7 +17,7 @@ from lakestrata import constants as K
 from lakestrata.functions.masking import DEFAULT_POLICY, MaskRule, mask_columns
 from lakestrata.functions.time import ntz
 from lakestrata.operators import audit, quality
-from lakestrata.operators.aggregates import masking_stats, row_counts
+from lakestrata.operators.aggregates import distinct_counts, row_counts
 from lakestrata.operators.joins import orphan_keys
 from lakestrata.plans.consolidate import Tables, consolidate
 from lakestrata.plans.star import build_star, fact_losses
@@ -73,21 +73,33 @@ def consolidate_and_mask(
     """Consolidate, mask and write the silver sales table by purchase month;
     the number of rows written.
 
-    A full rebuild: months that are no longer there are removed. The numbers of
-    distinct values before and after masking are audited per column.
+    A full rebuild: months that are no longer there are removed. Columns that
+    one table alone holds are masked there, before joins repeat their values.
+    The numbers of distinct values before and after masking are audited per
+    column.
     """
-    wide = consolidate(tables, driving, mode)
-    masked = mask_columns(wide, policy, key=key)
+    owner = {c: [n for n, t in tables.items() if c in t.columns] for c in policy}
+    early = {c: owner[c][0] for c in policy if len(owner[c]) == 1}
+    prepared = dict(tables)
+    for name in set(early.values()):
+        own = {c: policy[c] for c in early if early[c] == name}
+        prepared[name] = mask_columns(tables[name], own, key=key)
+    wide = consolidate(prepared, driving, mode)
+    masked = mask_columns(wide, {c: r for c, r in policy.items() if c not in early}, key=key)
     by_month = masked.withColumn("mes", F.date_format("order_purchase_timestamp", "yyyy-MM"))
     seen = Observation("silver")
     counted = by_month.observe(seen, F.count(F.lit(1)).alias("rows"))
     path = write_layer(counted, lake.root, "silver", SALES, ["mes"], replace="table")
     rows = seen.get["rows"]
     # One row per masked column.
-    stats = {r["column"]: r for r in masking_stats(wide, spark.read.parquet(path), list(policy)).collect()}
+    before = {}
+    for column in policy:
+        source = tables[early[column]] if column in early else wide
+        before |= {r["column"]: r["n_distinct"] for r in distinct_counts(source, [column]).collect()}
+    after = {r["column"]: r["n_distinct"] for r in distinct_counts(spark.read.parquet(path), list(policy)).collect()}
     for column, rule in policy.items():
         action, compliance = K.MASK_AUDIT.get(rule.method, ("DATA_MASKED", None))
-        distinct = f"{stats[column]['original_unique']} -> {stats[column]['masked_unique']} distinct values"
+        distinct = f"{before.get(column, 0)} -> {after.get(column, 0)} distinct values"
         message = f"{column}: {rule.method}, {distinct}. {rule.reason}"
         record(spark, lake, "consolidate", "mask", action, message, as_of, compliance=compliance)
     record(spark, lake, "consolidate", "write", "CONSOLIDATION_WRITTEN", f"{rows} rows", as_of)
