@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lakestrata.settings import work_path
 from lakestrata.sources import feeds, inventory
 from lakestrata.sources.domain import table
 from lakestrata.sources.logs import parse_monitor_log
@@ -123,7 +124,17 @@ def inventory_summary(spark, sf_dir):
     )
 
 
-@query("object_inventory")
+@query("object_inventory", """
+SELECT source, count(*) AS n_rows, true AS stored FROM documents GROUP BY source""")
 def object_inventory(spark, sf_dir):
-    """The files that hold the given tables."""
-    return inventory.list_objects(spark, sf_dir)
+    """Documents stored by source: every source's rows beside whether its
+    folder holds objects, each of some size."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
+    path = work_path(spark, "inventory")
+    rows.write.partitionBy("source").parquet(path)
+    objects = inventory.list_objects(spark, path, "*.parquet").select(
+        F.regexp_extract("path", r"/source=([^/]+)/", 1).alias("source"), "length"
+    )
+    held = objects.groupBy("source").agg((F.min("length") > 0).alias("stored"))
+    counted = rows.groupBy("source").agg(F.count(F.lit(1)).alias("n_rows"))
+    return counted.join(held, "source", "left").select("source", "n_rows", "stored")
