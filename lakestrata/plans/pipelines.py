@@ -23,6 +23,7 @@ from lakestrata.plans.consolidate import Tables, consolidate
 from lakestrata.plans.star import build_star, fact_losses
 from lakestrata.sinks.files import append_audit, append_new, write_layer
 from lakestrata.sinks.star import load_star, read_star
+from lakestrata.sources.logs import read_audit
 from lakestrata.sources.tables import read_layer
 from lakestrata.streaming.sales import process_sales_stream
 
@@ -156,6 +157,20 @@ def run_batch(
     return publish_star(spark, lake, version, as_of)
 
 
+def write_authority_report(
+    spark: SparkSession, lake: Lake, start: datetime | str, end: datetime | str, as_of: datetime | str
+) -> str:
+    """Write the restricted copy of a period's audit rows and record that it
+    was handed out; the path of the copy."""
+    report = audit.audit_report(read_audit(spark, lake.audit), start, end)["autoridade"]
+    path = f"{lake.root}/reports/authority/{str(start)[:10]}_{str(end)[:10]}"
+    seen = Observation("authority")
+    report.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    text = f"{seen.get['rows']} rows from {start} to {end}"
+    record(spark, lake, "report", "authority", "AUTHORITY_REPORT_WRITTEN", text, as_of)
+    return path
+
+
 def sales_events(consolidated: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     """Consolidated rows as sales events; the event time is the purchase time."""
     return consolidated.select(

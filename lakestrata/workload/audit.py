@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakestrata.operators import audit, quality
+from lakestrata.plans import pipelines
 from lakestrata.settings import work_path
 from lakestrata.sinks.files import append_audit
 from lakestrata.sources.domain import table
@@ -163,6 +164,16 @@ def authority_report(spark, sf_dir):
     return _report(spark, sf_dir)["autoridade"]
 
 
+@query("authority_report_written", f"""
+WITH {AUDIT_CTE} SELECT level, compliance_status, count(*) AS n_rows FROM p GROUP BY ALL""")
+def authority_report_written(spark, sf_dir):
+    """The restricted copy, written from the stored audit table and read back."""
+    lake = pipelines.Lake(work_path(spark, "authority"))
+    append_audit(audit_table(spark, sf_dir), lake.audit)
+    path = pipelines.write_authority_report(spark, lake, START, END, "2024-02-01 00:00:00")
+    return spark.read.parquet(path).groupBy("level", "compliance_status").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @query("audit_last_days", f"""
 WITH {AUDIT_CTE} SELECT * FROM a WHERE timestamp >= TIMESTAMP '2024-01-30 00:00:00' - INTERVAL 7 DAY""")
 def audit_last_days(spark, sf_dir):
