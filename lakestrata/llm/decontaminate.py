@@ -41,12 +41,13 @@ MIN_WORDS = 5
 WALKS, SAMPLES, STEPS = 6, 8, 4
 KEYS = WALKS * SAMPLES
 CLASS_GROWTH = 1.1
-# The table of word pairs has this many bytes, however large the benchmark is.
-# Each of the 8 bits of a byte stands for every eighth class of sizes.
+# The table of word pairs has this many 16-bit entries, however large the benchmark is.
+# Each bit of an entry stands for every sixteenth class of sizes.
 PAIR_PLACES = 1 << 22
-CLASS_BITS = 8
-# Words searched at a time.
-WORDS_AT_ONCE = 300_000
+CLASS_BITS = 16
+# Words searched and windows embedded at a time.
+WORDS_AT_ONCE = 200_000
+WINDOWS_AT_ONCE = 4_096
 WORD = re.compile(rb"[0-9a-z_\x80-\xff]+")
 
 
@@ -78,15 +79,19 @@ def class_of(n_words: int) -> int:
 def _randoms(size: int, walk: int) -> tuple[np.ndarray, np.ndarray]:
     """Multipliers of the walk's steps and the steps each sample looks at."""
     rng = np.random.Generator(np.random.PCG64([size, walk]))
-    multipliers = rng.integers(0, 1 << 63, 3 * size, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    multipliers = rng.integers(0, 1 << 63, 2 * size, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     return multipliers, rng.integers(0, 2 * size, (SAMPLES, STEPS))
 
 
 def embedded(words: np.ndarray, starts: np.ndarray, size: int, multipliers: np.ndarray) -> np.ndarray:
-    """CGK embeddings of all windows, one column each, 3 * size steps."""
+    """CGK embeddings of the windows, one column each.
+
+    Of the embedding's 3 * size steps the first 2 * size are made: a walk ends
+    about there, and only these are sampled.
+    """
     at = np.zeros(len(starts), dtype=np.int64)
-    out = np.zeros((3 * size, len(starts)), dtype=np.uint64)
-    for step in range(3 * size):
+    out = np.zeros((2 * size, len(starts)), dtype=np.uint64)
+    for step in range(2 * size):
         inside = at < size
         if not inside.any():
             break
@@ -101,6 +106,9 @@ def embedded(words: np.ndarray, starts: np.ndarray, size: int, multipliers: np.n
 def window_keys(words: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
     """``KEYS`` bucket keys for every window, a row each."""
     starts = np.asarray(starts, dtype=np.int64)
+    if len(starts) > WINDOWS_AT_ONCE:
+        parts = range(0, len(starts), WINDOWS_AT_ONCE)
+        return np.concatenate([window_keys(words, starts[k : k + WINDOWS_AT_ONCE], size) for k in parts])
     keys = np.zeros((len(starts), KEYS), dtype=np.uint64)
     for walk in range(WALKS):
         multipliers, samples = _randoms(size, walk)
@@ -210,7 +218,7 @@ def _windows(table, classes: list[tuple[int, int]]):
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
 
     def run(batches: Batches) -> Batches:
-        known = np.frombuffer(table.value, np.uint8)
+        known = np.frombuffer(table.value, np.uint16)
         for batch in batches:
             waiting, size = [], 0
             for doc_id, key, text in zip(pylist(batch, "doc_id"), pylist(batch, "text_hash"), pylist(batch, "text")):
@@ -275,7 +283,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     # The least number of shared pairs over the class; one at least.
     classes = [(size, max(1, size - 1 - 2 * allowed_edits(n))) for size, n in sorted(largest.items())]
     classes.sort()
-    table = np.zeros(PAIR_PLACES, dtype=np.uint8)
+    table = np.zeros(PAIR_PLACES, dtype=np.uint16)
     bits = items.select("words").mapInArrow(_pair_rows([c for c, _ in classes]), "place long, bit int")
     for row in bits.groupBy("place").agg(F.bit_or("bit").alias("bits")).toLocalIterator():
         table[row["place"]] = row["bits"]
