@@ -23,7 +23,8 @@ about n * n / 2**64):
 Defined results: NULL text counts as empty; an empty text has no shingles and
 links with nothing; a text with fewer words than an n-gram is one shingle.
 Rows of one ``doc_id`` count as the same document. A row without ``doc_id``
-gets the component of its text, which is NULL if no row of it has an id.
+gets the component of its text, which is NULL if no row of it has an id; such
+a text links with no other.
 Only ``doc_id`` and ``text`` are read.
 """
 
@@ -213,7 +214,11 @@ def _screened(batches: Batches) -> Batches:
             i for i in range(len(u))
             if _bound_passes(np.frombuffer(bits_u[i], "<u8"), n_u[i], np.frombuffer(bits_v[i], "<u8"), n_v[i])
         ]
-        yield _pairs([u[i] for i in kept], [v[i] for i in kept])
+        rows = pa.array(kept, pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(batch.schema.get_field_index(c)).take(rows) for c in ("u", "v", "doc_u", "doc_v")],
+            names=["u", "v", "doc_u", "doc_v"],
+        )
 
 
 def _verified(batches: Batches) -> Batches:
@@ -395,25 +400,32 @@ def _tiles(open_lists: DataFrame, sets: DataFrame, every: bool) -> DataFrame:
     placed = (
         rows.withColumns({"block": own, "whole": whole}).withColumn("at", F.explode(places))
         .select("token", "whole", "node", "component", "at.*")
-        .join(sets, "node")
+        .join(sets.drop("doc_id"), "node")
         .withColumn("band", F.explode(bands))
         .select(F.xxhash64("token", "band", "i", "j").alias("tile"), "node", "component", "n", "side", "bits")
     )
     return placed.repartition("tile").sortWithinPartitions("tile").mapInArrow(_tiles_of(every), "u long, v long").distinct()
 
 
-def _check(pairs: DataFrame, source: DataFrame, rows: DataFrame) -> DataFrame:
-    """The pairs (u, v) that are similar, by their sorted arrays.
+def _with_documents(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Each pair with a document of either node."""
+    left = sets.select(F.col("node").alias("u"), F.col("doc_id").alias("doc_u"))
+    right = sets.select(F.col("node").alias("v"), F.col("doc_id").alias("doc_v"))
+    return pairs.join(right, "v").join(left, "u")
+
+
+def _check(pairs: DataFrame, source: DataFrame) -> DataFrame:
+    """The pairs (u, v) that are similar, by their sorted arrays; a pair may
+    come more than once.
 
-    The arrays are made again from the texts of just the nodes in ``pairs``.
+    The arrays are made again from the texts of just the documents (doc_u,
+    doc_v) that stand for the nodes in ``pairs``.
     """
-    wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    texts = rows.join(wanted, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    wanted = pairs.select(F.explode(F.array("doc_u", "doc_v")).alias("doc_id")).distinct()
     arrays = cut_lineage(
-        source.join(texts.select("doc_id").distinct(), "doc_id", "left_semi").select("text")
-        .mapInArrow(_arrays, "node long, members binary").dropDuplicates(["node"]),
-        "arrays",
+        source.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(_arrays, "node long, members binary"), "arrays"
     )
+    pairs = pairs.select("u", "v")
     right = arrays.select(F.col("node").alias("v"), F.col("members").alias("right_members"))
     left = arrays.select(F.col("node").alias("u"), F.col("members").alias("left_members"))
     joined = pairs.join(right, "v").join(left, "u").select("u", "v", "left_members", "right_members")
@@ -421,11 +433,12 @@ def _check(pairs: DataFrame, source: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def _screen(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (u, v) that the bitmaps let through."""
-    left = sets.select(F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("bits").alias("bits_u"))
-    right = sets.select(F.col("node").alias("v"), F.col("n").alias("n_v"), F.col("bits").alias("bits_v"))
+    """The pairs (u, v) that the bitmaps let through, with a document of each."""
+    left = sets.select(F.col("node").alias("u"), *[F.col(c).alias(f"{c}_u") for c in ("n", "bits")], F.col("doc_id").alias("doc_u"))
+    right = sets.select(F.col("node").alias("v"), *[F.col(c).alias(f"{c}_v") for c in ("n", "bits")], F.col("doc_id").alias("doc_v"))
     near = (5 * F.least("n_u", "n_v") >= 4 * F.greatest("n_u", "n_v"))
-    return pairs.join(right, "v").join(left, "u").where(near).mapInArrow(_screened, "u long, v long")
+    joined = pairs.join(right, "v").join(left, "u").where(near)
+    return joined.mapInArrow(_screened, "u long, v long, doc_u long, doc_v long")
 
 
 def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -441,16 +454,14 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     postings = cut_lineage(source.mapInArrow(_postings(hot), "token long, node long, hot boolean"), "postings")
     lists = cut_lineage(_lists(postings), "lists")
 
-    listed = lists.select("node").distinct()
     sets = cut_lineage(
-        first.where("kind = 0 and node is not null").select("node", "n", "bits").join(listed, "node", "left_semi")
-        .dropDuplicates(["node"]),
+        first.where("kind = 0 and node is not null").groupBy("node")
+        .agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits")),
         "bitmaps",
     )
     stars = lists.where("leader <> node").select(F.col("leader").alias("u"), F.col("node").alias("v")).distinct()
     near = cut_lineage(_screen(stars, sets), "pairs")
-    edges = cut_lineage(_check(near, source, rows), "links")
-    labels = components(edges)
+    labels = components(_check(near, source))
     failed = None
     for every in (False, True):
         others = _tiles(cut_lineage(_open_lists(lists, labels), "lists"), sets, every)
@@ -459,13 +470,12 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         others = cut_lineage(others, "pairs")
         if others.isEmpty():
             break
-        more = cut_lineage(_check(others, source, rows), "links")
-        edges = edges.unionByName(more)
-        labels = components(edges)
-        failed = cut_lineage(others.join(more, ["u", "v"], "left_anti"), "failed")
+        more = cut_lineage(_check(_with_documents(others, sets), source).distinct(), "links")
+        labels = components(labels.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more))
         # All that the tiles took for links were links: nothing was left out.
-        if failed.isEmpty():
+        if more.count() == others.count():
             break
+        failed = others.join(more, ["u", "v"], "left_anti")
     return rows, labels
 
 
