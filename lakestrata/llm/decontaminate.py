@@ -1,18 +1,17 @@
 """Benchmark decontamination by edit distance over words.
 
-The CGK embedding walks along a string of words: each step writes the current
-word and moves on or stays by a random bit of (step, word). Strings of small
-edit distance then agree at most steps, so edit distance becomes Hamming
-distance, and sampling a few steps is a locality-sensitive hash. Several walks
-with several samples each raise the recall; what collides is verified with the
-exact edit distance of the item to the best part of the text.
-
-Windows have the size of the items, in classes of sizes that grow by a tenth:
-an item is looked for by its first words, as many as the smallest item of its
-class has. Only windows that can match are embedded: with at most ``e`` edits,
-a window of ``w`` words shares at least ``w - 1 - 2 e`` word pairs with its
-item (the q-gram lemma). A fixed-size table of the word pairs of the benchmark
-tests that without losing a match.
+An item with ``n`` words and at most ``e`` allowed edits is cut into ``e + 1``
+pieces. An edit touches one piece, so in every match at least one piece stands
+in the text word for word: texts are searched for the pieces, and what holds one
+is verified with the exact edit distance of the item to the best part of the
+text. This finds every match, whatever its edits, its place and the length of the text.
+
+Only pieces where the item can be are kept: a part of a text within ``e`` edits
+of the item has at most ``n + e`` words and holds at least ``n - 1 - 2 e`` of its
+word pairs (the q-gram lemma). Fixed-size tables of the pieces and the word pairs
+of the benchmark test that without losing a match, in classes of sizes that grow
+by a tenth. Parts may begin before a text's start and end after its end, so that
+texts shorter than the item are searched too.
 
 Words are runs of letters, digits and underscores in lower case, where every
 character beyond ASCII counts as a letter. An item
@@ -38,15 +37,16 @@ from lakestrata.llm.common import Batches, cut_lineage, mix64, pylist, text_of
 
 EDITS = 0.2
 MIN_WORDS = 5
-WALKS, SAMPLES, STEPS = 6, 8, 4
-KEYS = WALKS * SAMPLES
 CLASS_GROWTH = 1.1
-# The table of word pairs has this many 16-bit entries, however large the benchmark is.
-# Each bit of an entry stands for every sixteenth class of sizes.
+# The tables of word pairs and of pieces have this many 16-bit entries each, however large
+# the benchmark is. Each bit of an entry stands for every sixteenth class of sizes.
 PAIR_PLACES = 1 << 22
 CLASS_BITS = 16
-# Words searched and windows embedded at a time.
+# Words searched at a time.
 WORDS_AT_ONCE = 200_000
+# The CGK embedding below: walks, samples of each, steps of a sample, windows embedded at a time.
+WALKS, SAMPLES, STEPS = 6, 8, 4
+KEYS = WALKS * SAMPLES
 WINDOWS_AT_ONCE = 4_096
 WORD = re.compile(rb"[0-9a-z_\x80-\xff]+")
 
@@ -68,6 +68,27 @@ def allowed_edits(n_words: int) -> int:
     return int(EDITS * n_words)
 
 
+def piece_size(n_words: int) -> int:
+    """Words of each of the ``allowed_edits + 1`` pieces of an item: 2 to 4."""
+    return n_words // (allowed_edits(n_words) + 1)
+
+
+def runs_of(words: np.ndarray, size: int) -> np.ndarray:
+    """64-bit hashes of all runs of ``size`` words."""
+    n = max(len(words) - size + 1, 0)
+    with np.errstate(over="ignore"):
+        key = np.full(n, size, dtype=np.uint64)
+        for k in range(size):
+            key = mix64(key * np.uint64(0x9E3779B97F4A7C15) + words[k : k + n])
+    return key
+
+
+def pieces_of(words: np.ndarray) -> np.ndarray:
+    """Hashes of the item's pieces, each once."""
+    parts = allowed_edits(len(words)) + 1
+    return np.unique(runs_of(words, piece_size(len(words)))[np.arange(parts) * len(words) // parts])
+
+
 def class_of(n_words: int) -> int:
     """The smallest size of the class an item of ``n_words`` words is in."""
     size = MIN_WORDS
@@ -84,7 +105,7 @@ def _randoms(size: int, walk: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def embedded(words: np.ndarray, starts: np.ndarray, size: int, multipliers: np.ndarray) -> np.ndarray:
-    """CGK embeddings of the windows, one column each.
+    """CGK embeddings of the windows, one column each; ``matches`` does not need them.
 
     Of the embedding's 3 * size steps the first 2 * size are made: a walk ends
     about there, and only these are sampled.
@@ -146,7 +167,7 @@ def _item_rows(batches: Batches) -> Batches:
             if len(own) < MIN_WORDS:
                 continue
             ids.append(item_id), sizes.append(len(own)), words.append(own.tobytes())
-            keys.append(window_keys(own, np.zeros(1, np.int64), class_of(len(own)))[0])
+            keys.append(pieces_of(own).view(np.int64))
         yield pa.RecordBatch.from_arrays(
             [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(words, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
             names=["item_id", "n_words", "words", "keys"],
@@ -157,16 +178,21 @@ def class_bit(classes: list[int], size: int) -> int:
     return 1 << (classes.index(size) % CLASS_BITS)
 
 
-def _pair_rows(classes: list[int]):
-    """(place, bit) of the word pairs at the start of every item."""
+def places_of(pieces: np.ndarray) -> np.ndarray:
+    """Places of pieces in the table, after those of the pairs."""
+    return (pieces & np.uint64(PAIR_PLACES - 1)).astype(np.int64) + PAIR_PLACES
+
+
+def _known_rows(classes: list[int]):
+    """(place, bit) of the word pairs and the pieces of every item."""
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
             found = set()
             for packed in pylist(batch, "words"):
                 words = np.frombuffer(packed, "<u8")
-                size = class_of(len(words))
-                found |= {(int(p), class_bit(classes, size)) for p in pairs_of(words[:size])}
+                bit = class_bit(classes, class_of(len(words)))
+                found |= {(int(p), bit) for p in (*pairs_of(words), *places_of(pieces_of(words)))}
             yield pa.RecordBatch.from_arrays(
                 [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int32())], names=["place", "bit"]
             )
@@ -174,37 +200,64 @@ def _pair_rows(classes: list[int]):
     return run
 
 
-def _found(texts: list[np.ndarray], known: np.ndarray, classes: list[tuple[int, int]]) -> dict[int, tuple[list, list]]:
-    """For each text that has windows worth embedding their starts and keys."""
+def size_classes(sizes: list[int]) -> list[tuple[int, int, int, list[int]]]:
+    """Of items with these numbers of words: (class, words of the longest
+    match, least number of pairs a match shares, sizes of pieces)."""
+    members: dict[int, list[int]] = {}
+    for n in sizes:
+        members.setdefault(class_of(n), []).append(n)
+    return [
+        (
+            size, max(n + allowed_edits(n) for n in own), min(n - 1 - 2 * allowed_edits(n) for n in own),
+            sorted({piece_size(n) for n in own}),
+        )
+        for size, own in sorted(members.items())
+    ]
+
+
+def _found(texts: list[np.ndarray], known: np.ndarray, classes: list[tuple[int, int, int, list[int]]]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """For each text that holds pieces where an item can be their starts and hashes."""
     words = np.concatenate(texts)
     ends = np.cumsum([len(t) for t in texts])
     begins = ends - [len(t) for t in texts]
     hits = known[pairs_of(words)]
     hits[ends[:-1] - 1] = 0  # a pair across two texts
-    sizes = [size for size, _ in classes]
-    out: dict[int, tuple[list, list]] = {}
-    for size, shared in classes:
-        if size > len(words):
-            break
-        upto = np.concatenate([[0], np.cumsum((hits & class_bit(sizes, size)) > 0)])
-        at = np.flatnonzero(upto[size - 1 :] - upto[: len(upto) - size + 1] >= shared)
-        if not len(at):
+    runs, seeds = {}, {}
+    for length in {k for *_, lengths in classes for k in lengths}:
+        runs[length] = runs_of(words, length)
+        bits = known[places_of(runs[length])]
+        at = np.flatnonzero(bits)
+        at = at[at + length <= ends[np.searchsorted(ends, at, side="right")]]
+        seeds[length] = at, bits[at]
+    sizes = [size for size, *_ in classes]
+    kept: dict[int, list] = {length: [] for length in seeds}
+    for size, longest, shared, lengths in classes:
+        bit = class_bit(sizes, size)
+        own = {k: at[bits & bit > 0] for k in lengths for at, bits in [seeds[k]]}
+        if not any(map(len, own.values())):
             continue
-        owner = np.searchsorted(ends, at, side="right")
-        inside = at + size <= ends[owner]
-        at, owner = at[inside], owner[inside]
-        keys = window_keys(words, at, size)
-        for text in np.unique(owner):
-            own = owner == text
-            starts, all_keys = out.setdefault(int(text), ([], []))
-            starts.append(at[own] - begins[text])
-            all_keys.append(keys[own].ravel())
-    return out
-
-
-def _windows(table, classes: list[tuple[int, int]]):
-    """``classes``: (window size, word pairs it must share). Rows of texts
-    that have such windows, with all their words."""
+        # A part begins at any word and ends with the last word at the latest.
+        upto = np.concatenate([[0], np.cumsum(hits & bit > 0)])
+        last = np.minimum(np.arange(len(words)) + longest - 1, len(upto) - 1)
+        possible = np.concatenate([[0], np.cumsum(upto[last] - upto >= shared)])
+        for k, at in own.items():
+            kept[k].append(at[possible[at + 1] > possible[np.maximum(at + k - longest, 0)]])
+    places = {k: np.unique(np.concatenate(at)) for k, at in kept.items() if at}
+    if not places:
+        return {}
+    starts = np.concatenate(list(places.values()))
+    keys = np.concatenate([runs[k][at] for k, at in places.items()]).view(np.int64)
+    owner = np.searchsorted(ends, starts, side="right")
+    order = np.argsort(owner, kind="stable")
+    starts, keys, owner = starts[order], keys[order], owner[order]
+    there, firsts = np.unique(owner, return_index=True)
+    return {
+        int(text): (starts[a:b] - begins[text], keys[a:b]) for text, a, b in zip(there, firsts, [*firsts[1:], len(owner)])
+    }
+
+
+def _pieces(table, classes: list[tuple[int, int, int, list[int]]]):
+    """Rows of the texts that hold pieces where an item can be, with all their words."""
     names = ["doc_id", "text_hash", "words", "starts", "keys"]
     kinds = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
 
@@ -212,18 +265,19 @@ def _windows(table, classes: list[tuple[int, int]]):
         out: list[list] = [[] for _ in names]
         for text, (starts, keys) in _found([w for _, _, w in waiting], known, classes).items():
             doc_id, key, words = waiting[text]
-            row = (doc_id, key, words.tobytes(), np.concatenate(starts), np.concatenate(keys))
+            row = (doc_id, key, words.tobytes(), starts, keys)
             for column, value in zip(out, row):
                 column.append(value)
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
 
     def run(batches: Batches) -> Batches:
         known = np.frombuffer(table.value, np.uint16)
+        shortest = MIN_WORDS - allowed_edits(MIN_WORDS)
         for batch in batches:
             waiting, size = [], 0
             for doc_id, key, text in zip(pylist(batch, "doc_id"), pylist(batch, "text_hash"), pylist(batch, "text")):
                 words = words_of(text)
-                if len(words) >= MIN_WORDS:
+                if len(words) >= shortest:
                     waiting.append((doc_id, key, words))
                     size += len(words)
                 if size >= WORDS_AT_ONCE:
@@ -236,7 +290,7 @@ def _windows(table, classes: list[tuple[int, int]]):
 
 
 def _verified(batches: Batches) -> Batches:
-    """The best match of an item near the windows that collided with it."""
+    """The best match of an item near its pieces in a text."""
     names = ["doc_id", "text_hash", "item_id", "n_words", "edits", "word_end"]
     for batch in batches:
         out: list[list] = [[] for _ in names]
@@ -248,7 +302,7 @@ def _verified(batches: Batches) -> Batches:
             reach = -1
             spans: list[list[int]] = []
             for start in sorted(starts):
-                low, high = max(0, start - slack), min(len(words), start + len(item) + slack)
+                low, high = max(0, start - len(item) - slack), min(len(words), start + len(item) + slack)
                 if low <= reach:
                     spans[-1][1] = max(spans[-1][1], high)
                 else:
@@ -279,12 +333,9 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     sizes = sorted(r["n_words"] for r in items.select("n_words").distinct().collect())
     if not sizes:
         return spark.createDataFrame([], out)
-    largest = {class_of(n): n for n in sizes}
-    # The least number of shared pairs over the class; one at least.
-    classes = [(size, max(1, size - 1 - 2 * allowed_edits(n))) for size, n in sorted(largest.items())]
-    classes.sort()
-    table = np.zeros(PAIR_PLACES, dtype=np.uint16)
-    bits = items.select("words").mapInArrow(_pair_rows([c for c, _ in classes]), "place long, bit int")
+    classes = size_classes(sizes)
+    table = np.zeros(2 * PAIR_PLACES, dtype=np.uint16)
+    bits = items.select("words").mapInArrow(_known_rows([c for c, *_ in classes]), "place long, bit int")
     for row in bits.groupBy("place").agg(F.bit_or("bit").alias("bits")).toLocalIterator():
         table[row["place"]] = row["bits"]
     packed = spark.sparkContext.broadcast(table.tobytes())
@@ -293,14 +344,14 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     source = source.withColumn("text_hash", F.xxhash64("text"))
     found = cut_lineage(
         source.mapInArrow(
-            _windows(packed, classes), "doc_id long, text_hash long, words binary, starts array<long>, keys array<long>"
+            _pieces(packed, classes), "doc_id long, text_hash long, words binary, starts array<long>, keys array<long>"
         ).withColumn("row_id", F.monotonically_increasing_id()),
-        "windows",
+        "pieces",
     )
     item_keys = cut_lineage(items.select("item_row", F.explode("keys").alias("key")), "item_keys")
     collided = (
         found.select("row_id", "starts", F.posexplode("keys").alias("at", "key"))
-        .select("row_id", "key", F.expr(f"starts[cast(at div {KEYS} as int)]").alias("start"))
+        .select("row_id", "key", F.expr("starts[at]").alias("start"))
         .join(item_keys, "key").groupBy("row_id", "item_row").agg(F.collect_set("start").alias("starts"))
     )
     texts = found.select("row_id", "doc_id", "text_hash", "words")

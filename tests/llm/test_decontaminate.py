@@ -110,3 +110,27 @@ def test_odd_rows(spark):
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [1, 2, 5]
     assert D.matches(docs, bench.limit(0)).count() == 0 == D.matches(docs.limit(0), bench).count()
     assert D.drop_contaminated(docs, bench.limit(0)).count() == len(rows)
+
+
+def shortened(rng, words, edits):
+    gone = set(rng.sample(range(len(words)), edits))
+    return [w for k, w in enumerate(words) if k not in gone]
+
+
+def test_items_with_words_missing_alone_and_at_the_end_of_a_text(spark):
+    """Texts shorter than the item, and passages that end with the text."""
+    rng = random.Random(5)
+    items = {n: [f"w{rng.randrange(400)}" for _ in range(n)] for n in range(5, 61)}
+    docs = []
+    for n, words in items.items():
+        for edits in {1, D.allowed_edits(n)}:
+            before = [f"other{rng.randrange(400)}" for _ in range(90)]
+            docs += [(n, shortened(rng, words, edits)), (n, before + shortened(rng, words, edits))]
+    got = found_pairs(spark, items, [words for _, words in docs])
+    assert got >= {(k, n) for k, (n, _) in enumerate(docs)}
+
+
+def found_pairs(spark, items, texts):
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string")
+    return {(r["doc_id"], r["item_id"]) for r in D.matches(docs, bench).collect()}
