@@ -134,3 +134,26 @@ def found_pairs(spark, items, texts):
     docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
     bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string")
     return {(r["doc_id"], r["item_id"]) for r in D.matches(docs, bench).collect()}
+
+
+@pytest.mark.parametrize("kind", ["substitutions", "deletions", "insertions", "mixed"])
+def test_every_match_is_found_at_the_largest_number_of_edits(spark, kind):
+    """Exactly the allowed edits of one kind, items up to 200 words, against brute force."""
+    rng = random.Random(kind)
+    vocabulary = [f"v{k}" for k in range(300)]
+    some = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    items = {k: some(n) for k, n in enumerate([5, 9, 10, 15, 19, 24, 30, 40, 50, 59, 100, 101, 150, 200])}
+    texts = []
+    for words in items.values():
+        for _ in range(3):
+            passage = list(words)
+            for k in sorted(rng.sample(range(len(words)), D.allowed_edits(len(words))), reverse=True):
+                how = rng.choice(["substitutions", "deletions", "insertions"]) if kind == "mixed" else kind
+                passage[k : k + 1] = {"substitutions": ["new"], "deletions": [], "insertions": ["new", passage[k]]}[how]
+            texts.append(some(40) + passage + some(40))
+    near = {
+        (t, k) for t, words in enumerate(texts) for k, item in items.items()
+        if distance_to_best_part(item, words) <= D.allowed_edits(len(item))
+    }
+    assert near >= {(t, t // 3) for t in range(len(texts))}
+    assert found_pairs(spark, items, texts) == near
