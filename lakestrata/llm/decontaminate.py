@@ -13,8 +13,11 @@ of the benchmark test that without losing a match, in classes of sizes that grow
 by a tenth. Parts may begin before a text's start and end after its end, so that
 texts shorter than the item are searched too.
 
-Words are runs of letters, digits and underscores in lower case, where every
-character beyond ASCII counts as a letter. An item
+Words are runs of letters and digits of any script in lower case, with the marks
+that combine with them; all else, typographic signs too, stands between words. In
+scripts written without spaces (Chinese, Japanese, Thai, Lao, Khmer, Burmese) every
+letter is a word. Texts are brought to Unicode form NFKC first, and characters that
+are not seen within a word, such as the soft hyphen, are left out. An item
 matches if the edits are at most ``EDITS`` of its words. Items of fewer than
 ``MIN_WORDS`` words match nothing: so few words say nothing about their origin.
 
@@ -27,6 +30,7 @@ nothing matches. Only the identifier and the text are read.
 from __future__ import annotations
 
 import re
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -48,12 +52,40 @@ WORDS_AT_ONCE = 200_000
 WALKS, SAMPLES, STEPS = 6, 8, 4
 KEYS = WALKS * SAMPLES
 WINDOWS_AT_ONCE = 4_096
-WORD = re.compile(rb"[0-9a-z_\x80-\xff]+")
+
+
+def _ranges(places, belongs) -> str:
+    """The characters at ``places`` that belong, as ranges of a character set."""
+    out: list[list[int]] = []
+    for place in places:
+        if belongs(chr(place)):
+            if out and out[-1][1] == place - 1:
+                out[-1][1] = place
+            else:
+                out.append([place, place])
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in out)
+
+
+# Thai and Lao, Burmese, Khmer, Tai, kana, Han.
+UNSPACED = [
+    (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF), (0x3005, 0x3007), (0x3031, 0x312F),
+    (0x31A0, 0x31BF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xA9E0, 0xA9FF), (0xAA60, 0xAADF), (0xF900, 0xFAFF),
+]
+_ALONE = _ranges([place for a, b in UNSPACED for place in range(a, b + 1)], str.isalpha) + "\\U00020000-\\U000323af"
+_MARKS = _ranges(range(0x300, 0x1F000), lambda c: unicodedata.category(c)[0] == "M")
+WORD = re.compile(rf"[^\W_{_ALONE}]+(?:[{_MARKS}]+[^\W_{_ALONE}]*)*|[{_ALONE}][{_MARKS}]*")
+# WORD says the same of a text in ASCII.
+ASCII_WORD = re.compile(rb"[0-9a-z]+")
+UNSEEN = re.compile("[\u00ad\u200c\u200d\u2060\ufeff]")
 
 
 def words_of(text: str) -> np.ndarray:
     """64-bit hashes of the text's words."""
-    found = WORD.findall(text.lower().encode("utf-8", "surrogatepass"))
+    if text.isascii():
+        found = ASCII_WORD.findall(text.lower().encode())
+    else:
+        found = WORD.findall(unicodedata.normalize("NFKC", UNSEEN.sub("", text)).lower())
+        found = "\n".join(found).encode().split(b"\n") if found else []
     return np.fromiter(map(xxhash.xxh3_64_intdigest, found), dtype=np.uint64, count=len(found))
 
 

@@ -157,3 +157,25 @@ def test_every_match_is_found_at_the_largest_number_of_edits(spark, kind):
     }
     assert near >= {(t, t // 3) for t in range(len(texts))}
     assert found_pairs(spark, items, texts) == near
+
+
+def test_words_of_any_script(spark):
+    same = lambda a, b: D.words_of(a).tolist() == D.words_of(b).tolist()
+    assert same("It\u2019s \u201cone\u201d\u2014two\u00a0three\u2026 co\u00adop", 'its "one" - two three... coop'.replace("its", "it's"))
+    assert same("Re\u0301sume\u0301 \uff21\uff22\uff0c\uff11", "r\u00e9sum\u00e9 AB, 1") and same("snake_case", "snake case")
+    assert len(D.words_of("\u0939\u093f\u0928\u094d\u0926\u0940 \u092d\u093e\u0937\u093e")) == 2  # Hindi marks are no ends
+    assert len(D.words_of("GPT4\u662f\u4ec0\u4e48\u3002\ud55c\uad6d\uc5b4")) == 5 and same("...", "") and same("\u3002", "")
+    mixed = "".join(chr(c) for c in range(32, 127))
+    assert D.words_of(mixed).tolist() == D.words_of(mixed + "\u2014").tolist()  # both expressions
+    items = {
+        1: "\u6c34\u5728\u6807\u51c6\u5927\u6c14\u538b\u4e0b\u7684\u6cb8\u70b9\u662f\u591a\u5c11\u6444\u6c0f\u5ea6\uff1f",
+        2: "\u6771\u4eac\u306f\u65e5\u672c\u306e\u9996\u90fd\u3067\u3059\u304b",
+        3: "\u0e01\u0e23\u0e38\u0e07\u0e40\u0e17\u0e1e\u0e40\u0e1b\u0e47\u0e19\u0e40\u0e21\u0e37\u0e2d\u0e07\u0e2b\u0e25\u0e27\u0e07",
+        4: "\u662f\u6c34",
+    }
+    docs = [(k, f"\u95ee\u9898\uff1a{text}\u3002\u7b54") for k, text in items.items()]
+    docs.append((5, items[1].replace("\u591a", "").replace("\u7684", "\u4e4b")))
+    docs.append((6, "\u5b8c\u5168\u4e0d\u540c\u7684\u4e00\u6bb5\u6587\u5b57\uff0c\u6ca1\u6709\u5173\u7cfb"))
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"], r["edits"]) for r in D.matches(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert got == {(1, 1, 0), (2, 2, 0), (3, 3, 0), (5, 1, 2)}
