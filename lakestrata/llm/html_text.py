@@ -28,8 +28,16 @@ from lakestrata.llm.common import Batches, pylist
 # Elements by how HTML treats them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = frozenset(
-    "head title script style template noscript iframe object embed svg math canvas audio video datalist noframes".split()
+    "head title script style template noscript iframe object embed canvas audio video datalist noframes "
+    "annotation annotation-xml".split()
 )
+# Of a drawing the text elements and embedded HTML are shown, but not what these hold.
+SVG_HIDDEN = frozenset("desc metadata defs symbol clippath mask pattern marker".split())
+SVG_SHOWN = ("text", "foreignobject")
+# Elements of formulas and drawings set apart by a space.
+APART = frozenset("math mi mn mo ms mtext text".split())
+# Fields that show their value.
+VALUE_SHOWN = frozenset("button submit reset text search email url tel number".split())
 # Blocks set off by an empty line, and those that only start a line.
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl pre blockquote table figure hr fieldset menu dir".split())
 PLAIN = frozenset(
@@ -55,17 +63,23 @@ ENDS = {tag: [(open_, stops) for open_, starts, stops in IMPLIED if tag in start
 SCOPE = frozenset("table td th caption html".split())
 
 _SPACE = re.compile(r"[ \t\n\r\f]+")
-_INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.IGNORECASE)
+_INVISIBLE = re.compile(r"display\s*:\s*none|content-visibility\s*:\s*hidden", re.IGNORECASE)
+_VISIBILITY = re.compile(r"(?<![-\w])visibility\s*:\s*(hidden|collapse|visible|initial)", re.IGNORECASE)
 
 
 def is_hidden(tag: str, attrs: dict[str, str | None]) -> bool:
     if tag in HIDDEN or "hidden" in attrs or (tag == "dialog" and "open" not in attrs):
         return True
-    if tag == "input":
-        return True
     return bool(_INVISIBLE.search(attrs.get("style") or ""))
 
 
+def is_visible(attrs: dict[str, str | None], inherited: bool) -> bool:
+    """Whether an element's text is seen; unlike a hidden element, one that is
+    not may hold others that are."""
+    said = _VISIBILITY.findall(attrs.get("style") or "")
+    return said[-1].lower() in ("visible", "initial") if said else inherited
+
+
 def width(text: str) -> int:
     """Columns a text takes in a fixed-width font."""
     if text.isascii():
@@ -174,6 +188,7 @@ class _Page(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, bool]] = []  # tag, hidden
         self.names: Counter[str] = Counter()  # of the open elements: most searches need not look
+        self.visible: list[bool] = []  # of the open elements
         self.hidden = 0
         self.pre = 0
         self.contexts: list[_Lines] = [_Lines()]
@@ -197,12 +212,14 @@ class _Page(HTMLParser):
         if tag == "tr" and not self._in_table():
             self.handle_starttag("table", [])
         attrs = dict(attributes)
-        hidden = is_hidden(tag, attrs) or self._in_closed_details(tag)
+        hidden = is_hidden(tag, attrs) or self._in_closed_details(tag) or (tag in SVG_HIDDEN and self._in_drawing())
+        visible = is_visible(attrs, not self.visible or self.visible[-1])
         if tag in VOID:
-            if not hidden and not self.hidden:
-                self._void(tag)
+            if visible and not hidden and not self.hidden:
+                self._void(tag, attrs)
             return
         self.open.append((tag, hidden))
+        self.visible.append(visible)
         self.hidden += hidden
         if tag == "details":
             self.open[-1] = ("details" if "open" in attrs else "details-closed", hidden)
@@ -214,11 +231,18 @@ class _Page(HTMLParser):
         return tag != "summary" and bool(self.open) and self.open[-1][0] == "details-closed"
 
     def handle_startendtag(self, tag: str, attributes) -> None:
+        foreign = tag in ("svg", "math") or ((self.names["svg"] or self.names["math"]) and not self.names["foreignobject"])
         self.handle_starttag(tag, attributes)
+        # HTML reads the slash in formulas and drawings only.
+        if foreign and tag not in VOID and self.open[-1][0] == tag:
+            self._close_to(len(self.open) - 1)
+
+    def _in_drawing(self) -> bool:
+        return self.names["svg"] > 0 and not self.names["foreignobject"]
 
     def handle_endtag(self, tag: str) -> None:
         if tag == "br":
-            self._void("br") if not self.hidden else None
+            self._void("br", {}) if not self.hidden and (not self.visible or self.visible[-1]) else None
             return
         if not self.names[tag]:
             return
@@ -235,6 +259,10 @@ class _Page(HTMLParser):
     def handle_data(self, data: str) -> None:
         if self.hidden or (self.open and self.open[-1][0] == "details-closed"):
             return
+        if self.visible and not self.visible[-1]:
+            return
+        if self.names["svg"] and not any(self.names[name] for name in SVG_SHOWN):
+            return
         # Text of a table outside its cells stands before the table.
         if self.tables and self._loose() and not data.strip():
             return
@@ -265,17 +293,20 @@ class _Page(HTMLParser):
     def _close_to(self, k: int) -> None:
         while len(self.open) > k:
             tag, hidden = self.open.pop()
+            self.visible.pop()
             tag = tag.removesuffix("-closed")
             self.names[tag] -= 1
             if not self.hidden:
                 self._leave(tag)
             self.hidden -= hidden
 
-    def _void(self, tag: str) -> None:
+    def _void(self, tag: str, attrs: dict) -> None:
         if tag == "br":
             self.contexts[-1].line_break()
         elif tag == "hr":
             self.contexts[-1].block(True)
+        elif tag == "input" and (attrs.get("type") or "text").strip().lower() in VALUE_SHOWN and attrs.get("value"):
+            self.contexts[-1].text(f" {attrs['value']} ", False)
 
     def _enter(self, tag: str, attrs: dict) -> None:
         out = self.contexts[-1]
@@ -315,6 +346,8 @@ class _Page(HTMLParser):
             self.pre += tag == "pre"
         elif tag == "textarea":
             self.pre += 1
+        elif tag in APART and (self.names["math"] or self.names["svg"]):
+            out.space = True
 
     def _leave(self, tag: str) -> None:
         if tag in ("td", "th", "caption"):
@@ -347,6 +380,8 @@ class _Page(HTMLParser):
             self.pre -= tag == "pre"
         elif tag == "textarea":
             self.pre -= 1
+        elif tag == "svg":
+            out.space = True
 
 
 def page_text(html: str) -> str:

@@ -140,3 +140,17 @@ def test_odd_pages(spark):
     assert out.columns == ["page_id", "text"]
     assert sorted(map(tuple, out.collect()), key=repr) == sorted([(1, ""), (2, ""), (None, "x"), (3, "y"), (3, "y")], key=repr)
     assert H.extract(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("html, text", [
+    ("Let <math><mi>E</mi><mo>=</mo><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup></math>, so", "Let E = m c 2, so"),
+    ("<math><semantics><mi>x</mi><annotation>x_tex</annotation></semantics></math>", "x"),
+    ("a<svg><title>no</title><style>no</style><path d='M0'/>no<defs><text>no</text></defs><text x=1>Sales <tspan>2024</tspan></text><text>Costs</text></svg>b", "a Sales 2024 Costs b"),
+    ("<svg><foreignObject><p>inner</p></foreignObject></svg><svg/>after", "inner\n\nafter"),
+    ("<svg style='display:none'><text>no</text></svg><svg><text/>no</svg>yes", "yes"),
+    ("<input type=submit value='Send it'><input type=hidden value=no><input type=password value=no><input value=typed>", "Send it typed"),
+    ("<div style='visibility:hidden'>no <b style='visibility: visible'>yes<i>too</i></b> no<br>no</div>end", "yestoo\nend"),
+    ("<div style='display:none'><b style='visibility:visible'>no</b></div><p style='backface-visibility:hidden'>yes", "yes"),
+])
+def test_formulas_drawings_fields_and_visible_descendants(html, text):
+    assert H.page_text(html) == text
