@@ -10,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakestrata.llm import (
-    chat, decontaminate, html_text, line_dedup, ngram_join, packing, pii, quality_gbt, secret_scan, winnowing,
+    chat, decontaminate, filter_audit, html_text, line_dedup, ngram_join, packing, phrases, pii, quality_gbt,
+    secret_scan, toxicity, winnowing,
 )
 from lakestrata.llm.common import Batches, crc32_of, pylist, table
 
@@ -119,11 +120,119 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (crc32_of("doc_id") % quality_gbt.FOLDS == 0).alias("held_out"), "score", "predicted")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = filter_audit.count_masks(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), part=F.col("source")
+    )
+    return filter_audit.audit(counted, filter_audit.FILTERS)
+
+
+# The orders one by one; a filter's value is its removals summed over them.
+OP11_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+marks AS (
+  SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS bad FROM labels GROUP BY doc_id),
+f AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(bad, 0) AS bad,
+         CASE WHEN len(w) < 200 THEN 'A' ELSE '' END
+         || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails
+  FROM d LEFT JOIN marks USING (doc_id)),
+counted AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(bad) AS bad FROM f GROUP BY part, fails),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+  FROM letters a JOIN letters b ON b.x <> a.x JOIN letters c ON c.x NOT IN (a.x, b.x)
+  JOIN letters d ON d.x NOT IN (a.x, b.x, c.x) JOIN letters e ON e.x NOT IN (a.x, b.x, c.x, d.x)),
+steps AS (
+  SELECT filter_order, step, substr(filter_order, step, 1) AS x, substr(filter_order, 1, step - 1) AS earlier
+  FROM orders, (SELECT CAST(unnest([1, 2, 3, 4, 5]) AS INTEGER) AS step)),
+met AS (
+  SELECT part, filter_order, step, x, n, good, bad, contains(fails, x) AS hit, fails = x AS alone,
+         length(translate(fails, earlier, '')) < length(fails) AS gone
+  FROM counted, steps),
+counts AS (
+  SELECT part, filter_order, step, x,
+         sum(CASE WHEN hit OR gone THEN 0 ELSE n END) AS kept, sum(CASE WHEN hit AND NOT gone THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN hit AND gone THEN n ELSE 0 END) AS redundant, sum(CASE WHEN alone THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN hit AND NOT gone THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN hit AND NOT gone THEN bad ELSE 0 END) AS toxic_lost
+  FROM met GROUP BY part, filter_order, step, x)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
+FROM counts
+"""
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), F.col("lang"))
+
+
+OP12_SQL = r"""
+WITH pieces AS (
+  SELECT lang, [x FOR x IN string_split_regex(piece, '[\x20\x09]+') IF x <> ''] AS w
+  FROM (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(string_split_regex(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents)),
+grams AS (
+  SELECT lang, 1 AS size, unnest(w) AS phrase FROM pieces
+  UNION ALL
+  SELECT lang, 2, unnest([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) FROM pieces
+  UNION ALL
+  SELECT lang, 3, unnest([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]) FROM pieces),
+f AS (SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY lang, size, phrase),
+n AS (SELECT lang, sum(f) AS n FROM f WHERE size = 1 GROUP BY lang),
+cand AS (SELECT lang, phrase, size, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND f >= 10),
+cuts AS (
+  SELECT lang, phrase, a, size, k, array_to_string(w[:k], ' ') AS lp, array_to_string(w[k + 1:], ' ') AS rp
+  FROM cand, (SELECT unnest([1, 2]) AS k) WHERE k < size),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, k, l.f AS l, r.f AS r,
+         CAST(CAST(1000000 AS HUGEINT) * a * a // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+  FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = c.lp JOIN f r ON r.lang = c.lang AND r.phrase = c.rp),
+lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+longer AS (
+  SELECT lang, part, max(a) AS b FROM (
+    SELECT lang, unnest([array_to_string(w[:2], ' '), array_to_string(w[2:], ' ')]) AS part, a FROM cand WHERE size = 3)
+  GROUP BY lang, part),
+kept AS (
+  SELECT s.* FROM lowest s LEFT JOIN longer g ON g.lang = s.lang AND g.part = s.phrase WHERE g.b IS NULL OR 100 * g.b < 50 * s.a),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, score
+  FROM kept)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+       CAST(n.n AS BIGINT) AS n, score
+FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+
+def op13_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model, keep=["doc_id"])
+    return scored.select(
+        "doc_id", (crc32_of("doc_id") % toxicity.FOLDS == toxicity.HELD_OUT).alias("held_out"), "score", "predicted",
+        F.size("passages").alias("n_passages"),
+    )
+
+
 QUERIES: dict[str, Runner] = {
     run.__name__: run
     for run in (
         op1_pii_surrogates, op2_best_fit_packing, op3_secret_scan, op4_ngram_jaccard_join, op5_winnowing,
         op6_benchmark_decontamination, op7_chat_formatting, op8_line_dedup, op9_html_text, op10_quality_classifier,
+        op11_filter_audit, op12_phrase_collocations, op13_toxic_segments,
     )
 }
-SQL: dict[str, str] = {"op8_line_dedup": OP8_SQL}
+SQL: dict[str, str] = {"op8_line_dedup": OP8_SQL, "op11_filter_audit": OP11_SQL, "op12_phrase_collocations": OP12_SQL}
