@@ -1,8 +1,8 @@
 """Toxic passages: maximum-scoring segments over token log-odds.
 
 A token's score is the log-odds of its rate in toxic against other texts, under
-a Dirichlet prior that follows the token's rate in all texts; only log-odds that
-stand out from their standard error, and are large enough to matter, count. A
+a Dirichlet prior that follows the token's rate in all texts, less two standard
+errors; what is then too small to matter counts as nothing. A
 word that has none is scored by the longest of its first letters that has, so
 inflected forms are known by their stem. Every token costs ``DRIFT``, so a text
 without toxic words has a falling total.
@@ -46,9 +46,9 @@ from lakestrata.operators.joins import broadcast_if_small
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
 # Weight of the prior as a share of all tokens.
-PRIOR = 0.1
-# Least log-odds that count: in standard errors, and as such.
-LEAST_ERRORS, LEAST_ODDS = 3.0, 0.5
+PRIOR = 0.05
+# Standard errors that log-odds are brought closer to zero by, and the least that then count.
+ERRORS, LEAST_ODDS = 2.0, 0.5
 DRIFT = 0.5
 STEMS = (4, 5, 6, 7, 8)
 MOST_EXPECTED = 0.01
@@ -205,7 +205,8 @@ def _count_forms(batches: Batches) -> Batches:
 
 
 def log_odds(counts: DataFrame, toxic: Column, other: Column) -> DataFrame:
-    """(form, odds) of the forms whose log-odds stand out and matter."""
+    """(form, odds) of the forms whose log-odds are large enough even when
+    ``ERRORS`` standard errors are taken off; what is left is their score."""
     counted = counts.select("form", toxic.cast("double").alias("t"), other.cast("double").alias("o"))
     whole = ~F.col("form").endswith("*")
     totals = counted.where(whole).agg(F.sum("t").alias("t"), F.sum("o").alias("o")).first()
@@ -221,9 +222,10 @@ def log_odds(counts: DataFrame, toxic: Column, other: Column) -> DataFrame:
 
     odds = logit(F.col("t"), n_t) - logit(F.col("o"), n_o)
     error = F.sqrt(1 / (F.col("t") + prior) + 1 / (F.col("o") + prior))
+    sure = F.signum("odds") * (F.abs("odds") - ERRORS * F.col("error"))
     return (
         counted.where((F.col("t") + F.col("o")) > 0).select("form", odds.alias("odds"), error.alias("error"))
-        .where((F.abs("odds") >= LEAST_ERRORS * F.col("error")) & (F.abs("odds") >= LEAST_ODDS)).select("form", "odds")
+        .where(F.abs("odds") - ERRORS * F.col("error") >= LEAST_ODDS).select("form", sure.alias("odds"))
     )
 
 
