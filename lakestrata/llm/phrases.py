@@ -9,9 +9,10 @@ n-grams are counted once per distinct chunk, times its frequency. The n-grams
 that begin in a chunk's last two symbols belong to the next chunk and are left
 to it.
 
-All counts are exact. Three-word n-grams are counted only where both pairs may
-be frequent, by a bitmap of the frequent pairs: one of its errors costs time
-and never a phrase. The bitmap has a fixed size.
+All counts are exact. Pairs are counted by hash first, and a bitmap of a fixed
+size holds the frequent ones; n-grams are then counted word for word where all
+their pairs may be frequent. An error of the hash or the bitmap costs time and
+never a phrase.
 
 Defined results: a NULL text counts as empty, a NULL language as ``und``; texts
 of any length are read whole; a repeated row counts each time; an empty table
@@ -28,6 +29,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakestrata.llm.common import Batches, cut_lineage, mix64, pylist, text_of
@@ -40,6 +42,10 @@ SCALE = 1_000_000
 # Symbols that one task counts together before it hands the counts on.
 GROUP = 3_000_000
 BITMAP_BITS = 1 << 27
+# Rows of a batch that a task hands on.
+ROWS = 50_000
+# Cells that rank a language's phrases before one task ranks their best.
+CELLS = 64
 
 END = b"."  # no word holds it
 _ENDS = re.compile(rb"[.,;:!?\x0A-\x0D][.,;:!?\x0A-\x0D\x20\x09]*")
@@ -146,89 +152,85 @@ def _starts(ids: np.ndarray, last: np.ndarray, size: int) -> np.ndarray:
 
 def _summed(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys and their total frequency."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys, times = keys[order], times[order]
     first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
     return keys[first], np.add.reduceat(times, first) if len(first) else times
 
 
 def _rows(lang: str, size: int, phrases: list[bytes], times: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for at in range(0, len(phrases), 50_000):
-        part = phrases[at:at + 50_000]
+    for at in range(0, len(phrases), ROWS):
+        part = phrases[at:at + ROWS]
         yield pa.RecordBatch.from_arrays(
             [pa.array([lang] * len(part), pa.string()), pa.array([size] * len(part), pa.int32()),
-             pa.array(part, pa.binary()), pa.array(times[at:at + 50_000], pa.int64())],
+             pa.array(part, pa.binary()), pa.array(times[at:at + ROWS], pa.int64())],
             names=["lang", "size", "phrase", "times"],
         )
 
 
-def _count_short(most: int) -> Callable[[Batches], Batches]:
-    """Counts words and pairs."""
-    def run(batches: Batches) -> Batches:
-        for lang, names, ids, times, last in _groups(batches, most):
-            n = len(names)
-            at = _starts(ids, last, 1)
-            words, total = _summed(ids[at], times[at])
-            yield from _rows(lang, 1, [names[i] for i in words.tolist()], total)
-            at = _starts(ids, last, 2)
-            pairs, total = _summed(ids[at] * n + ids[at + 1], times[at])
-            a, b = (pairs // n).tolist(), (pairs % n).tolist()
-            yield from _rows(lang, 2, [names[i] + b" " + names[j] for i, j in zip(a, b)], total)
-
-    return run
+def _hashes(lang: str, names: list[bytes]) -> np.ndarray:
+    seed = zlib.crc32(lang.encode())
+    return np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in names), dtype=np.uint64, count=len(names))
 
 
-def _pair_bits(lang: str, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """Place in the bitmap of pairs of hashed words."""
-    seed = np.uint64(zlib.crc32(lang.encode()) * 0x9E3779B97F4A7C15 % 2**64)
-    return mix64((first << np.uint64(32) | second) ^ seed) % np.uint64(BITMAP_BITS)
+def _pair_hashes(hashes: np.ndarray) -> np.ndarray:
+    """Hashes of neighbouring symbols, from those of all symbols."""
+    with np.errstate(over="ignore"):
+        return mix64(hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[1:])
 
 
-def _hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(zlib.crc32, words), dtype=np.uint64, count=len(words))
-
+def _count_pairs(most: int) -> Callable[[Batches], Batches]:
+    """Counts pairs of words by their hash."""
+    def run(batches: Batches) -> Batches:
+        for lang, names, ids, times, last in _groups(batches, most):
+            at = _starts(ids, last, 2)
+            pairs, total = _summed(_pair_hashes(_hashes(lang, names)[ids])[at], times[at])
+            for k in range(0, len(pairs), ROWS):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(pairs[k:k + ROWS].view(np.int64)), pa.array(total[k:k + ROWS])], names=["pair", "times"]
+                )
 
-def _places(batches: Batches) -> Batches:
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        langs = np.array(batch.column(0).to_pylist(), dtype=object)
-        pairs = [p.split(b" ") for p in batch.column(1).to_pylist()]
-        first, second = _hashes([p[0] for p in pairs]), _hashes([p[1] for p in pairs])
-        bits = np.concatenate([_pair_bits(lang, first[langs == lang], second[langs == lang]) for lang in set(langs.tolist())])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array((bits >> np.uint64(6)).astype(np.int64)),
-             pa.array((np.uint64(1) << (bits & np.uint64(63))).view(np.int64))], names=["word", "bits"],
-        )
+    return run
 
 
 def _bitmap(pairs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Words of the bitmap that are not zero: places in order, and bits. There
     are at most ``BITMAP_BITS`` / 64 of them, however many pairs there are."""
-    held = pairs.select("lang", "phrase").mapInArrow(_places, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    place = F.col("pair").bitwiseAND(BITMAP_BITS - 1)
+    bits = F.expr(f"shiftleft(1L, CAST(pair & {BITMAP_BITS - 1} & 63 AS INT))")
+    held = pairs.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(bits).alias("bits"))
     got = held.toArrow()
     words, bits = (got.column(i).to_numpy() for i in range(2))
     order = np.argsort(words)
     return words[order], bits[order].astype(np.int64).view(np.uint64)
 
 
-def _count_long(most: int, bitmap) -> Callable[[Batches], Batches]:
-    """Counts three-word n-grams both of whose pairs the bitmap holds."""
+def _count_phrases(most: int, bitmap) -> Callable[[Batches], Batches]:
+    """Counts words, the pairs that the bitmap holds, and the three words both
+    of whose pairs it holds."""
     def run(batches: Batches) -> Batches:
         places, bits = bitmap.value
         whole = np.zeros(BITMAP_BITS // 64, dtype=np.uint64)
         whole[places] = bits
         for lang, names, ids, times, last in _groups(batches, most):
             n = len(names)
-            hashes = _hashes(names)[ids]
-            place = _pair_bits(lang, hashes[:-1], hashes[1:])
+            at = _starts(ids, last, 1)
+            words, total = _summed(ids[at], times[at])
+            yield from _rows(lang, 1, [names[i] for i in words.tolist()], total)
+            place = _pair_hashes(_hashes(lang, names)[ids]) & np.uint64(BITMAP_BITS - 1)
             held = whole[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1) == 1
+            at = _starts(ids, last, 2)
+            at = at[held[at]]
+            pairs, total = _summed(ids[at] * n + ids[at + 1], times[at])
+            first, second = (pairs // n).tolist(), (pairs % n).tolist()
+            yield from _rows(lang, 2, [names[i] + b" " + names[j] for i, j in zip(first, second)], total)
             at = _starts(ids, last, 3)
             at = at[held[at] & held[at + 1]]
-            pairs, code = np.unique(ids[at] * n + ids[at + 1], return_inverse=True)
-            keys, total = _summed(code.astype(np.int64) * n + ids[at + 2], times[at])
-            a, c = pairs[keys // n], (keys % n).tolist()
-            phrases = [b" ".join((names[i], names[j], names[k])) for i, j, k in zip((a // n).tolist(), (a % n).tolist(), c)]
+            # Pairs numbered in their order, so that three words fit one integer.
+            code = np.searchsorted(pairs, ids[at] * n + ids[at + 1])
+            keys, total = _summed(code * n + ids[at + 2], times[at])
+            head, third = pairs[keys // n], (keys % n).tolist()
+            phrases = [b" ".join((names[i], names[j], names[k])) for i, j, k in zip((head // n).tolist(), (head % n).tolist(), third)]
             yield from _rows(lang, 3, phrases, total)
 
     return run
@@ -236,16 +238,18 @@ def _count_long(most: int, bitmap) -> Callable[[Batches], Batches]:
 
 def frequent_ngrams(chunks: DataFrame, *, min_count: int = MIN_COUNT, group: int = GROUP) -> DataFrame:
     """N-grams of one to three words that occur ``min_count`` times or more,
-    as lang, size, phrase (its words joined by a space) and f."""
-    spark = chunks.sparkSession
+    as lang, size, phrase (its words joined by a space) and f.
 
-    def often(rows: DataFrame, name: str) -> DataFrame:
-        total = rows.groupBy("lang", "size", "phrase").agg(F.sum("times").alias("f"))
-        return cut_lineage(total.where(F.col("f") >= min_count), name)
-
-    short = often(chunks.mapInArrow(_count_short(group), _NGRAMS), "short_ngrams")
-    bitmap = spark.sparkContext.broadcast(_bitmap(short.where("size = 2")))
-    return short.unionByName(often(chunks.mapInArrow(_count_long(group, bitmap), _NGRAMS), "long_ngrams"))
+    A first pass counts pairs by hash; pairs of equal hash only make a count
+    too large, so no frequent pair is missed. The second counts what can be
+    frequent, word for word.
+    """
+    pairs = chunks.mapInArrow(_count_pairs(group), "pair long, times long").groupBy("pair").agg(F.sum("times").alias("f"))
+    often = cut_lineage(pairs.where(F.col("f") >= min_count).select("pair"), "frequent_pairs")
+    bitmap = chunks.sparkSession.sparkContext.broadcast(_bitmap(often))
+    counted = chunks.mapInArrow(_count_phrases(group, bitmap), _NGRAMS)
+    total = counted.groupBy("lang", "size", "phrase").agg(F.sum("times").alias("f"))
+    return cut_lineage(total.where(F.col("f") >= min_count), "ngrams")
 
 
 def collocations(
@@ -289,9 +293,10 @@ def score_phrases(ngrams: DataFrame, words: DataFrame, *, top: int = TOP) -> Dat
         .groupBy("lang", within.alias("phrase")).agg(F.max("a").alias("longer"))
     )
     kept = lowest.join(inside, ["lang", "phrase"], "left").where(F.expr("longer IS NULL OR 100 * longer < 50 * a"))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    ranked = (
-        kept.select("lang", F.col("phrase").cast("string").alias("phrase"), "a", "cut.l", "cut.r", "cut.score")
-        .withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= top)
-    )
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    flat = kept.select("lang", F.col("phrase").cast("string").alias("phrase"), "a", "cut.l", "cut.r", "cut.score")
+    cell = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(CELLS))).orderBy(*order)
+    best = flat.withColumn("rank", F.row_number().over(cell)).where(F.col("rank") <= top)
+    last = Window.partitionBy("lang").orderBy(*order)
+    ranked = best.withColumn("rank", F.row_number().over(last)).where(F.col("rank") <= top)
     return ranked.join(words, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
