@@ -12,14 +12,14 @@ from __future__ import annotations
 
 from bisect import bisect_right
 
+import numpy as np
+
 Packing = list[tuple[tuple[int, ...], int]]
 
-# Fillings looked at for one bin, and branches tried in all (few items have
-# cheap branches): they limit how long a better packing is looked for, never
-# what is packed.
+# Steps in the search of one bin's fillings, and of all bins once branches are
+# tried: they limit how long a better packing is looked for, never what is packed.
 FILLINGS = 400
-NODES = 16
-FEW_ITEMS, FEW_ITEMS_NODES = 60, 4_000
+STEPS = 400_000
 
 
 def best_fit(counts: dict[int, int], capacity: int) -> Packing:
@@ -90,12 +90,14 @@ def _dominated(filling: tuple[int, ...], other: tuple[int, ...]) -> bool:
     return place(0)
 
 
-def fillings(counts: dict[int, int], ascending: list[int], space: int, wasted: int) -> list[tuple[int, ...]]:
+def fillings(
+    counts: dict[int, int], ascending: list[int], space: int, wasted: int, spent: list[int]
+) -> list[tuple[int, ...]]:
     """Undominated fillings of ``space`` that waste at most ``wasted``, fullest first.
 
     Lengths are tried from the longest down; a filling that leaves room for a
-    length still at hand is not maximal and is not listed. ``FILLINGS`` of
-    them are looked at.
+    length still at hand is not maximal and is not listed. At most ``FILLINGS``
+    steps are made; ``spent[0]`` counts them.
     """
     found: list[tuple[int, ...]] = []
     taken: dict[int, int] = {}
@@ -106,6 +108,7 @@ def fillings(counts: dict[int, int], ascending: list[int], space: int, wasted: i
         """True when a filling without waste was found."""
         nonlocal steps
         steps += 1
+        spent[0] += 1
         top = min(upto, bisect_right(ascending, room))
         open_ = False
         for k in range(top - 1, -1, -1):
@@ -151,69 +154,98 @@ def _undominated(found: list[tuple[int, ...]]) -> list[tuple[int, ...]]:
     return [f for k, f in enumerate(ordered) if not any(_dominated(f, g) for j, g in enumerate(ordered) if j != k)] or ordered[:1]
 
 
-def pack(counts: dict[int, int], capacity: int, *, nodes: int | None = None) -> Packing:
-    """Pack all lengths; ``counts[n]`` items have the length n, 1 <= n <= capacity."""
+def pack(counts: dict[int, int], capacity: int, *, steps: int = STEPS) -> Packing:
+    """Pack all lengths; ``counts[n]`` items have the length n, 1 <= n <= capacity.
+
+    The search is the same for all tables. It ends when the incumbent reaches
+    the lower bound, when all branches are closed, or after ``steps`` steps.
+    """
     counts = {n: c for n, c in counts.items() if c}
     if any(not 1 <= n <= capacity for n in counts):
         raise ValueError("lengths must lie between 1 and the capacity")
     whole = [((capacity,), counts.pop(capacity))] if capacity in counts else []
     incumbent = best_fit(counts, capacity)
     needed = lower_bound(counts, capacity) if counts else 0
-    small = sum(counts.values()) <= FEW_ITEMS
-    if nodes is None:
-        nodes = FEW_ITEMS_NODES if small else NODES
-    state = {"best": incumbent, "bins": bins_of(incumbent), "nodes": nodes}
+    best, best_bins = incumbent, bins_of(incumbent)
+    spent = [0]
     total = sum(n * c for n, c in counts.items())
-
-    def descend(left: dict[int, int], done: Packing, bins: int, waste: int) -> None:
-        """Complete bins until nothing is left; iterates on the first filling
-        and recurses on the others."""
-        left, done = dict(left), list(done)
-        while left:
-            if state["bins"] <= needed:
-                return
+    # Open branches, the deepest last: lengths left, bins so far (a chain),
+    # their number, their waste, and the choice to go on with.
+    open_: list[tuple] = [(_packed(counts), None, 0, 0, None)] if counts else []
+    first = True
+    while open_ and best_bins > needed and (first or spent[0] < steps):
+        held, done, bins, waste, choice = open_.pop()
+        left = {int(n): int(held[n]) for n in held.nonzero()[0]}
+        # The first descent is made to its end, whatever it takes.
+        while first or spent[0] < steps:
+            if choice:
+                largest, filling, times, lost = choice
+                left = _without(left, largest, filling, times)
+                done, bins, waste = (((largest, *filling), times), done), bins + times, waste + times * lost
+            if bins >= best_bins:
+                break
+            if not left:
+                best, best_bins = _listed(done), bins
+                break
             # Waste that a better packing may still make.
-            spare = (state["bins"] - 1) * capacity - total - waste
+            spare = (best_bins - 1) * capacity - total - waste
             if spare < 0:
-                return
-            largest = max(left)
-            left[largest] -= 1
-            if not left[largest]:
-                del left[largest]
-            ascending = sorted(left)
-            options = fillings(left, ascending, capacity - largest, capacity)
-            options = options or [()]
-            for other in options[1:] if state["nodes"] > 0 else ():
-                state["nodes"] -= 1
-                step, times = _take(left, largest, other, small)
-                descend(step, [*done, ((largest, *other), times)], bins + times, waste + times * (capacity - largest - sum(other)))
-                if state["bins"] <= needed:
-                    return
-            left, times = _take(left, largest, options[0], small)
-            done.append(((largest, *options[0]), times))
-            bins += times
-            waste += times * (capacity - largest - sum(options[0]))
-            if bins >= state["bins"]:
-                return
-        if bins < state["bins"]:
-            state.update(best=done, bins=bins)
-
-    if counts:
-        descend(counts, [], 0, 0)
-    return whole + state["best"]
-
-
-def _take(left: dict[int, int], largest: int, filling: tuple[int, ...], once: bool) -> tuple[dict[int, int], int]:
-    """Take the bin out as often as the lengths allow (once in a small search)."""
-    uses: dict[int, int] = {}
+                break
+            choices = _choices(left, capacity, spare, spent)
+            if not choices:
+                break
+            if spent[0] < steps and len(choices) > 1:
+                packed = _packed(left)
+                open_ += [(packed, done, bins, waste, other) for other in reversed(choices[1:])]
+            choice = choices[0]
+        first = False
+    return whole + best
+
+
+def _packed(left: dict[int, int]) -> np.ndarray:
+    out = np.zeros(max(left) + 1, dtype=np.int64)
+    out[list(left)] = list(left.values())
+    return out
+
+
+def _listed(chain) -> Packing:
+    out = []
+    while chain:
+        last, chain = chain
+        out.append(last)
+    return out[::-1]
+
+
+def _choices(left: dict[int, int], capacity: int, spare: int, spent: list[int]) -> list[tuple]:
+    """(largest, filling, bins, waste of each) for the next bin: a filling is
+    repeated as often as the lengths and the spare waste allow, or used once."""
+    largest = max(left)
+    rest = dict(left)
+    rest[largest] -= 1
+    if not rest[largest]:
+        del rest[largest]
+    out = []
+    for filling in fillings(rest, sorted(rest), capacity - largest, spare, spent):
+        lost = capacity - largest - sum(filling)
+        times = min(left[n] // u for n, u in _uses(largest, filling).items())
+        often = min(times, spare // lost) if lost else times
+        out.append((largest, filling, often, lost))
+        if often > 1:
+            out.append((largest, filling, 1, lost))
+    return out
+
+
+def _uses(largest: int, filling: tuple[int, ...]) -> dict[int, int]:
+    uses = {largest: 1}
     for n in filling:
         uses[n] = uses.get(n, 0) + 1
-    uses[largest] = uses.get(largest, 0) + 1
+    return uses
+
+
+def _without(left: dict[int, int], largest: int, filling: tuple[int, ...], times: int) -> dict[int, int]:
     have = dict(left)
-    have[largest] = have.get(largest, 0) + 1
-    times = 1 if once else min(have[n] // u for n, u in uses.items())
-    for n, u in uses.items():
+    for n, u in _uses(largest, filling).items():
         have[n] -= u * times
         if not have[n]:
             del have[n]
-    return have, times
+    return have

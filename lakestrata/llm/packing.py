@@ -7,7 +7,8 @@ completion turns it into patterns. Pieces of one length are numbered and the
 numbers dealt to the places of that length in the patterns.
 
 Defined results: a NULL or empty text is the end id alone; repeated rows are
-each packed; a NULL identifier stays NULL; an empty table gives no rows. Only
+each packed; a NULL identifier stays NULL; an empty table gives no rows. Texts of
+any length and of any characters, long white runs too, get their ids whole. Only
 ``doc_id`` and ``text`` are read.
 """
 
@@ -26,6 +27,11 @@ from lakestrata.llm.common import Batches, cut_lineage, pylist, text_of
 CAPACITY = 2048
 END_ID = 0
 VOCABULARY = "byte_bpe_50k.tiktoken"
+# The same vocabulary in the form that takes any text.
+WHOLE_VOCABULARY = "byte_bpe_50k.json"
+# The faster form fails at some 600,000 white characters in a row. A run of twice
+# this length holds a block of it that is white throughout.
+WHITE_BLOCK = 50_000
 # Pieces of one length that one task numbers.
 NUMBERED = 50_000
 # Places per file of numbers: keeps one length from being one task.
@@ -46,6 +52,20 @@ def _encoder(vocabulary: str):
     return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def _whole_encoder(vocabulary: str):
+    import public_tokenizers
+    import tokenizers
+
+    read = tokenizers.Tokenizer.from_file(str(public_tokenizers.path(vocabulary)))
+    read.encode_special_tokens = True  # control strings are ordinary text here too
+    return lambda text: read.encode(text, add_special_tokens=False).ids
+
+
+def has_long_white_run(text: str) -> bool:
+    """True for every text with a run of ``2 * WHITE_BLOCK`` white characters."""
+    return any(text[at : at + WHITE_BLOCK].isspace() for at in range(0, len(text) - WHITE_BLOCK + 1, WHITE_BLOCK))
+
+
 def cuts(n: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of a document's pieces; only the first may be shorter."""
     first = (n - 1) % capacity + 1
@@ -54,15 +74,18 @@ def cuts(n: int, capacity: int) -> list[tuple[int, int]]:
 
 def tokenized(docs: DataFrame, *, capacity: int = CAPACITY, vocabulary: str = VOCABULARY, end_id: int = END_ID) -> DataFrame:
     """One row per piece with the checksum of its little-endian 32-bit ids."""
-    encoder_of = _encoder
-
     def run(batches: Batches) -> Batches:
-        encoder = None
+        encoder, other = None, None
         for batch in batches:
-            encoder = encoder or encoder_of(vocabulary)
+            encoder = encoder or _encoder(vocabulary)
             out: list[list] = [[], [], [], [], []]
             for doc_id, text in zip(pylist(batch, "doc_id"), pylist(batch, "text")):
-                ids = np.array([*encoder.encode_ordinary(text), end_id], dtype="<u4")
+                if has_long_white_run(text):
+                    other = other or _whole_encoder(WHOLE_VOCABULARY)
+                    ids = other(text)
+                else:
+                    ids = encoder.encode_ordinary(text)
+                ids = np.array([*ids, end_id], dtype="<u4")
                 for piece, (start, length) in enumerate(cuts(len(ids), capacity)):
                     row = (doc_id, piece, start, length, zlib.crc32(ids[start : start + length].tobytes()))
                     for column, value in zip(out, row):

@@ -66,8 +66,8 @@ def test_large_packing_is_close_to_the_bound():
 
 
 def test_dominated_fillings_are_left_out():
-    assert B.fillings({60: 1, 30: 2, 20: 1}, [20, 30, 60], 60, 100) == [(60,)]
-    assert (30, 20) not in B.fillings({30: 2, 20: 1}, [20, 30], 60, 100)
+    assert B.fillings({60: 1, 30: 2, 20: 1}, [20, 30, 60], 60, 100, [0]) == [(60,)]
+    assert (30, 20) not in B.fillings({30: 2, 20: 1}, [20, 30], 60, 100, [0])
     with pytest.raises(ValueError):
         B.pack({11: 1}, 10)
 
@@ -126,3 +126,32 @@ def test_numbers_of_a_hot_length_are_dealt_over_cells(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert packing.pack_documents(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+@pytest.mark.parametrize("text", [" " * 1_000_000, "\n" * 1_000_000, "a" * 1_000_000, "!?" * 500_000, " \u00a0\t\n" * 250_000 + "end"])
+def test_long_runs_get_the_tokenizer_ids(spark, text):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
+    df = spark.createDataFrame([(1, text), (2, "harmless")], "doc_id long, text string")
+    rows = sorted((r for r in packing.pack_documents(df).collect() if r["doc_id"] == 1), key=lambda r: r["piece"])
+    assert sum(r["length"] for r in rows) == len(ids)
+    for r in rows:
+        part = ids[r["start"] : r["start"] + r["length"]]
+        assert r["ids_crc32"] == zlib.crc32(struct.pack(f"<{len(part)}I", *part))
+
+
+def test_white_runs_are_seen_wherever_they_begin():
+    block = packing.WHITE_BLOCK
+    for before in (0, 1, block - 1, block + 7):
+        assert packing.has_long_white_run("x" * before + " " * (2 * block) + "x")
+    assert not packing.has_long_white_run(("x" + " " * (block - 1)) * 5) and not packing.has_long_white_run("")
+
+
+def test_search_beats_best_fit_and_prunes_by_waste():
+    rng = random.Random(4)
+    counts = Counter(rng.randint(400, 900) for _ in range(2_000))
+    packed = B.pack(counts, 2048)
+    check(counts, packed, 2048)
+    assert B.lower_bound(counts, 2048) <= B.bins_of(packed) < B.bins_of(B.best_fit(counts, 2048))
+    # A filling that wastes more than is to spare is not listed.
+    assert B.fillings({500: 1}, [500], 600, 99, [0]) == [] and B.fillings({500: 1}, [500], 600, 100, [0]) == [(500,)]
