@@ -513,10 +513,31 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each group: the smallest id, once.
+    """``docs`` with one row of each group of near copies: that with the
+    smallest (doc_id, hash of its text).
 
-    Rows without an id stay.
+    A document is its identifier and its text here: unlike texts of one
+    identifier both stay. Of rows that agree in both, the one with the
+    smallest hash of all columns stays. Rows without an id all stay.
     """
-    kept = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    with_id = docs.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
-    return with_id.join(kept, "doc_id", "left_semi").select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    text_hash, key = F.xxhash64(text_of()), F.xxhash64(F.col("doc_id").cast("long"), text_of())
+    with_id = docs.where(F.col("doc_id").isNotNull())
+    rows, labels = links(with_id.select(key.alias("doc_id"), "text"))
+    names = with_id.select(key.alias("key"), F.col("doc_id").cast("long").alias("doc_id"), text_hash.alias("hash")).distinct()
+    grouped = (
+        rows.select(F.col("doc_id").alias("key"), "node").distinct().join(labels, "node", "left")
+        .select("key", F.coalesce("component", "node").alias("component")).join(names, "key")
+    )
+    first = F.min(F.struct("doc_id", "hash", "key")).alias("first")
+    kept = (
+        grouped.where("component IS NOT NULL").groupBy("component").agg(first).select("first.key")
+        .unionByName(grouped.where("component IS NULL").select("key"))
+    )
+    kept = cut_lineage(kept, "kept").withColumnRenamed("key", "_kept_key")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    chosen = (
+        with_id.select(key.alias("key"), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("order"), whole.alias("row"))
+        .join(kept, F.col("key") == F.col("_kept_key"), "left_semi")
+        .groupBy("key").agg(F.min_by("row", "order").alias("row"))
+    )
+    return chosen.select("row.*").unionByName(docs.where(F.col("doc_id").isNull()))

@@ -126,3 +126,13 @@ def test_components_of_long_paths_and_stars(spark, at_once):
     got = {r["node"]: r["component"] for r in graph.components(edges, at_once).collect()}
     want = {k: 0 for k in range(1, 301)} | {1001 + k: 1000 for k in range(200)} | {k: 5000 for k in range(5001, 5300)}
     assert got == want
+
+
+def test_keep_one_loses_no_text_of_a_repeated_id(spark):
+    some = lambda k: " ".join(f"w{k}x{i}" for i in range(30))
+    rows = [(1, some(1), "a"), (1, some(2), "a"), (2, some(3), "a"), (3, some(3), "b"), (3, some(4), "c"), (4, "", "a"), (5, None, "a"), (6, some(5), "a"), (6, some(5), "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = sorted((r["doc_id"], r["text"] or "") for r in J.keep_one(docs.repartition(5)).collect())
+    assert kept == sorted([(1, some(1)), (1, some(2)), (2, some(3)), (3, some(4)), (4, ""), (5, ""), (6, some(5))])
+    one = {tuple(r) for r in J.keep_one(docs.repartition(5)).where("doc_id = 6").collect()}
+    assert len(one) == 1 and one == {tuple(r) for r in J.keep_one(docs.coalesce(1)).where("doc_id = 6").collect()}
