@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lakestrata.llm.common import cut_lineage, text_of
 
 RATIO = 0.05
-MIN_PAGES = 5
+# A line on one page alone repeats nothing, whatever its share of a small host.
+MIN_PAGES = 2
 
 
 def _key(line: Column) -> Column:

@@ -124,3 +124,10 @@ def test_copies_of_a_page_are_not_its_boilerplate(spark):
     out = line_dedup.dedup_documents(df)
     assert out.columns == df.columns and sorted(map(tuple, out.collect())) == sorted(rows)
     assert line_dedup.dedup_documents(df.limit(0)).count() == 0
+
+
+def test_small_hosts_lose_their_boilerplate_too(spark):
+    rows = [(i, f"Menu\nown text {i}", "small") for i in range(4)] + [(9, "Menu\nalone", "single")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    left = {r["doc_id"]: r["text"] for r in line_dedup.dedup_documents(df).collect()}
+    assert left == {**{i: f"own text {i}" for i in range(4)}, 9: "Menu\nalone"}
