@@ -1,17 +1,25 @@
 """Benchmark decontamination by edit distance over words.
 
-An item with ``n`` words and at most ``e`` allowed edits is cut into ``e + 1``
-pieces. An edit touches one piece, so in every match at least one piece stands
-in the text word for word: texts are searched for the pieces, and what holds one
-is verified with the exact edit distance of the item to the best part of the
-text. This finds every match, whatever its edits, its place and the length of the text.
-
-Only pieces where the item can be are kept: a part of a text within ``e`` edits
-of the item has at most ``n + e`` words and holds at least ``n - 1 - 2 e`` of its
-word pairs (the q-gram lemma). Fixed-size tables of the pieces and the word pairs
-of the benchmark test that without losing a match, in classes of sizes that grow
-by a tenth. Parts may begin before a text's start and end after its end, so that
-texts shorter than the item are searched too.
+Item-sized windows of the texts and the items go through the same CGK random
+walks: at each step a walk gives out the word it stands at, and the word and the
+step decide whether it moves on. Two sequences a few edits apart soon stand at the
+same words again, so their walks agree in many steps, while others agree in none: edit
+distance becomes Hamming distance. Locality-sensitive hashing samples a few steps of
+each walk as a key; a text window and an item that share a key are verified with the
+exact edit distance of the item to the best part of the text nearby.
+
+How many walks a size of items needs is worked out by letting walks run over random
+items with the most edits allowed, all of them deletions, the kind that walks survive
+worst: in the hardest tenth of items one of the keys is met with probability
+``TARGET``. Windows begin at any word, and up to the allowed edits before a text, so
+that texts shorter than the item have windows too; beyond both ends stand words that
+no item holds.
+
+Only windows where the item can be are embedded: a part of a text within ``e`` edits
+of an item of ``n`` words has at most ``n + e`` words and holds at least
+``n - 1 - 2 e`` of its word pairs (the q-gram lemma). A fixed-size table of the
+benchmark's word pairs tests that without losing a match, in classes of sizes that grow
+by a tenth, and a second one drops keys that no item has.
 
 Words are runs of letters and digits of any script in lower case, with the marks
 that combine with them; all else, typographic signs too, stands between words. In
@@ -31,6 +39,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,16 +51,18 @@ from lakestrata.llm.common import Batches, cut_lineage, mix64, pylist, text_of
 EDITS = 0.2
 MIN_WORDS = 5
 CLASS_GROWTH = 1.1
-# The tables of word pairs and of pieces have this many 16-bit entries each, however large
+# The tables of word pairs and of keys have this many 16-bit entries each, however large
 # the benchmark is. Each bit of an entry stands for every sixteenth class of sizes.
 PAIR_PLACES = 1 << 22
 CLASS_BITS = 16
 # Words searched at a time.
-WORDS_AT_ONCE = 200_000
-# The CGK embedding below: walks, samples of each, steps of a sample, windows embedded at a time.
-WALKS, SAMPLES, STEPS = 6, 8, 4
-KEYS = WALKS * SAMPLES
-WINDOWS_AT_ONCE = 4_096
+WORDS_AT_ONCE = 400_000
+# Probability that an item of the hardest tenth shares a key with a match of the most edits.
+TARGET = 0.99
+# Steps sampled for a key: the most of these that reach the target with ``FEW_KEYS`` keys, else the fewest.
+STEPS, FEW_KEYS = (4, 3, 2), 64
+# Symbols of the embeddings held at a time.
+SYMBOLS_AT_ONCE = 2_000_000
 
 
 def _ranges(places, belongs) -> str:
@@ -100,27 +111,6 @@ def allowed_edits(n_words: int) -> int:
     return int(EDITS * n_words)
 
 
-def piece_size(n_words: int) -> int:
-    """Words of each of the ``allowed_edits + 1`` pieces of an item: 2 to 4."""
-    return n_words // (allowed_edits(n_words) + 1)
-
-
-def runs_of(words: np.ndarray, size: int) -> np.ndarray:
-    """64-bit hashes of all runs of ``size`` words."""
-    n = max(len(words) - size + 1, 0)
-    with np.errstate(over="ignore"):
-        key = np.full(n, size, dtype=np.uint64)
-        for k in range(size):
-            key = mix64(key * np.uint64(0x9E3779B97F4A7C15) + words[k : k + n])
-    return key
-
-
-def pieces_of(words: np.ndarray) -> np.ndarray:
-    """Hashes of the item's pieces, each once."""
-    parts = allowed_edits(len(words)) + 1
-    return np.unique(runs_of(words, piece_size(len(words)))[np.arange(parts) * len(words) // parts])
-
-
 def class_of(n_words: int) -> int:
     """The smallest size of the class an item of ``n_words`` words is in."""
     size = MIN_WORDS
@@ -129,50 +119,98 @@ def class_of(n_words: int) -> int:
     return size
 
 
-def _randoms(size: int, walk: int) -> tuple[np.ndarray, np.ndarray]:
-    """Multipliers of the walk's steps and the steps each sample looks at."""
-    rng = np.random.Generator(np.random.PCG64([size, walk]))
-    multipliers = rng.integers(0, 1 << 63, 2 * size, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    return multipliers, rng.integers(0, 2 * size, (SAMPLES, STEPS))
+def walk_length(size: int) -> int:
+    """Steps of a walk that are made; most walks have not ended by then."""
+    return 3 * size // 2
+
+
+def walks(size: int, n: int, steps: int) -> tuple[np.ndarray, np.ndarray]:
+    """Multipliers of ``n`` walks' steps, and the steps each one's key samples."""
+    rng = np.random.Generator(np.random.PCG64(size))
+    made = walk_length(size)
+    sampled = np.sort(rng.random((n, made)).argpartition(steps - 1, axis=1)[:, :steps], axis=1)
+    return rng.integers(0, 1 << 31, (n, made), dtype=np.uint32) * np.uint32(2) + np.uint32(1), sampled
 
 
 def embedded(words: np.ndarray, starts: np.ndarray, size: int, multipliers: np.ndarray) -> np.ndarray:
-    """CGK embeddings of the windows, one column each; ``matches`` does not need them.
+    """CGK embeddings of the windows of ``size`` words: (walk, step, window).
 
-    Of the embedding's 3 * size steps the first 2 * size are made: a walk ends
-    about there, and only these are sampled.
+    ``words`` are 32-bit. A walk that has ended gives out 0.
     """
-    at = np.zeros(len(starts), dtype=np.int64)
-    out = np.zeros((2 * size, len(starts)), dtype=np.uint64)
-    for step in range(2 * size):
+    n, made = multipliers.shape
+    at = np.zeros((n, len(starts)), dtype=np.int32)
+    out = np.zeros((n, made, len(starts)), dtype=np.uint32)
+    ended = np.append(words, np.uint32(0))
+    for step in range(made):
         inside = at < size
-        if not inside.any():
-            break
-        symbol = np.where(inside, words[starts + np.minimum(at, size - 1)], np.uint64(0))
-        out[step] = symbol
+        symbol = ended[np.where(inside, starts + at, len(words))]
+        out[:, step] = symbol
         with np.errstate(over="ignore"):
-            moves = (symbol * multipliers[step]) >> np.uint64(63)
+            moves = (symbol ^ (symbol >> np.uint32(15))) * multipliers[:, step : step + 1] >> np.uint32(31)
         at += (moves == 1) & inside
     return out
 
 
-def window_keys(words: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
-    """``KEYS`` bucket keys for every window, a row each."""
+def hit_rate(n_words: int, size: int, edits: int, steps: int, *, items: int = 40, n_walks: int = 24) -> float:
+    """Probability that one walk's key of ``steps`` samples finds an item of
+    ``n_words`` words with that many deletions, in any of the windows around
+    the match: that of the hardest tenth of random items."""
+    rng = np.random.Generator(np.random.PCG64([n_words, size, edits]))
+    made, hits = walk_length(size), []
+    for _ in range(items):
+        item, around = (rng.integers(1, 1 << 32, k, dtype=np.uint32) for k in (n_words, 2 * size + 2 * edits))
+        left = np.delete(item, rng.choice(n_words, edits, replace=False))
+        text = np.concatenate([around[:edits], left, around[edits:]])
+        multipliers, _ = walks(size, n_walks, 1)
+        own = embedded(item, np.zeros(1, np.int64), size, multipliers)
+        same = (embedded(text, np.arange(2 * edits + 1), size, multipliers) == own).sum(axis=1)
+        # Samples are drawn without repetition.
+        all_agree = np.ones(same.shape)
+        for k in range(steps):
+            all_agree *= np.maximum(same - k, 0) / (made - k)
+        hits.append((1 - np.prod(1 - all_agree, axis=1)).mean())
+    return float(np.quantile(hits, 0.1))
+
+
+@lru_cache(maxsize=None)
+def repetitions(n_words: int, size: int, target: float = TARGET) -> tuple[int, int]:
+    """(walks, steps sampled of each) that reach the target for items of up to
+    ``n_words`` words in the class ``size``."""
+    for steps in STEPS:
+        rate = hit_rate(n_words, size, allowed_edits(n_words), steps)
+        needed = int(np.ceil(np.log(1 - target) / np.log(1 - min(rate, target)))) if rate > 0 else None
+        if needed and (needed <= FEW_KEYS or steps == STEPS[-1]):
+            return needed, steps
+    return FEW_KEYS, 1
+
+
+def window_keys(words: np.ndarray, starts: np.ndarray, size: int, n_walks: int, steps: int) -> np.ndarray:
+    """``n_walks`` bucket keys for every window, a row each."""
+    multipliers, sampled = walks(size, n_walks, steps)
     starts = np.asarray(starts, dtype=np.int64)
-    if len(starts) > WINDOWS_AT_ONCE:
-        parts = range(0, len(starts), WINDOWS_AT_ONCE)
-        return np.concatenate([window_keys(words, starts[k : k + WINDOWS_AT_ONCE], size) for k in parts])
-    keys = np.zeros((len(starts), KEYS), dtype=np.uint64)
-    for walk in range(WALKS):
-        multipliers, samples = _randoms(size, walk)
-        codes = embedded(words, starts, size, multipliers)
-        for k, steps in enumerate(samples):
-            key = np.full(len(starts), size * 1_000_003 + walk * SAMPLES + k, dtype=np.uint64)
-            with np.errstate(over="ignore"):
-                for step in steps:
-                    key = mix64(key * np.uint64(0x9E3779B97F4A7C15) + codes[step])
-            keys[:, walk * SAMPLES + k] = key
-    return keys.view(np.int64)
+    keys = np.empty((len(starts), n_walks), dtype=np.uint64)
+    first = mix64(np.arange(n_walks, dtype=np.uint64) + np.uint64(size << 20))
+    held = max(1, SYMBOLS_AT_ONCE // max(1, multipliers.size))
+    for low in range(0, len(starts), held):
+        codes = embedded(words, starts[low : low + held], size, multipliers)
+        key = np.repeat(first[:, None], codes.shape[2], axis=1)
+        with np.errstate(over="ignore"):
+            for k in range(steps):
+                symbols = codes[np.arange(n_walks), sampled[:, k]].astype(np.uint64)
+                key = mix64(key * np.uint64(0x9E3779B97F4A7C15) + symbols)
+        keys[low : low + held] = key.T
+    return keys
+
+
+def folded(words: np.ndarray) -> np.ndarray:
+    """32-bit words, none of them 0."""
+    return (words >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+
+
+def item_keys(words: np.ndarray, plan: dict[int, tuple[int, int]]) -> np.ndarray:
+    """Keys of an item: its first words, as many as its class has."""
+    size = class_of(len(words))
+    return window_keys(folded(words), np.zeros(1, np.int64), size, *plan[size])[0]
 
 
 def best_match(item: np.ndarray, words: np.ndarray) -> tuple[int, int]:
@@ -193,38 +231,49 @@ def best_match(item: np.ndarray, words: np.ndarray) -> tuple[int, int]:
 
 def _item_rows(batches: Batches) -> Batches:
     for batch in batches:
-        ids, sizes, words, keys = [], [], [], []
+        ids, sizes, words = [], [], []
         for item_id, text in zip(pylist(batch, "item_id"), pylist(batch, "text")):
             own = words_of(text)
-            if len(own) < MIN_WORDS:
-                continue
-            ids.append(item_id), sizes.append(len(own)), words.append(own.tobytes())
-            keys.append(pieces_of(own).view(np.int64))
+            if len(own) >= MIN_WORDS:
+                ids.append(item_id), sizes.append(len(own)), words.append(own.tobytes())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(words, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-            names=["item_id", "n_words", "words", "keys"],
+            [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(words, pa.binary())],
+            names=["item_id", "n_words", "words"],
         )
 
 
+def _key_rows(plan: dict[int, tuple[int, int]]):
+    """Every item with its keys."""
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            keys = [item_keys(np.frombuffer(w, "<u8"), plan).view(np.int64) for w in pylist(batch, "words")]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(keys, pa.list_(pa.int64()))], names=[*batch.schema.names, "keys"]
+            )
+
+    return run
+
+
 def class_bit(classes: list[int], size: int) -> int:
     return 1 << (classes.index(size) % CLASS_BITS)
 
 
-def places_of(pieces: np.ndarray) -> np.ndarray:
-    """Places of pieces in the table, after those of the pairs."""
-    return (pieces & np.uint64(PAIR_PLACES - 1)).astype(np.int64) + PAIR_PLACES
+def places_of(keys: np.ndarray) -> np.ndarray:
+    """Places of keys in the table, after those of the pairs."""
+    return (keys & np.uint64(PAIR_PLACES - 1)).astype(np.int64) + PAIR_PLACES
 
 
 def _known_rows(classes: list[int]):
-    """(place, bit) of the word pairs and the pieces of every item."""
+    """(place, bit) of the word pairs and the keys of every item."""
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
             found = set()
-            for packed in pylist(batch, "words"):
-                words = np.frombuffer(packed, "<u8")
+            for packed, keys in zip(pylist(batch, "words"), pylist(batch, "keys")):
+                words, keys = np.frombuffer(packed, "<u8"), np.array(keys, dtype=np.int64).view(np.uint64)
                 bit = class_bit(classes, class_of(len(words)))
-                found |= {(int(p), bit) for p in (*pairs_of(words), *places_of(pieces_of(words)))}
+                found |= {(int(p), bit) for p in (*pairs_of(words), *places_of(keys))}
             yield pa.RecordBatch.from_arrays(
                 [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int32())], names=["place", "bit"]
             )
@@ -232,54 +281,54 @@ def _known_rows(classes: list[int]):
     return run
 
 
-def size_classes(sizes: list[int]) -> list[tuple[int, int, int, list[int]]]:
+def size_classes(sizes: list[int]) -> list[tuple[int, int, int, int]]:
     """Of items with these numbers of words: (class, words of the longest
-    match, least number of pairs a match shares, sizes of pieces)."""
+    match, least number of pairs a match shares, most edits)."""
     members: dict[int, list[int]] = {}
     for n in sizes:
         members.setdefault(class_of(n), []).append(n)
     return [
-        (
-            size, max(n + allowed_edits(n) for n in own), min(n - 1 - 2 * allowed_edits(n) for n in own),
-            sorted({piece_size(n) for n in own}),
-        )
+        (size, max(n + allowed_edits(n) for n in own), min(n - 1 - 2 * allowed_edits(n) for n in own), max(map(allowed_edits, own)))
         for size, own in sorted(members.items())
     ]
 
 
-def _found(texts: list[np.ndarray], known: np.ndarray, classes: list[tuple[int, int, int, list[int]]]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """For each text that holds pieces where an item can be their starts and hashes."""
-    words = np.concatenate(texts)
-    ends = np.cumsum([len(t) for t in texts])
-    begins = ends - [len(t) for t in texts]
+def _found(
+    texts: list[np.ndarray], known: np.ndarray, classes: list[tuple[int, int, int, int]], plan: dict[int, tuple[int, int]]
+) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """For each text with windows that share a key with an item: their starts and these keys."""
+    # Between texts stand words that no item holds, at least as many as a
+    # window can reach out of its text.
+    pad = max(size + edits for size, _, _, edits in classes)
+    gap = mix64(np.arange(1, pad + 1, dtype=np.uint64))
+    words = np.concatenate([part for text in texts for part in (gap, text)] + [gap])
+    lengths = np.array([len(t) for t in texts])
+    begins = pad + np.concatenate([[0], np.cumsum(lengths + pad)[:-1]])
+    ends = begins + lengths
     hits = known[pairs_of(words)]
-    hits[ends[:-1] - 1] = 0  # a pair across two texts
-    runs, seeds = {}, {}
-    for length in {k for *_, lengths in classes for k in lengths}:
-        runs[length] = runs_of(words, length)
-        bits = known[places_of(runs[length])]
-        at = np.flatnonzero(bits)
-        at = at[at + length <= ends[np.searchsorted(ends, at, side="right")]]
-        seeds[length] = at, bits[at]
+    hits[begins - 1] = 0
+    hits[ends - 1] = 0
+    short = folded(words)
     sizes = [size for size, *_ in classes]
-    kept: dict[int, list] = {length: [] for length in seeds}
-    for size, longest, shared, lengths in classes:
+    starts, keys = [], []
+    for size, longest, shared, edits in classes:
         bit = class_bit(sizes, size)
-        own = {k: at[bits & bit > 0] for k in lengths for at, bits in [seeds[k]]}
-        if not any(map(len, own.values())):
-            continue
-        # A part begins at any word and ends with the last word at the latest.
         upto = np.concatenate([[0], np.cumsum(hits & bit > 0)])
         last = np.minimum(np.arange(len(words)) + longest - 1, len(upto) - 1)
-        possible = np.concatenate([[0], np.cumsum(upto[last] - upto >= shared)])
-        for k, at in own.items():
-            kept[k].append(at[possible[at + 1] > possible[np.maximum(at + k - longest, 0)]])
-    places = {k: np.unique(np.concatenate(at)) for k, at in kept.items() if at}
-    if not places:
+        at = np.flatnonzero(upto[last] - upto >= shared)
+        owner = np.searchsorted(begins, at + edits, side="right") - 1
+        at = at[(owner >= 0) & (at < ends[owner])]
+        if not len(at):
+            continue
+        found = window_keys(short, at, size, *plan[size])
+        row, column = np.nonzero(known[places_of(found)] & bit)
+        starts.append(at[row])
+        keys.append(found[row, column])
+    if not starts:
         return {}
-    starts = np.concatenate(list(places.values()))
-    keys = np.concatenate([runs[k][at] for k, at in places.items()]).view(np.int64)
-    owner = np.searchsorted(ends, starts, side="right")
+    starts, keys = np.concatenate(starts), np.concatenate(keys).view(np.int64)
+    owner = np.searchsorted(begins - pad, starts, side="right") - 1
+    # The same start and key may come twice where windows repeat.
     order = np.argsort(owner, kind="stable")
     starts, keys, owner = starts[order], keys[order], owner[order]
     there, firsts = np.unique(owner, return_index=True)
@@ -288,14 +337,14 @@ def _found(texts: list[np.ndarray], known: np.ndarray, classes: list[tuple[int,
     }
 
 
-def _pieces(table, classes: list[tuple[int, int, int, list[int]]]):
-    """Rows of the texts that hold pieces where an item can be, with all their words."""
+def _windows(table, classes: list[tuple[int, int, int, int]], plan: dict[int, tuple[int, int]]):
+    """Rows of the texts with windows that share a key with an item, with all their words."""
     names = ["doc_id", "text_hash", "words", "starts", "keys"]
     kinds = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
 
     def searched(known, waiting) -> pa.RecordBatch:
         out: list[list] = [[] for _ in names]
-        for text, (starts, keys) in _found([w for _, _, w in waiting], known, classes).items():
+        for text, (starts, keys) in _found([w for _, _, w in waiting], known, classes, plan).items():
             doc_id, key, words = waiting[text]
             row = (doc_id, key, words.tobytes(), starts, keys)
             for column, value in zip(out, row):
@@ -305,8 +354,8 @@ def _pieces(table, classes: list[tuple[int, int, int, list[int]]]):
     def run(batches: Batches) -> Batches:
         known = np.frombuffer(table.value, np.uint16)
         shortest = MIN_WORDS - allowed_edits(MIN_WORDS)
+        waiting, size = [], 0
         for batch in batches:
-            waiting, size = [], 0
             for doc_id, key, text in zip(pylist(batch, "doc_id"), pylist(batch, "text_hash"), pylist(batch, "text")):
                 words = words_of(text)
                 if len(words) >= shortest:
@@ -315,14 +364,14 @@ def _pieces(table, classes: list[tuple[int, int, int, list[int]]]):
                 if size >= WORDS_AT_ONCE:
                     yield searched(known, waiting)
                     waiting, size = [], 0
-            if waiting:
-                yield searched(known, waiting)
+        if waiting:
+            yield searched(known, waiting)
 
     return run
 
 
 def _verified(batches: Batches) -> Batches:
-    """The best match of an item near its pieces in a text."""
+    """The best match of an item near its windows in a text."""
     names = ["doc_id", "text_hash", "item_id", "n_words", "edits", "word_end"]
     for batch in batches:
         out: list[list] = [[] for _ in names]
@@ -350,7 +399,7 @@ def _verified(batches: Batches) -> Batches:
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=names)
 
 
-def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, *, target: float = TARGET) -> DataFrame:
     """One row per (text, item) that match: ``doc_id``, ``text_hash``,
     ``item_id``, ``n_words`` of the item, ``edits``, ``word_end`` (the number
     of the text's words up to the end of the match)."""
@@ -358,16 +407,21 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     items = cut_lineage(
         benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_of().alias("text"))
-        .mapInArrow(_item_rows, "item_id long, n_words long, words binary, keys array<long>")
+        .mapInArrow(_item_rows, "item_id long, n_words long, words binary")
         .withColumn("item_row", F.monotonically_increasing_id()),
         "items",
     )
+    # Numbers of words, not items, reach the driver.
     sizes = sorted(r["n_words"] for r in items.select("n_words").distinct().collect())
     if not sizes:
         return spark.createDataFrame([], out)
     classes = size_classes(sizes)
+    plan = {size: repetitions(max(n for n in sizes if class_of(n) == size), size, target) for size, *_ in classes}
+    keyed = cut_lineage(
+        items.select("item_row", "words").mapInArrow(_key_rows(plan), "item_row long, words binary, keys array<long>"), "keyed_items"
+    )
     table = np.zeros(2 * PAIR_PLACES, dtype=np.uint16)
-    bits = items.select("words").mapInArrow(_known_rows([c for c, *_ in classes]), "place long, bit int")
+    bits = keyed.select("words", "keys").mapInArrow(_known_rows([c for c, *_ in classes]), "place long, bit int")
     for row in bits.groupBy("place").agg(F.bit_or("bit").alias("bits")).toLocalIterator():
         table[row["place"]] = row["bits"]
     packed = spark.sparkContext.broadcast(table.tobytes())
@@ -376,15 +430,15 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     source = source.withColumn("text_hash", F.xxhash64("text"))
     found = cut_lineage(
         source.mapInArrow(
-            _pieces(packed, classes), "doc_id long, text_hash long, words binary, starts array<long>, keys array<long>"
+            _windows(packed, classes, plan), "doc_id long, text_hash long, words binary, starts array<long>, keys array<long>"
         ).withColumn("row_id", F.monotonically_increasing_id()),
-        "pieces",
+        "windows",
     )
-    item_keys = cut_lineage(items.select("item_row", F.explode("keys").alias("key")), "item_keys")
+    known_keys = keyed.select("item_row", F.explode("keys").alias("key"))
     collided = (
         found.select("row_id", "starts", F.posexplode("keys").alias("at", "key"))
-        .select("row_id", "key", F.expr("starts[at]").alias("start"))
-        .join(item_keys, "key").groupBy("row_id", "item_row").agg(F.collect_set("start").alias("starts"))
+        .select("row_id", "key", F.expr("starts[at]").alias("start")).distinct()
+        .join(known_keys, "key").groupBy("row_id", "item_row").agg(F.collect_set("start").alias("starts"))
     )
     texts = found.select("row_id", "doc_id", "text_hash", "words")
     candidates = (
