@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from lakestrata import constants as K
+from lakestrata.functions.permute import permuted
 
 # Word pools of the pseudonyms (fixed values).
 FIRST_NAMES = [
@@ -81,13 +82,12 @@ def _padded(number: Column, width: int) -> Column:
     return F.lpad((number % 10 ** width).cast("string"), width, "0")
 
 
-def _cpf(digest: Column) -> Column:
-    """Nine digits of the digest and the two modulo-11 check digits.
+def _cpf(base: Column) -> Column:
+    """A number of nine digits with the two modulo-11 check digits.
 
     With digits d0..d8 the first check digit weighs them 10 down to 2 and the
     second 11 down to 3 plus twice the first, so both follow from two sums.
     """
-    base = _digest_number(digest, 0) % 10 ** 9
     digits = [F.floor(base / 10 ** (8 - i)).cast("int") % 10 for i in range(9)]
     plain_sum = sum(digits[1:], start=digits[0])
     weighted = sum((d * (10 - i) for i, d in enumerate(digits)), start=F.lit(0))
@@ -129,12 +129,56 @@ def mask_pseudonym(col: Column, kind: str, key: str) -> Column:
             F.lit("+55 "), _pick(AREA_CODES, n[0]), F.lit(" 9"), _padded(n[1], 4), F.lit("-"), _padded(n[2], 4)
         )
     elif kind == "cpf":
-        out = _cpf(digest)
+        out = _cpf(_digest_number(digest, 0) % 10 ** 9)
     else:
         out = _pick(WORDS, n[0])
     return out
 
 
+# Form of a value, and the number in it that is permuted.
+PERMUTED_FORMS = {
+    "cpf": r"^\s*(\d{3})\.?(\d{3})\.?(\d{3})-?\d{2}\s*$",
+    "phone": r"^(.*?)(\d{4})[ -]?(\d{4})\s*$",
+    "numbered": r"^(\D*)(\d{1,15})(\D*)$",
+}
+
+
+def mask_permuted(col: Column, kind: str, key: str) -> Column:
+    """Pseudonyms that never meet: different values get different ones.
+
+    ``cpf``: the nine digits are permuted and get check digits anew. ``phone``:
+    the last eight digits are permuted, what stands before them stays, so
+    phones differ as their area codes do. ``numbered``: the only number in the
+    text is permuted among those of as many digits, as in customer codes; the
+    text around it stays. A value of another form gets its keyed hash.
+    """
+    if not key:
+        raise ValueError("masking key is required")
+    if kind not in PERMUTED_FORMS:
+        raise ValueError(f"kind is one of {', '.join(PERMUTED_FORMS)}")
+    text, form = col.cast("string"), PERMUTED_FORMS[kind]
+    part = lambda n: F.regexp_extract(text, form, n)
+    digits = {
+        "cpf": F.concat(part(1), part(2), part(3)), "phone": F.concat(part(2), part(3)), "numbered": part(2),
+    }[kind]
+    known = text.rlike(form)
+    number = F.when(known, digits.cast("bigint"))
+    secret = f"{key}|{kind}"
+    if kind == "cpf":
+        # The permuted number is used in every check digit: computed once.
+        out = F.transform(F.array(permuted(number, 10 ** 9, secret)), _cpf)[0]
+    elif kind == "phone":
+        new = F.lpad(permuted(number, 10 ** 8, secret).cast("string"), 8, "0")
+        out = F.transform(F.array(new), lambda n: F.concat(part(1), F.substring(n, 1, 4), F.lit("-"), F.substring(n, 5, 4)))[0]
+    else:
+        width = F.length(digits)
+        new = F.coalesce(*[
+            F.lpad(permuted(F.when(width == w, number), 10 ** w, f"{secret}|{w}").cast("string"), w, "0") for w in range(1, 16)
+        ])
+        out = F.concat(part(1), new, part(3))
+    return F.when(known, out).otherwise(mask_hash(text, key))
+
+
 def laplace_noise(
     df: DataFrame,
     column: str,
@@ -163,19 +207,27 @@ def laplace_noise(
         raise ValueError("epsilon must be positive")
     if not sensitivity >= 0:
         raise ValueError("sensitivity must not be negative")
-    scale = sensitivity / epsilon
     if noise_key:
         row_id, secret = noise_key
-        parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ([row_id] if isinstance(row_id, str) else row_id)]
-        digest = F.sha2(F.concat(F.concat_ws("|", *parts), F.lit(secret)), 256)
-        bits = F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint").cast("double")
-        unit = (bits + 0.5) / float(2 ** 52)
+        unit = keyed_unit([row_id] if isinstance(row_id, str) else row_id, secret)
     else:
         unit = F.rand() if seed is None else F.rand(seed)
+    return df.withColumn(column, F.col(column).cast("double") + laplace(unit, sensitivity / epsilon))
+
+
+def keyed_unit(columns: Sequence[str], secret: str) -> Column:
+    """A number between 0 and 1 from a keyed digest of the columns."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+    digest = F.sha2(F.concat(F.concat_ws("|", *parts), F.lit(secret)), 256)
+    bits = F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint").cast("double")
+    return (bits + 0.5) / float(2 ** 52)
+
+
+def laplace(unit: Column, scale: float) -> Column:
+    """Laplace(0, scale) noise from a uniform number between 0 and 1."""
     u = unit - 0.5
     tail = F.greatest(1 - 2 * F.abs(u), F.lit(2.0 ** -53))
-    noise = -F.signum(u) * F.log(tail) * F.lit(float(scale))
-    return df.withColumn(column, F.col(column).cast("double") + noise)
+    return -F.signum(u) * F.log(tail) * F.lit(float(scale))
 
 
 @dataclass(frozen=True)
@@ -194,6 +246,7 @@ _BUILDERS: dict[str, MaskBuilder] = {
     "static": lambda col, name, key, static_value=K.STATIC_MASK: mask_static(col, static_value),
     "partial": lambda col, name, key, **options: mask_partial(col, **options),
     "fake": lambda col, name, key, kind=None: mask_pseudonym(col, kind or name, key),
+    "permuted": lambda col, name, key, kind: mask_permuted(col, kind, key),
 }
 
 

@@ -14,11 +14,12 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from lakestrata import constants as K
 from lakestrata.operators.aggregates import null_cells
 from lakestrata.operators.filters import outside
+from lakestrata.operators.quantiles import exact_quantiles
 
 Rule = Mapping[str, object]
 
@@ -67,11 +68,14 @@ def _zscore(df: DataFrame, c: Column, rule: Rule) -> Column:
 
 
 def _iqr(df: DataFrame, c: Column, rule: Rule) -> Column:
-    x, known = _numbers(df, c)
-    quartiles = df.agg(F.percentile_approx(known, [0.25, 0.75], 10_000).alias("q"))
-    q1, q3 = quartiles.select(F.col("q")[0]).scalar(), quartiles.select(F.col("q")[1]).scalar()
-    margin = (q3 - q1) * F.lit(float(rule.get("factor", 1.5)))
-    return F.isnan(x) | outside(x, q1 - margin, q3 + margin)
+    """Outside the quartiles by more than ``factor`` times their distance; the
+    quartiles are exact, without NaN, and NaN is unexpected."""
+    x, _ = _numbers(df, c)
+    q1, q3 = exact_quantiles(df, rule["column"], [0.25, 0.75])
+    if q1 is None:
+        return F.isnan(x)
+    margin = (q3 - q1) * float(rule.get("factor", 1.5))
+    return F.isnan(x) | outside(x, F.lit(q1 - margin), F.lit(q3 + margin))
 
 
 RuleBuilder = Callable[[DataFrame, Column, Rule], Column]
@@ -175,20 +179,39 @@ def validate(df: DataFrame, suite: Sequence[Rule], examples: int = 0) -> DataFra
     return results.join(_examples(df, suite, {i: fails[i] for i in failed}, examples), "rule_id", "left")
 
 
+# Cells in which one scan looks for the smallest value of a rule each.
+EXAMPLE_CELLS = 16
+
+
 def _examples(df: DataFrame, suite: Sequence[Rule], fails: Mapping[int, Column], n: int) -> DataFrame:
     """The ``n`` smallest distinct offending values per rule, as text.
 
-    Only failing (rule, value) pairs leave the scan, repeated values are
-    merged before the shuffle, and each task forwards at most ``n`` per rule.
+    A scan takes the smallest value of each of ``EXAMPLE_CELLS`` hash cells;
+    scans go on with values below the ``n``-th found so far until none is
+    new. No value is shuffled: each task forwards one row, whatever the number
+    of failing values and however often one occurs.
     """
-    pairs = F.array_compact(F.array(*[
-        F.when(bad, F.struct(F.lit(i).alias("rule_id"), F.col(suite[i]["column"]).cast("string").alias("value")))
-        for i, bad in fails.items()
-    ]))
-    distinct = df.select(F.explode(pairs).alias("p")).select("p.*").where("value is not null").distinct()
-    rank = F.row_number().over(Window.partitionBy("rule_id").orderBy("value"))
-    first = distinct.withColumn("_rank", rank).where(F.col("_rank") <= n)
-    return first.groupBy("rule_id").agg(F.sort_array(F.collect_list("value")).alias("examples"))
+    values = {i: F.col(suite[i]["column"]).cast("string") for i in fails}
+    found: dict[int, list[str]] = {i: [] for i in fails}
+    open_ = list(fails)
+    while open_:
+        smallest = []
+        for i in open_:
+            wanted = fails[i] & values[i].isNotNull()
+            if found[i]:
+                wanted &= ~values[i].isin(found[i])
+            if len(found[i]) >= n:
+                wanted &= values[i] < found[i][n - 1]
+            cell = F.pmod(F.xxhash64(values[i]), F.lit(EXAMPLE_CELLS))
+            smallest += [F.min(F.when(wanted & (cell == k), values[i])).alias(f"r{i}_{k}") for k in range(EXAMPLE_CELLS)]
+        # One row with a bounded number of values.
+        row = df.agg(*smallest).first()
+        news = {i: [v for k in range(EXAMPLE_CELLS) if (v := row[f"r{i}_{k}"]) is not None] for i in open_}
+        for i in open_:
+            found[i] = sorted(found[i] + news[i])[:n]
+        open_ = [i for i in open_ if set(news[i]) & set(found[i])]
+    rows = [(i, examples) for i, examples in found.items() if examples]
+    return df.sparkSession.createDataFrame(rows, "rule_id int, examples array<string>")
 
 
 def suite_summary(results: DataFrame, floor: float = K.SUCCESS_RATE_FLOOR) -> DataFrame:

@@ -25,7 +25,8 @@ from lakestrata.sinks.files import append_audit, append_new, write_layer
 from lakestrata.sinks.star import load_star, read_star
 from lakestrata.sources.logs import read_audit
 from lakestrata.sources.tables import read_layer
-from lakestrata.streaming.sales import process_sales_stream
+from lakestrata.streaming import batches
+from lakestrata.streaming.sales import process_sales_stream, read_event_stream
 
 SALES = "vendas"
 
@@ -48,6 +49,10 @@ class Lake:
     def star(self) -> str:
         return f"{self.root}/gold/star"
 
+    @property
+    def stream(self) -> str:
+        return f"{self.root}/silver/{SALES}_stream"
+
 
 def record(
     spark: SparkSession, lake: Lake, dag: str, task: str, action: str, message: str,
@@ -194,7 +199,18 @@ def land_events(spark: SparkSession, lake: Lake) -> str:
     return path
 
 
-def run_stream(spark: SparkSession, lake: Lake, as_of: datetime | str | None = None) -> list[StreamingQuery]:
+@dataclass(frozen=True)
+class StreamRun:
+    """A started stream, where it writes, and the last batch before it."""
+
+    query: StreamingQuery
+    root: str
+    after: int
+
+
+def run_stream(
+    spark: SparkSession, lake: Lake, as_of: datetime | str | None = None, max_files: int | None = None
+) -> StreamRun:
     """Stream all landed sales events through the sales processor until all
     that is there now is processed.
 
@@ -203,26 +219,20 @@ def run_stream(spark: SparkSession, lake: Lake, as_of: datetime | str | None = N
     """
     path = land_events(spark, lake)
     schema = spark.read.parquet(path).schema
-    events = spark.readStream.schema(schema).parquet(path)
-    out = f"{lake.root}/silver"
-    queries = process_sales_stream(
-        events, f"{out}/{SALES}_stream", f"{out}/{SALES}_stream_invalid", f"{lake.root}/checkpoints/{SALES}", as_of
-    )
-    return list(queries)
-
-
-def finish_stream(
-    spark: SparkSession, lake: Lake, queries: Sequence[StreamingQuery], as_of: datetime | str
-) -> dict[str, int]:
-    """Wait for the queries of ``run_stream``, add up the counters observed in
-    their micro-batches and audit the totals."""
-    totals = dict.fromkeys(("consumed", "processed", "skipped", "invalid"), 0)
-    for query in queries:
-        query.awaitTermination()
-        for progress in query.recentProgress:
-            seen = progress.observedMetrics.get("sales")
-            for name in totals if seen is not None else ():
-                totals[name] += seen[name]
+    events = read_event_stream(spark, path, schema, max_files=max_files)
+    after = batches.last_batch(spark, lake.stream)
+    query = process_sales_stream(events, lake.stream, f"{lake.root}/checkpoints/{SALES}", as_of)
+    return StreamRun(query, lake.stream, after)
+
+
+COUNTERS = ("consumed", "processed", "skipped", "invalid")
+
+
+def finish_stream(spark: SparkSession, lake: Lake, run: StreamRun, as_of: datetime | str) -> dict[str, int]:
+    """Wait for the stream, add up the counters of the batches it published
+    and audit the totals."""
+    run.query.awaitTermination()
+    totals = batches.totals(spark, run.root, COUNTERS, run.after)
     text = ", ".join(f"{name} {n}" for name, n in totals.items())
     record(spark, lake, "stream", "process", "STREAM_FINISHED", text, as_of)
     return totals

@@ -13,6 +13,7 @@ from lakestrata.functions.text import default_text, safe_number
 from lakestrata.functions.time import ntz
 from lakestrata.operators.audit import audit_rows
 from lakestrata.operators.filters import above
+from lakestrata.streaming import batches
 
 
 def check_columns(columns: Sequence[str], required: Sequence[str] = schemas.SALES_REQUIRED) -> None:
@@ -51,18 +52,18 @@ def transform_sales(
 ) -> DataFrame:
     """Events with a price above the minimum: customer_state, price, timestamp,
     processed_at. Unreadable prices, NaN and missing prices drop out."""
-    price = safe_number(_price())
+    priced = events.withColumn("_price", safe_number(_price()))
+    return priced.where(above(F.col("_price"), minimum)).select(*_sale(F.col("_price"), as_of))
+
+
+def _sale(price: Column, as_of: datetime | str | None) -> list[Column]:
     now = F.localtimestamp() if as_of is None else ntz(as_of)
-    return (
-        events.withColumn("_price", price)
-        .where(above(F.col("_price"), minimum))
-        .select(
-            default_text(F.col("customer_state"), K.UNKNOWN_STATE).alias("customer_state"),
-            F.col("_price").alias("price"),
-            F.coalesce(F.col("timestamp").cast("string"), now.cast("string")).alias("timestamp"),
-            now.alias("processed_at"),
-        )
-    )
+    return [
+        default_text(F.col("customer_state"), K.UNKNOWN_STATE).alias("customer_state"),
+        price.alias("price"),
+        F.coalesce(F.col("timestamp").cast("string"), now.cast("string")).alias("timestamp"),
+        now.alias("processed_at"),
+    ]
 
 
 def is_invalid() -> Column:
@@ -111,12 +112,6 @@ def stream_counts(events: DataFrame, minimum: float = K.MIN_PRICE) -> list[Colum
     ]
 
 
-def stream_metrics(events: DataFrame, name: str = "sales") -> DataFrame:
-    """Attach the counters as observed metrics; they show up per micro-batch
-    in the query progress, without another pass."""
-    return events.observe(name, *stream_counts(events))
-
-
 def dedupe_stream(events: DataFrame, keys: Sequence[str], event_time: str, delay: str = "10 minutes") -> DataFrame:
     """Drop re-delivered events within the watermark; state stays bounded."""
     if isinstance(events.schema[event_time].dataType, T.TimestampNTZType):
@@ -146,11 +141,45 @@ def write_stream_partitioned(
     return writer.start(path)
 
 
+PROCESSED, INVALID, SKIPPED = "processed", "invalid", "skipped"
+
+
+def classify_sales(events: DataFrame, as_of: datetime | str | None = None, minimum: float = K.MIN_PRICE) -> DataFrame:
+    """Each event's outcome, with the ``sale`` of a processed event and the
+    ``event`` itself of an invalid one."""
+    whole = F.struct(*events.columns)
+    good = above(safe_number(_price()), minimum)
+    outcome = F.when(is_invalid(), F.lit(INVALID)).when(good, F.lit(PROCESSED)).otherwise(F.lit(SKIPPED))
+    sale = F.when(F.col("outcome") == PROCESSED, F.struct(*_sale(safe_number(_price()), as_of)))
+    marked = events.withColumn("outcome", outcome)
+    return marked.select(
+        "outcome", F.to_date(F.col("timestamp").cast("string").try_cast("timestamp_ntz")).alias("event_date"),
+        sale.alias("sale"), F.when(F.col("outcome") == INVALID, whole).alias("event"),
+    )
+
+
 def process_sales_stream(
-    events: DataFrame, path: str, invalid_path: str, checkpoint: str, as_of: datetime | str | None = None
-) -> tuple[StreamingQuery, StreamingQuery]:
-    """Processed sales to ``path`` and invalid events to ``invalid_path``, each
-    with a checkpoint of its own."""
-    good = write_stream_partitioned(transform_sales(stream_metrics(events), as_of), path, f"{checkpoint}/sales")
-    bad = write_stream_partitioned(split_invalid(events)[1], invalid_path, f"{checkpoint}/invalid", partition_by=None)
-    return good, bad
+    events: DataFrame, root: str, checkpoint: str, as_of: datetime | str | None = None, available_now: bool = True
+) -> StreamingQuery:
+    """Processed sales and invalid events of a stream, read once and written
+    batch by batch under ``root`` with the batch's counters."""
+
+    def one_batch(batch: DataFrame, batch_id: int) -> None:
+        batches.write_batch(
+            batch, root, batch_id, stream_counts(batch),
+            lambda df: classify_sales(df, as_of).where(F.col("outcome") != SKIPPED), ["outcome"],
+        )
+
+    return batches.start(events, one_batch, checkpoint, available_now)
+
+
+def read_processed(spark: SparkSession, root: str) -> DataFrame | None:
+    """The sales of all published batches, with their event date."""
+    rows = batches.read_rows(spark, root)
+    return None if rows is None else rows.where(F.col("outcome") == PROCESSED).select("sale.*", "event_date")
+
+
+def read_invalid(spark: SparkSession, root: str) -> DataFrame | None:
+    """The invalid events of all published batches, as they came."""
+    rows = batches.read_rows(spark, root)
+    return None if rows is None else rows.where(F.col("outcome") == INVALID).select("event.*")

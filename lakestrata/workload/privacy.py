@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from lakestrata.functions import crypto, masking
 from lakestrata.functions.masking import MaskRule, mask_columns
+from lakestrata.functions.permute import ROUNDS, halves
 from lakestrata.functions.time import add_days, version_stamp
 from lakestrata.operators.aggregates import masking_stats
+from lakestrata.operators.private import private_totals, show_threshold
 from lakestrata.plans.consolidate import consolidate
 from lakestrata.settings import cut_lineage
 from lakestrata.sources.domain import customers, domain_tables, table
@@ -99,6 +101,44 @@ def mask_pseudonym(spark, sf_dir):
     return mask_columns(copies, {c: MaskRule("fake") for c in columns}, key=DEMO_KEY)
 
 
+def _rounds_sql(source, number, a, b, key, name):
+    """CTEs of the rounds; the last one is ``name`` with the number ``p``."""
+    parts = [f"{name}_0 AS (SELECT *, {number} % {a} AS fl, {number} // {a} AS fr FROM {source})"]
+    for k in range(ROUNDS):
+        digest = lambda half: f"CAST('0x' || substr(sha256('{key}|{k}|' || CAST({half} AS VARCHAR)), 1, 13) AS BIGINT)"
+        fl, fr = (f"(fl + {digest('fr')}) % {a}", "fr") if k % 2 == 0 else ("fl", f"(fr + {digest('fl')}) % {b}")
+        parts.append(f"{name}_{k + 1} AS (SELECT * EXCLUDE (fl, fr), {fl} AS fl, {fr} AS fr FROM {name}_{k})")
+    return ", ".join([*parts, f"{name} AS (SELECT * EXCLUDE (fl, fr), fl + fr * {a} AS p FROM {name}_{ROUNDS})"])
+
+
+def _permuted_sql():
+    nine, eight = halves(10 ** 9), halves(10 ** 8)
+    return f"""
+WITH src AS (SELECT c_custkey FROM customer),
+{_rounds_sql('src', 'CAST(c_custkey AS BIGINT)', *nine, DEMO_KEY + '|cpf', 'c')},
+{_rounds_sql('c', 'CAST(c_custkey AS BIGINT)', *nine, DEMO_KEY + '|numbered|9', 'm').replace('p FROM m', 'code FROM m')},
+{_rounds_sql('m', 'CAST(c_custkey AS BIGINT)', *eight, DEMO_KEY + '|phone', 'f').replace('p FROM f', 'phone FROM f')},
+t AS (SELECT *, lpad(CAST(p AS VARCHAR), 9, '0') AS nine, lpad(CAST(phone AS VARCHAR), 8, '0') AS eight FROM f),
+u AS (SELECT *, nine || {_check_digit('nine', 9)} AS ten FROM t),
+e AS (SELECT *, ten || {_check_digit('ten', 10)} AS eleven FROM u)
+SELECT c_custkey, substr(eleven, 1, 3) || '.' || substr(eleven, 4, 3) || '.' || substr(eleven, 7, 3) || '-' || substr(eleven, 10, 2) AS cpf,
+  'Customer#' || lpad(CAST(code AS VARCHAR), 9, '0') AS code,
+  '+55 11 9' || left(eight, 4) || '-' || right(eight, 4) AS telefone
+FROM e"""
+
+
+@query("mask_permuted", _permuted_sql())
+def mask_permuted(spark, sf_dir):
+    """Pseudonyms by keyed permutation: as many of them as there are values."""
+    key = F.lpad(F.col("c_custkey").cast("string"), 9, "0")
+    phone = F.concat(F.lit("+55 11 9"), F.substring(key, 2, 4), F.lit(" "), F.right(key, F.lit(4)))
+    copies = table(spark, sf_dir, "customer").select(
+        "c_custkey", F.concat(key, F.lit("00")).alias("cpf"), F.concat(F.lit("Customer#"), key).alias("code"), phone.alias("telefone"),
+    )
+    policy = {c: MaskRule("permuted", {"kind": k}) for c, k in (("cpf", "cpf"), ("code", "numbered"), ("telefone", "phone"))}
+    return mask_columns(copies, policy, key=DEMO_KEY)
+
+
 @query("mask_policy", with_domain(f"""
 SELECT * REPLACE (CASE WHEN customer_city IS NOT NULL THEN '[CIDADE_REMOVIDA_LGPD]' END AS customer_city,
                   sha256(customer_state || '{DEMO_KEY}') AS customer_state)
@@ -135,6 +175,46 @@ def dp_noise(spark, sf_dir):
     return masking.laplace_noise(lines, "l_quantity", 0.5, 1.0, seed=42)
 
 
+@query("dp_noise_statistics", """
+SELECT count(*) AS n, true AS unbiased, true AS spread_as_asked, true AS rows_differ FROM lineitem""")
+def dp_noise_statistics(spark, sf_dir):
+    """The random noise itself: its mean and spread over the whole table."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    noise = masking.laplace_noise(lines.withColumn("l_quantity", F.lit(0.0)), "l_quantity", 0.5, 1.0, seed=42)
+    # Laplace(0, 2) has the standard deviation 2.83; its mean over n rows varies by 2.83 / sqrt(n).
+    n, spread = F.count(F.lit(1)), 8 ** 0.5
+    return noise.agg(
+        n.alias("n"), (F.abs(F.avg("l_quantity")) < 5 * spread / F.sqrt(n)).alias("unbiased"),
+        (F.abs(F.stddev("l_quantity") / spread - 1) < 10 / F.sqrt(n)).alias("spread_as_asked"),
+        (F.approx_count_distinct("l_quantity") > 0.8 * n).alias("rows_differ"),
+    )
+
+
+_UNIT = "(CAST('0x' || substr(sha256({text}), 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE - 0.5::DOUBLE"
+_LAPLACE = "-sign({u}) * ln(greatest(1 - 2 * abs({u}), 1.1102230246251565e-16)) * {scale}::DOUBLE"
+PRIVATE = {"epsilon": 1.0, "low": 0.0, "high": 200_000.0, "most_rows": 3, "delta": 1e-6}
+
+
+@query("private_totals", f"""
+WITH ranked AS (
+  SELECT o_orderpriority, greatest(0, least(200000, CAST(o_totalprice AS DOUBLE))) AS x, row_number() OVER (
+    PARTITION BY o_custkey ORDER BY sha256(CAST(o_orderkey AS VARCHAR) || '{NOISE_KEY}'), o_orderkey) AS k FROM orders),
+sums AS (SELECT o_orderpriority, count(*) AS n, sum(x) AS s FROM ranked WHERE k <= 3 GROUP BY o_orderpriority),
+units AS (SELECT *, {_UNIT.format(text=f"o_orderpriority || '{NOISE_KEY}|_n'")} AS un, {_UNIT.format(text=f"o_orderpriority || '{NOISE_KEY}|_s'")} AS us FROM sums),
+noisy AS (SELECT o_orderpriority, n + {_LAPLACE.format(u='un', scale=6.0)} AS n_rows, s + {_LAPLACE.format(u='us', scale=1_200_000.0)} AS total FROM units)
+SELECT o_orderpriority, round(n_rows, 3) AS n_rows, round(total, 1) AS total, round(total / n_rows, 2) AS mean
+FROM noisy WHERE n_rows >= {show_threshold(0.5, 3, 1e-6)!r}""")
+def private_totals_(spark, sf_dir):
+    """Orders per priority, each customer with three orders at most."""
+    shown = private_totals(
+        table(spark, sf_dir, "orders"), "o_orderpriority", "o_custkey", "o_totalprice", secret=NOISE_KEY,
+        row_id=["o_orderkey"], **PRIVATE,
+    )
+    return shown.select(
+        "o_orderpriority", F.round("n_rows", 3).alias("n_rows"), F.round("total", 1).alias("total"), F.round("mean", 2).alias("mean")
+    )
+
+
 def demo_keys(spark, sf_dir):
     """Key history derived from the regions: one version per region."""
     region = table(spark, sf_dir, "region")

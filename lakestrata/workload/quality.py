@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakestrata.operators import quality
+from lakestrata.operators.quantiles import exact_quantiles
 from lakestrata.plans.consolidate import consolidate
 from lakestrata.settings import cut_lineage
 from lakestrata.sources.domain import domain_tables, table
@@ -142,8 +143,20 @@ def zscore_outliers(spark, sf_dir):
     return quality.zscore_outliers(table(spark, sf_dir, "events").select("event_id", "value"), "value", 3.0)
 
 
-@query("iqr_outliers")
+@query("iqr_outliers", """
+WITH q AS (SELECT quantile_disc(value, 0.25) AS q1, quantile_disc(value, 0.75) AS q3 FROM events)
+SELECT event_id, value FROM events, q WHERE value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)""")
 def iqr_outliers(spark, sf_dir):
     rule = {"type": "iqr", "column": "value"}
     events = table(spark, sf_dir, "events").select("event_id", "value")
     return quality.quarantine(events, [rule])[1].drop("failed_rules")
+
+
+@query("exact_quantiles", """
+SELECT CAST(unnest([1, 5, 25, 50, 75, 99, 100]) AS INTEGER) AS percent,
+       unnest(quantile_disc(l_extendedprice, [0.01, 0.05, 0.25, 0.5, 0.75, 0.99, 1.0])) AS value FROM lineitem""")
+def exact_quantiles_(spark, sf_dir):
+    """Exact quantiles of the line prices, many ties among them."""
+    percents = [1, 5, 25, 50, 75, 99, 100]
+    found = exact_quantiles(table(spark, sf_dir, "lineitem"), "l_extendedprice", [p / 100 for p in percents])
+    return spark.createDataFrame(list(zip(percents, found)), "percent int, value double")

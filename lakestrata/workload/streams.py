@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lakestrata.settings import work_path
 from lakestrata.sources.domain import table
 from lakestrata.sources.logs import parse_monitor_log
-from lakestrata.streaming import alerts, sales
+from lakestrata.streaming import alerts, batches, sales
 from lakestrata.workload.feeds import log_lines
 from lakestrata.workload.registry import query
 
@@ -53,14 +53,78 @@ def sales_transform(spark, sf_dir):
 
 @query("sales_stream", PROCESSED)
 def sales_stream(spark, sf_dir):
-    """The same through Structured Streaming and the partitioned sink."""
+    """The same through Structured Streaming and the sink by batch."""
     out = work_path(spark, "sales-stream")
-    good, bad = sales.process_sales_stream(
-        _as_sales(_event_stream(spark, sf_dir)), f"{out}/sales", f"{out}/invalid", f"{out}/checkpoint", AS_OF
+    sales.process_sales_stream(
+        _as_sales(_event_stream(spark, sf_dir)), f"{out}/sales", f"{out}/checkpoint", AS_OF
+    ).awaitTermination()
+    return _typed(sales.read_processed(spark, f"{out}/sales").drop("event_date"))
+
+
+def _feed(df, path, files):
+    """``df`` dealt over a number of files, for a stream that takes few at a time."""
+    df.repartition(files).write.mode("append").parquet(path)
+
+
+@query("sales_stream_outputs", f"""
+WITH {EVENT_CTE}, t AS (SELECT TRY_CAST(price AS DOUBLE) AS p FROM s)
+SELECT count(*) AS consumed, count(*) FILTER (WHERE p > 100) AS processed, count(*) FILTER (WHERE p <= 100) AS skipped,
+  count(*) FILTER (WHERE p IS NULL) AS invalid, count(*) FILTER (WHERE p > 100) AS processed_rows,
+  count(*) FILTER (WHERE p IS NULL) AS invalid_rows, round(sum(p) FILTER (WHERE p > 100), 2) AS price_total FROM t""")
+def sales_stream_outputs(spark, sf_dir):
+    """Both outputs of one stream and its counters, over 24 micro-batches and
+    a restart."""
+    out = work_path(spark, "outputs")
+    rows = _as_sales(table(spark, sf_dir, "events")).drop("event_ts")
+    for part in (0, 1):
+        _feed(rows.where(F.pmod(F.xxhash64("order_id"), F.lit(2)) == part), f"{out}/in", 12)
+        stream = sales.read_event_stream(spark, f"{out}/in", rows.schema, max_files=1)
+        sales.process_sales_stream(stream, f"{out}/sales", f"{out}/checkpoint", AS_OF).awaitTermination()
+    names = ("consumed", "processed", "skipped", "invalid")
+    counted = batches.totals(spark, f"{out}/sales", names)
+    good, bad = sales.read_processed(spark, f"{out}/sales"), sales.read_invalid(spark, f"{out}/sales")
+    written = good.agg(F.count(F.lit(1)).alias("processed_rows"), F.round(F.sum("price"), 2).alias("price_total"))
+    return written.select(
+        *[F.lit(counted[n]).cast("long").alias(n) for n in names], "processed_rows",
+        bad.agg(F.count(F.lit(1)).alias("n")).scalar().alias("invalid_rows"), "price_total",
+    )
+
+
+# Three waves by event time. A wave delivers every fifth event twice, and every
+# seventh event of the wave before it once more.
+WAVE_CTE = """
+b AS (SELECT min(ts) AS low, max(ts) - min(ts) AS width FROM events),
+e AS (SELECT event_id, ts, CAST(least(floor(3 * (epoch_us(ts) - epoch_us(low)) / (epoch_us(low + width) - epoch_us(low))), 2) AS INT) AS wave
+      FROM events, b),
+late AS (SELECT wave + 1 AS wave, max(ts) - INTERVAL 10 MINUTE AS watermark FROM e GROUP BY wave)"""
+
+
+@query("stream_events_classified", f"""
+WITH {WAVE_CTE}, again AS (SELECT e.ts < l.watermark AS late FROM e JOIN late l ON l.wave = e.wave + 1 WHERE e.event_id % 7 = 0 AND e.wave < 2)
+SELECT (SELECT count(*) + count(*) FILTER (WHERE event_id % 5 = 0) FROM e) + (SELECT count(*) FROM again) AS consumed,
+  (SELECT count(DISTINCT event_id) FROM e) AS kept,
+  (SELECT count(*) FILTER (WHERE event_id % 5 = 0) FROM e) + (SELECT count(*) FROM again WHERE NOT late) AS repeated,
+  (SELECT count(*) FROM again WHERE late) AS late, (SELECT count(*) FROM events) AS kept_rows""")
+def stream_events_classified(spark, sf_dir):
+    """Repeated and late deliveries over three waves, each in a run of its own."""
+    out = work_path(spark, "classified")
+    events = table(spark, sf_dir, "events").select("event_id", "ts")
+    low, high = (events.agg(f("ts")).scalar() for f in (F.min, F.max))
+    micros = lambda c: F.unix_micros(c.cast("timestamp"))
+    share = F.floor(3 * (micros(F.col("ts")) - micros(low)) / (micros(high) - micros(low)))
+    waves = events.withColumn("wave", F.least(share, F.lit(2)).cast("int"))
+    for wave in range(3):
+        own = waves.where(F.col("wave") == wave)
+        twice = own.where("event_id % 5 = 0")
+        before = waves.where((F.col("wave") == wave - 1) & (F.col("event_id") % 7 == 0))
+        own.unionByName(twice).unionByName(before).select("event_id", "ts").write.mode("append").parquet(f"{out}/in")
+        stream = sales.read_event_stream(spark, f"{out}/in", events.schema, required=["event_id", "ts"])
+        batches.deduplicate_stream(stream, f"{out}/events", f"{out}/checkpoint", ["event_id"], "ts").awaitTermination()
+    counted = batches.totals(spark, f"{out}/events", batches.EVENT_COUNTERS)
+    kept = batches.read_events(spark, f"{out}/events", batches.KEPT)
+    return kept.agg(F.count(F.lit(1)).alias("kept_rows")).select(
+        *[F.lit(counted[n]).cast("long").alias(n) for n in batches.EVENT_COUNTERS], "kept_rows"
     )
-    good.awaitTermination()
-    bad.awaitTermination()
-    return _typed(spark.read.parquet(f"{out}/sales").drop("event_date"))
 
 
 @query("sales_invalid", f"WITH {EVENT_CTE} SELECT event_ts, price, CAST(event_id AS VARCHAR) AS order_id FROM s WHERE price = 'abc'")

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,7 +10,7 @@ from lakestrata.plans.pipelines import Lake
 from lakestrata.operators.quality import QualityGateError
 from lakestrata.sinks.star import current_version, read_star
 from lakestrata.sources.logs import read_audit
-from lakestrata.streaming import alerts, sales
+from lakestrata.streaming import alerts, batches, sales
 
 AS_OF = "2024-02-01 00:00:00"
 EVENT = "timestamp string, customer_state string, price string, order_id string, event_sequence_id bigint"
@@ -48,26 +50,102 @@ def test_stream_equals_batch_and_replays_nothing(spark, events, tmp_path):
     events.write.parquet(source)
 
     def drain():
-        queries = sales.process_sales_stream(
-            sales.read_event_stream(spark, source, max_files=1), f"{out}/good", f"{out}/bad", f"{out}/checkpoint", AS_OF
-        )
-        for q in queries:
-            q.awaitTermination()
-        return queries[0]
-
-    metrics = [p["observedMetrics"]["sales"] for p in drain().recentProgress if "sales" in p["observedMetrics"]]
-    assert sum(m["consumed"] for m in metrics) == 10 and sum(m["invalid"] for m in metrics) == 3
+        stream = sales.read_event_stream(spark, source, max_files=1)
+        query = sales.process_sales_stream(stream, out, f"{out}-checkpoint", AS_OF)
+        query.awaitTermination()
+        return query
+
+    drain()
+    names = ("consumed", "processed", "skipped", "invalid")
+    assert batches.totals(spark, out, names) == {"consumed": 10, "processed": 3, "skipped": 4, "invalid": 3}
     key = ["customer_state", "price", "timestamp", "processed_at"]
     batch = sales.transform_sales(events, AS_OF)
-    written = spark.read.parquet(f"{out}/good")
+    written = sales.read_processed(spark, out)
     assert sorted(written.select(key).collect()) == sorted(batch.select(key).collect())
     assert {str(r["event_date"]) for r in written.select("event_date").collect()} == {"2024-01-02", "2024-01-07", "2024-01-08"}
-    assert spark.read.parquet(f"{out}/bad").count() == 3
+    assert sorted(sales.read_invalid(spark, out).collect()) == sorted(sales.split_invalid(events)[1].collect())
     drain()  # nothing new: the checkpoint remembers
-    assert spark.read.parquet(f"{out}/good").count() == 3
+    assert sales.read_processed(spark, out).count() == 3
+    last = batches.last_batch(spark, out)
     events.limit(2).write.mode("append").parquet(source)
     drain()
-    assert spark.read.parquet(f"{out}/good").count() == 4
+    assert sales.read_processed(spark, out).count() == 4
+    assert batches.totals(spark, out, names, after=last) == {"consumed": 2, "processed": 1, "skipped": 1, "invalid": 0}
+
+
+@pytest.mark.parametrize("killed_after", ["rows", "counters"])
+def test_a_killed_batch_is_repeated_whole(spark, events, tmp_path, monkeypatch, killed_after):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    events.repartition(3).write.parquet(source)
+    plain, calls = batches.write_batch, []
+
+    def dies_once(batch, root, batch_id, counters, shape, partition_by):
+        calls.append(batch_id)
+        if len(calls) == 2 and killed_after == "rows":
+            shape(batch).write.partitionBy(*partition_by).parquet(f"{root}/rows/batch_id={batch_id}")
+            raise RuntimeError("killed")
+        plain(batch, root, batch_id, counters, shape, partition_by)
+        if len(calls) == 2:
+            raise RuntimeError("killed")
+
+    monkeypatch.setattr(batches, "write_batch", dies_once)
+    run = lambda: sales.process_sales_stream(
+        sales.read_event_stream(spark, source, max_files=1), out, f"{out}-checkpoint", AS_OF
+    ).awaitTermination()
+    with pytest.raises(Exception):
+        run()
+    published = batches.read_counters(spark, out).count()
+    assert published == (1 if killed_after == "rows" else 2)
+    run()
+    assert len(calls) > len(set(calls))
+    assert sales.read_processed(spark, out).count() == 3 and sales.read_invalid(spark, out).count() == 3
+    assert batches.totals(spark, out, ("consumed",)) == {"consumed": 10}
+
+
+def test_counters_outlive_the_progress(spark, events, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    name = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "2")
+    try:
+        events.repartition(5).write.parquet(source)
+        query = sales.process_sales_stream(sales.read_event_stream(spark, source, max_files=1), out, f"{out}-c", AS_OF)
+        query.awaitTermination()
+    finally:
+        spark.conf.set(name, before)
+    assert len(query.recentProgress) <= 2 < batches.read_counters(spark, out).count()
+    assert batches.totals(spark, out, ("consumed", "invalid")) == {"consumed": 10, "invalid": 3}
+
+
+def test_one_scan_feeds_both_outputs(spark, events, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    events.write.parquet(source)
+    query = sales.process_sales_stream(sales.read_event_stream(spark, source), out, f"{out}-c", AS_OF)
+    query.awaitTermination()
+    assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [10]
+
+
+def test_kept_repeated_and_late_events(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = "id string, at timestamp_ntz, note string"
+    waves = [
+        [("a", "10:00", "1"), ("a", "10:01", "2"), ("b", "10:30", "3"), (None, "10:00", "x"), (None, "10:00", "y"), ("n", None, "t")],
+        # a is before the watermark of 10:20, b is known, the row without id is late.
+        [("a", "10:02", "4"), ("b", "10:31", "5"), ("c", "11:00", "6"), ("n", None, "t")],
+        # b is forgotten and so kept again, c is known.
+        [("b", "10:55", "7"), ("c", "10:52", "8"), ("c", "10:20", "9"), ("d", "10:50", "10")],
+    ]
+    for wave in waves:
+        rows = [(i, datetime.fromisoformat(f"2024-01-01 {t}:00") if t else None, n) for i, t, n in wave]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        stream = sales.read_event_stream(spark, source, schema, required=["id", "at"])
+        batches.deduplicate_stream(stream, out, f"{out}-c", ["id"], "at").awaitTermination()
+    notes = lambda outcome: {r["note"] for r in batches.read_events(spark, out, outcome).collect()}
+    assert notes(batches.KEPT) == {"1", "3", "x", "y", "t", "6", "7", "10"}
+    assert notes(batches.LATE) == {"4", "9"}
+    n = batches.totals(spark, out, batches.EVENT_COUNTERS)
+    assert n == {"consumed": 14, "kept": 9, "repeated": 3, "late": 2}
+    assert batches.totals(spark, f"{out}-none", ("kept",)) == {"kept": 0} and batches.read_rows(spark, f"{out}-none") is None
 
 
 def test_redelivered_events(spark, tmp_path):
@@ -142,7 +220,7 @@ def test_batch_pipeline(spark, tmp_path):
     totals = pipelines.finish_stream(spark, lake, pipelines.run_stream(spark, lake, AS_OF), AS_OF)
     silver = spark.read.parquet(f"{lake.root}/silver/vendas")
     lines = silver.select("order_id", "product_id", "order_item_id").where("order_item_id is not null").distinct()
-    emitted = lambda: spark.read.parquet(f"{lake.root}/silver/vendas_stream").count()
+    emitted = lambda: sales.read_processed(spark, lake.stream).count()
     assert totals["processed"] == emitted() > 0
     assert totals["consumed"] >= lines.count() and sum(totals.values()) == 2 * totals["consumed"]
     actions = {r["action"] for r in read_audit(spark, lake.audit).select("action").collect()}
