@@ -85,18 +85,43 @@ def test_contaminated_documents_go_and_others_stay(planted):
 
 def test_near_and_far_embeddings():
     rng = np.random.default_rng(1)
-    words = rng.integers(1, 2**63, 40, dtype=np.uint64)
+    words = D.folded(rng.integers(1, 2**63, 40, dtype=np.uint64))
     other = words.copy()
     other[20] = 5
-    far = rng.integers(1, 2**63, 40, dtype=np.uint64)
+    far = D.folded(rng.integers(1, 2**63, 40, dtype=np.uint64))
     start = np.zeros(1, np.int64)
-    same = lambda a, b: int((D.window_keys(a, start, 40) == D.window_keys(b, start, 40)).sum())
-    assert same(words, words) == D.KEYS
-    assert D.KEYS > same(words, other) > 0 == same(words, far)
+    same = lambda a, b: int((D.window_keys(a, start, 39, 48, 4) == D.window_keys(b, start, 39, 48, 4)).sum())
+    assert same(words, words) == 48 > same(words, other) > 0 == same(words, far)
     many = np.arange(10_000) % 3
     longer = np.concatenate([words, words])
-    keys = D.window_keys(longer, many, 40)
-    assert (keys == D.window_keys(longer, np.arange(3), 40)[many]).all()
+    keys = D.window_keys(longer, many, 39, 48, 4)
+    assert (keys == D.window_keys(longer, np.arange(3), 39, 48, 4)[many]).all()
+
+
+def test_a_walk_by_its_definition():
+    """One walk step by step in plain integers; past the window it gives out 0."""
+    rng = np.random.default_rng(2)
+    words = D.folded(rng.integers(1, 2**63, 30, dtype=np.uint64))
+    multipliers, sampled = D.walks(12, 5, 4)
+    got = D.embedded(words, np.array([3, 25]), 12, multipliers)
+    assert sampled.shape == (5, 4) and (sampled < D.walk_length(12)).all()
+    for walk in range(5):
+        for column, start in enumerate((3, 25)):
+            at = 0
+            for step in range(D.walk_length(12)):
+                inside = at < 12
+                symbol = int(words[start + at]) if inside and start + at < 30 else 0
+                assert got[walk, step, column] == symbol
+                if inside:
+                    at += ((symbol ^ symbol >> 15) * int(multipliers[walk, step]) & 0xFFFFFFFF) >> 31
+
+
+def test_more_edits_take_more_walks():
+    few, many = D.hit_rate(30, 30, 1, 4), D.hit_rate(30, 30, 6, 4)
+    assert 1 > few > many > 0
+    walks_, steps = D.repetitions(30, 30)
+    assert 1 - (1 - D.hit_rate(30, 30, 6, steps)) ** walks_ >= D.TARGET
+    assert D.repetitions(30, 30, 0.5)[0] < walks_
 
 
 def test_odd_rows(spark):
