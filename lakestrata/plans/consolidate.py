@@ -74,7 +74,7 @@ def consolidate(
     if mode not in ("fanout", "preaggregate"):
         raise ValueError("mode is 'fanout' or 'preaggregate'")
     if driving == "orders":
-        tables = {name: project(tables[name], _order_first_columns(tables[name], name)) for name in K.ORDER_FIRST_COLUMNS}
+        tables = order_first_tables(tables)
     else:
         tables = {name: tables[name] for name in ("customers", "orders", "payments", "items", "products")}
     if mode == "preaggregate":
@@ -119,6 +119,11 @@ def consolidate(
     return per_order(matched, payments | lines).unionByName(idle, allowMissingColumns=True)
 
 
+def order_first_tables(tables: Tables) -> dict[str, DataFrame]:
+    """The tables with the columns that the order-first consolidation reads."""
+    return {name: project(tables[name], _order_first_columns(tables[name], name)) for name in K.ORDER_FIRST_COLUMNS}
+
+
 def _order_first_columns(df: DataFrame, name: str) -> list[str]:
     """The declared subset, plus the item ordinal when the table has one."""
     columns = K.ORDER_FIRST_COLUMNS[name]

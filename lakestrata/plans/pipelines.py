@@ -54,16 +54,22 @@ class Lake:
         return f"{self.root}/silver/{SALES}_stream"
 
 
+STEP = "level string, dag_id string, task_id string, action string, message string, compliance_status string"
+
+
+def record_steps(spark: SparkSession, lake: Lake, steps: Sequence[tuple], as_of: datetime | str) -> None:
+    """Append the audit rows of a stage's steps, (level, dag, task, action,
+    message, compliance) each, as one file."""
+    rows = spark.createDataFrame(list(steps), STEP).withColumn("timestamp", ntz(as_of)).coalesce(1)
+    append_audit(audit.audit_rows(rows, preset=True), lake.audit, small=True)
+
+
 def record(
     spark: SparkSession, lake: Lake, dag: str, task: str, action: str, message: str,
     as_of: datetime | str, level: str = "INFO", compliance: str | None = None,
 ) -> None:
     """Append one audit row for a pipeline step; the level sets what is not given."""
-    step = spark.createDataFrame(
-        [(level, dag, task, action, message, compliance)],
-        "level string, dag_id string, task_id string, action string, message string, compliance_status string",
-    ).withColumn("timestamp", ntz(as_of))
-    append_audit(audit.audit_rows(step, preset=True), lake.audit)
+    record_steps(spark, lake, [(level, dag, task, action, message, compliance)], as_of)
 
 
 def consolidate_and_mask(
@@ -97,18 +103,20 @@ def consolidate_and_mask(
     counted = by_month.observe(seen, F.count(F.lit(1)).alias("rows"))
     path = write_layer(counted, lake.root, "silver", SALES, ["mes"], replace="table")
     rows = seen.get["rows"]
-    # One row per masked column.
-    before = {}
-    for column in policy:
-        source = tables[early[column]] if column in early else wide
-        before |= {r["column"]: r["n_distinct"] for r in distinct_counts(source, [column]).collect()}
+    # Numbers of distinct values, one row per masked column.
+    sources = {c: tables[early[c]] if c in early else wide for c in policy}
+    by_table: dict[int, tuple[DataFrame, list[str]]] = {}
+    for column, source in sources.items():
+        by_table.setdefault(id(source), (source, []))[1].append(column)
+    before = {r["column"]: r["n_distinct"] for source, own in by_table.values() for r in distinct_counts(source, own).collect()}
     after = {r["column"]: r["n_distinct"] for r in distinct_counts(spark.read.parquet(path), list(policy)).collect()}
+    steps = []
     for column, rule in policy.items():
         action, compliance = K.MASK_AUDIT.get(rule.method, ("DATA_MASKED", None))
         distinct = f"{before.get(column, 0)} -> {after.get(column, 0)} distinct values"
-        message = f"{column}: {rule.method}, {distinct}. {rule.reason}"
-        record(spark, lake, "consolidate", "mask", action, message, as_of, compliance=compliance)
-    record(spark, lake, "consolidate", "write", "CONSOLIDATION_WRITTEN", f"{rows} rows", as_of)
+        steps.append(("INFO", "consolidate", "mask", action, f"{column}: {rule.method}, {distinct}. {rule.reason}", compliance))
+    steps.append(("INFO", "consolidate", "write", "CONSOLIDATION_WRITTEN", f"{rows} rows", None))
+    record_steps(spark, lake, steps, as_of)
     return rows
 
 
@@ -154,10 +162,14 @@ def publish_star(
 
 def run_batch(
     spark: SparkSession, tables: Tables, lake: Lake, key: str, suite: Sequence[quality.Rule],
-    version: str, as_of: datetime | str,
+    version: str, as_of: datetime | str, mode: str = "preaggregate",
 ) -> DataFrame:
-    """Consolidate, mask, gate and publish; row counts of the star."""
-    consolidate_and_mask(spark, tables, lake, key, as_of)
+    """Consolidate, mask, gate and publish; row counts of the star.
+
+    By default the silver table has one row per item, so that what the fact
+    merges are repeated lines and not copies made by payments.
+    """
+    consolidate_and_mask(spark, tables, lake, key, as_of, mode=mode)
     check_sales(spark, lake, suite, as_of)
     return publish_star(spark, lake, version, as_of)
 

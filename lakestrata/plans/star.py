@@ -70,11 +70,17 @@ def fact_losses(consolidated: DataFrame, grain: Sequence[str] = FACT_GRAIN) -> D
     (a required value is missing), ``merged`` (a grain key occurs again) and
     ``kept``."""
     rows = _fact_rows(consolidated)
-    complete = drop_null(rows, K.FACT_REQUIRED)
-    kept = complete.select(*grain).distinct().agg(F.count(F.lit(1)).alias("n")).scalar()
-    whole = complete.agg(F.count(F.lit(1)).alias("n")).scalar()
-    counted = rows.agg(F.count(F.lit(1)).alias("rows"))
-    return counted.select("rows", (F.col("rows") - whole).alias("incomplete"), (whole - kept).alias("merged"), kept.alias("kept"))
+    whole = F.lit(True)
+    for column in K.FACT_REQUIRED:
+        whole &= F.col(column).isNotNull()
+    counted = rows.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(whole).alias("whole"),
+        # A grain key may hold NULLs beyond the required columns.
+        F.count_distinct(F.when(whole, F.to_json(F.struct(*grain)))).alias("kept"),
+    )
+    return counted.select(
+        "rows", (F.col("rows") - F.col("whole")).alias("incomplete"), (F.col("whole") - F.col("kept")).alias("merged"), "kept"
+    )
 
 
 def build_fato_vendas(

@@ -32,7 +32,9 @@ def write_layer(
     """Write a layer table; with partitions only those in ``df`` are replaced.
 
     ``replace="table"`` is for a full rebuild: partitions that ``df`` no longer
-    holds are removed too.
+    holds are removed too. The rebuild is written to the shared folder first
+    and only copied over the table when it is whole, so one that fails leaves
+    the old table, and a copy that fails can be repeated from there.
 
     Rows are clustered by partition value first, in many tasks per value, so
     a large or hot partition is written in parallel and a task does not keep
@@ -41,6 +43,10 @@ def write_layer(
     if replace not in ("partitions", "table"):
         raise ValueError("replace is 'partitions' or 'table'")
     path = layer_path(root, layer, table)
+    if replace == "table" and mode == "overwrite":
+        staged = work_path(df.sparkSession, "rebuild")
+        df.write.parquet(staged)
+        df = df.sparkSession.read.schema(df.schema).parquet(staged)
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic" if replace == "partitions" else "static")
@@ -88,10 +94,12 @@ def land_bronze(tables: Mapping[str, DataFrame | str | None], root: str, spark:
     return spark.createDataFrame(status, "table string, status string, n_rows bigint")
 
 
-def append_audit(rows: DataFrame, path: str) -> None:
-    """Append audit rows, partitioned by day."""
+def append_audit(rows: DataFrame, path: str, small: bool = False) -> None:
+    """Append audit rows, partitioned by day; ``small`` ones, of a single task,
+    need no shuffle before."""
     dated = rows.select(*schemas.AUDIT_COLUMNS, F.to_date("timestamp").alias("event_date"))
-    dated.hint("rebalance", "event_date").write.mode("append").partitionBy("event_date").parquet(path)
+    dealt = dated if small else dated.hint("rebalance", "event_date")
+    dealt.write.mode("append").partitionBy("event_date").parquet(path)
 
 
 def append_new(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> None:
@@ -109,6 +117,10 @@ def append_new(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[
     new_rows(target, batch, keys, order).select(*target.columns).write.mode("append").parquet(path)
 
 
+# Touched partitions named one by one in the scan's filter.
+NAMED_PARTITIONS = 10_000
+
+
 def upsert_partitions(
     spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
     partition_by: Sequence[str],
@@ -116,19 +128,28 @@ def upsert_partitions(
     """Upsert into a partitioned Parquet table, rewriting only the partitions
     the batch touches.
 
-    A key must always fall into the same partition. The merged partitions are
-    staged in the shared folder first, so a failure leaves the table as it was
-    and the final overwrite can be repeated.
+    A key must always fall into the same partition. Up to ``NAMED_PARTITIONS``
+    touched partitions are named in a filter, so that the others are not even
+    listed for the scan; a batch that touches more finds them by a join. The
+    merged partitions are staged in the shared folder first, so a failure
+    leaves the table as it was and the final overwrite can be repeated.
     """
     target = spark.read.parquet(path)
-    # Joined on the partition columns, the batch's partitions prune the scan
-    # while it runs; the list of them stays in the cluster.
-    touched = batch.select(*[F.col(c).alias(f"_touched_{c}") for c in partition_by]).distinct()
-    if touched.isEmpty():
+    touched = batch.select(*partition_by).distinct()
+    named = touched.limit(NAMED_PARTITIONS + 1).collect()
+    if not named:
         return
-    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_touched_{c}")) for c in partition_by])
-    affected = target.join(touched, same, "left_semi")
+    if len(named) <= NAMED_PARTITIONS:
+        # Each column by itself prunes; the combinations are exact below.
+        for column in partition_by:
+            values = {r[column] for r in named}
+            among = F.col(column).isin([v for v in values if v is not None])
+            target = target.where(among | F.col(column).isNull() if None in values else among)
+    if len(named) > NAMED_PARTITIONS or len(partition_by) > 1:
+        renamed = touched.withColumnsRenamed({c: f"_touched_{c}" for c in partition_by})
+        same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_touched_{c}")) for c in partition_by])
+        target = target.join(renamed, same, "left_semi")
     staged = work_path(spark, "upsert")
-    upsert(affected, batch, keys, order).write.parquet(staged)
+    upsert(target, batch, keys, order).write.parquet(staged)
     merged = spark.read.parquet(staged).hint("rebalance", *partition_by)
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from lakestrata.functions.text import classify
 from lakestrata.functions.time import ntz
+from lakestrata.streaming import batches
 
 
 def unusual_activity(
@@ -53,6 +55,13 @@ def activity_windows(
     which a window is final. Counting is partial per task, so a type with most
     of the events does not concentrate on one.
     """
+    counted = _counted_windows(events, time_column, type_column, window, slide, delay)
+    return counted.where(F.col("occurrences") >= threshold)
+
+
+def _counted_windows(
+    events: DataFrame, time_column: str, type_column: str, window: str, slide: str, delay: str | None
+) -> DataFrame:
     if isinstance(events.schema[time_column].dataType, T.TimestampNTZType):
         events = events.withColumn(time_column, F.col(time_column).cast("timestamp"))
     if delay:
@@ -60,7 +69,7 @@ def activity_windows(
     counted = events.groupBy(F.window(time_column, window, slide), F.col(type_column)).agg(
         F.count(F.lit(1)).alias("occurrences")
     )
-    return counted.where(F.col("occurrences") >= threshold).select(
+    return counted.select(
         F.col("window.start").cast("timestamp_ntz").alias("window_start"),
         F.col("window.end").cast("timestamp_ntz").alias("window_end"),
         F.col(type_column).alias("activity_type"),
@@ -68,6 +77,30 @@ def activity_windows(
     )
 
 
+def follow_activity_windows(
+    events: DataFrame, root: str, checkpoint: str, time_column: str, type_column: str,
+    window: str = "5 minutes", slide: str = "1 minute", delay: str = "10 minutes", available_now: bool = True,
+) -> StreamingQuery:
+    """Write the counts of a stream's windows whenever they change, so that
+    windows the watermark has not passed yet are known too."""
+    counted = _counted_windows(events, time_column, type_column, window, slide, delay)
+
+    def one_batch(batch: DataFrame, batch_id: int) -> None:
+        batches.write_batch(batch, root, batch_id, [F.count(F.lit(1)).alias("changed")])
+
+    return batches.start(counted, one_batch, checkpoint, available_now, mode="update")
+
+
+def read_activity_windows(spark: SparkSession, root: str, threshold: int = 3) -> DataFrame | None:
+    """The windows with at least ``threshold`` events, open ones included, by
+    their latest counts."""
+    rows = batches.read_rows(spark, root)
+    if rows is None:
+        return None
+    latest = rows.groupBy("window_start", "window_end", "activity_type").agg(F.max_by("occurrences", "batch_id").alias("occurrences"))
+    return latest.where(F.col("occurrences") >= threshold)
+
+
 def threshold_alert(
     metrics: DataFrame, metric: str, limit: float | Column, alert_percentage: float = 80.0, status: str = "status"
 ) -> DataFrame:

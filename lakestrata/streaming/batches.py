@@ -48,14 +48,14 @@ def write_batch(
 
 def start(
     stream: DataFrame, one_batch: Callable[[DataFrame, int], None], checkpoint: str,
-    available_now: bool = True, interval: str = "1 minute",
+    available_now: bool = True, interval: str = "1 minute", mode: str = "append",
 ) -> StreamingQuery:
     """One query for all of ``one_batch``'s outputs.
 
     ``available_now`` drains what is there and stops; otherwise micro-batches
     run every ``interval``.
     """
-    writer = stream.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
+    writer = stream.writeStream.foreachBatch(one_batch).outputMode(mode).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     return writer.start()
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakestrata.operators import audit, quality
+from lakestrata.operators import audit, quality, summaries
 from lakestrata.plans import pipelines
 from lakestrata.settings import work_path
 from lakestrata.sinks.files import append_audit
@@ -186,3 +186,29 @@ def audit_append_and_read(spark, sf_dir):
     path = work_path(spark, "audit")
     append_audit(audit_table(spark, sf_dir), path)
     return read_audit(spark, path)
+
+
+def _day_summaries(spark, sf_dir):
+    """Summaries of all days, the last ones written again when they are whole."""
+    path = work_path(spark, "audit-days")
+    rows = audit_table(spark, sf_dir)
+    summaries.write_day_summaries(rows.where("timestamp < '2024-01-10 12:00:00'"), path)
+    summaries.write_day_summaries(rows.where("timestamp >= '2024-01-10 00:00:00'"), path)
+    return summaries.read_days(spark, path, START, END)
+
+
+@query("audit_summary_merged", f"""
+WITH {AUDIT_CTE} SELECT count(*) AS total_eventos, count(*) FILTER (WHERE risk_level = 'HIGH') AS eventos_risco_alto,
+  round(count(*) FILTER (WHERE compliance_status = 'LGPD_OK') / count(*) * 100, 2) AS taxa_conformidade_lgpd,
+  true AS usuarios_dentro_do_erro FROM p""")
+def audit_summary_merged(spark, sf_dir):
+    """The report's totals from day summaries; users within three standard errors."""
+    merged = summaries.merged_summary(_day_summaries(spark, sf_dir))
+    exact = _report(spark, sf_dir)["resumo"].select("usuarios_ativos").scalar()
+    near = F.abs(F.col("usuarios_ativos") - exact) <= 3 * 1.04 / 2 ** (summaries.HLL_BITS / 2) * exact
+    return merged.withColumn("usuarios_dentro_do_erro", near).drop("usuarios_ativos")
+
+
+@query("audit_action_counts_merged", f"WITH {AUDIT_CTE} SELECT action AS item, count(*) AS n FROM p GROUP BY 1")
+def audit_action_counts_merged(spark, sf_dir):
+    return summaries.merged_top(_day_summaries(spark, sf_dir), "acoes", 10)

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from lakestrata.functions.masking import mask_hash
 from lakestrata.operators.aggregates import row_counts
 from lakestrata.operators.joins import hot_keys, join_with_suffixes, left_join, orphan_keys
+from lakestrata.plans import bucketed
 from lakestrata.plans.consolidate import (
     consolidate, customers_with_orders, items_with_products, payments_per_order, sales_by_state,
 )
+from lakestrata.settings import work_path
 from lakestrata.sources.domain import domain_tables, table
 from lakestrata.workload.registry import query, with_domain
 
@@ -31,18 +35,31 @@ def consolidate_customer_first(spark, sf_dir):
     return consolidate(domain_tables(spark, sf_dir), driving="customers")
 
 
-@query("consolidate_order_first", with_domain("""
+ORDER_FIRST_SQL = with_domain("""
 SELECT o.order_id, o.customer_id, order_status, order_purchase_timestamp, customer_city, customer_state,
        payment_type, CAST(payment_value AS DOUBLE) AS payment_value, order_item_id, i.product_id,
        CAST(price AS DOUBLE) AS price, CAST(freight_value AS DOUBLE) AS freight_value,
        product_category_name, review_score
 FROM d_orders o LEFT JOIN d_customers c ON o.customer_id = c.customer_id
 LEFT JOIN d_payments p ON o.order_id = p.order_id LEFT JOIN d_items i ON o.order_id = i.order_id
-LEFT JOIN d_products r ON i.product_id = r.product_id LEFT JOIN d_reviews v ON o.order_id = v.order_id"""))
+LEFT JOIN d_products r ON i.product_id = r.product_id LEFT JOIN d_reviews v ON o.order_id = v.order_id""")
+
+
+@query("consolidate_order_first", ORDER_FIRST_SQL)
 def consolidate_order_first(spark, sf_dir):
     return consolidate(domain_tables(spark, sf_dir), driving="orders")
 
 
+@query("consolidate_bucketed", ORDER_FIRST_SQL)
+def consolidate_bucketed(spark, sf_dir):
+    """The same from silver tables that are stored by order."""
+    prefix = f"by_order_{uuid.uuid4().hex}"
+    bucketed.store_by_order(spark, domain_tables(spark, sf_dir), work_path(spark, "by-order"), prefix, buckets=8)
+    wide = bucketed.consolidate_stored(bucketed.read_by_order(spark, prefix))
+    bucketed.forget(spark, prefix)
+    return wide
+
+
 @query("consolidate_preaggregated", with_domain("""
 SELECT o.order_id, o.customer_id, order_status, order_purchase_timestamp, customer_city, customer_state,
        CAST(payment_value AS DOUBLE) AS payment_value, payment_count, order_item_id, i.product_id,

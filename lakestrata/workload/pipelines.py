@@ -10,7 +10,7 @@ from lakestrata.plans.pipelines import Lake
 from lakestrata.settings import work_path
 from lakestrata.sinks import files
 from lakestrata.sources.domain import domain_tables, table
-from lakestrata.sources.tables import load_tables, read_layer
+from lakestrata.sources.tables import load_tables, read_csv, read_layer, split_rescued
 from lakestrata.workload.joins import DEMO_KEY
 from lakestrata.workload.registry import query, with_domain
 
@@ -78,3 +78,35 @@ def layer_of_csv(spark, sf_dir):
     root = work_path(spark, "layer")
     files.write_csv(table(spark, sf_dir, "orders").select("o_orderstatus", "o_orderkey"), f"{root}/bronze/orders")
     return read_layer(spark, root, "bronze", "orders", fmt="csv", schema="o_orderkey bigint, o_orderstatus string")
+
+
+@query("csv_other_case", "SELECT c_custkey AS customer_id, c_mktsegment AS customer_state FROM customer")
+def csv_other_case(spark, sf_dir):
+    """A header in capitals answers to the schema's names."""
+    root = work_path(spark, "csv")
+    files.write_csv(table(spark, sf_dir, "customer").select(
+        F.col("c_mktsegment").alias("CUSTOMER_STATE"), F.col("c_custkey").alias("Customer_Id")
+    ), f"{root}/customers.csv")
+    return read_csv(spark, f"{root}/customers.csv", "customer_id bigint, customer_state string")
+
+
+@query("csv_rescued", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 10 <> 3 THEN round(o_totalprice, 2) END AS price,
+       CASE WHEN o_orderkey % 7 <> 2 THEN strftime(o_orderdate, '%Y-%m-%d') END AS sold_on,
+       concat_ws(';', CASE WHEN o_orderkey % 10 = 3 THEN 'price=R$ ' || o_orderkey END,
+                 CASE WHEN o_orderkey % 7 = 2 THEN 'sold_on=32/13/' || o_orderkey END) AS lost
+FROM orders""")
+def csv_rescued(spark, sf_dir):
+    """Prices and dates that do not convert are kept beside their rows."""
+    path = f"{work_path(spark, 'csv')}/orders.csv"
+    key = F.col("o_orderkey")
+    files.write_csv(table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.when(key % 7 == 2, F.concat(F.lit("32/13/"), key.cast("string"))).otherwise(F.to_date("o_orderdate").cast("string")).alias("sold_on"),
+        F.when(key % 10 == 3, F.concat(F.lit("R$ "), key.cast("string"))).otherwise(F.round("o_totalprice", 2).cast("string")).alias("price"),
+    ), path)
+    rows = read_csv(spark, path, "o_orderkey bigint, price double, sold_on date", rescue="lost")
+    rows = rows.withColumn("sold_on", F.date_format("sold_on", "yyyy-MM-dd"))
+    good, rescued = split_rescued(rows, "lost")
+    told = F.array_join(F.transform("lost", lambda x: F.concat(x["column"], F.lit("="), x["text"])), ";")
+    return good.withColumn("lost", F.lit("")).unionByName(rescued.withColumn("lost", told))

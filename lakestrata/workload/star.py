@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lakestrata.functions.masking import mask_columns, mask_hash
 from lakestrata.operators.aggregates import row_counts
+from lakestrata.operators.asof import asof_join
 from lakestrata.operators.load import insert_if_absent, new_rows, upsert
 from lakestrata.plans import gold, star
 from lakestrata.plans.consolidate import consolidate
@@ -245,6 +246,30 @@ def regional_weather(spark, sf_dir):
     return out.withColumn("temperatura", F.round("temperatura", 6))
 
 
+@query("weather_at_sale", """
+WITH s AS (SELECT o_orderkey, n_name AS estado, CAST(o_orderdate AS TIMESTAMP) AS vendido_em
+           FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+r AS (SELECT n_name AS estado, CAST(l_shipdate AS TIMESTAMP) AS medido_em, round(avg(l_quantity), 6) AS temperatura
+      FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY 1, 2)
+SELECT o_orderkey, s.estado, vendido_em, medido_em, temperatura
+FROM s ASOF LEFT JOIN r ON s.estado = r.estado AND s.vendido_em >= r.medido_em""")
+def weather_at_sale(spark, sf_dir):
+    """Each sale with the last reading of its state at that time or before."""
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("estado"))
+    sales = (
+        table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        .select("o_orderkey", "estado", F.col("o_orderdate").cast("timestamp_ntz").alias("vendido_em"))
+    )
+    readings = (
+        table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+        .groupBy("estado", F.col("l_shipdate").cast("timestamp_ntz").alias("medido_em"))
+        .agg(F.round(F.avg("l_quantity"), 6).alias("temperatura"))
+    )
+    return asof_join(sales, readings, ["estado"], "vendido_em", "medido_em", ["temperatura"], bucket_seconds=30 * 86_400)
+
+
 @query("lineage_rows", with_domain("""
 SELECT 'consolidate' AS stage, 'customers, items, orders' AS inputs,
        (SELECT count(*) FROM d_customers) + (SELECT count(*) FROM d_items) + (SELECT count(*) FROM d_orders) AS input_rows,

@@ -183,14 +183,12 @@ def activity_windows(spark, sf_dir):
     return alerts.activity_windows(table(spark, sf_dir, "events"), "ts", "event_type", threshold=2)
 
 
-@query("activity_windows_stream", _window_sql("""
-WHERE window_start + INTERVAL 5 MINUTE <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE FROM events)"""))
+@query("activity_windows_stream", _window_sql())
 def activity_windows_stream(spark, sf_dir):
-    """Streaming windows; those the watermark has not passed stay open."""
-    windows = alerts.activity_windows(_event_stream(spark, sf_dir), "ts", "event_type", threshold=2, delay="10 minutes")
+    """Streaming windows, those the watermark has not passed included."""
     out = work_path(spark, "windows-stream")
-    sales.write_stream_partitioned(windows, f"{out}/rows", f"{out}/checkpoint", partition_by=None).awaitTermination()
-    return spark.read.parquet(f"{out}/rows")
+    alerts.follow_activity_windows(_event_stream(spark, sf_dir), f"{out}/rows", f"{out}/checkpoint", "ts", "event_type").awaitTermination()
+    return alerts.read_activity_windows(spark, f"{out}/rows", threshold=2)
 
 
 @query("unusual_activity", """
