@@ -61,6 +61,15 @@ MASK_AUDIT = {
     "static": ("DATA_MASKED_STATIC", "LGPD_ANONYMIZED"),
     "partial": ("DATA_MASKED_PARTIAL", "LGPD_PSEUDONYMIZED"),
 }
+# Texts of audit rows, as readers of the audit table know them.
+OPERATION_TEXT = "Operação: "
+METADATA_TEXT = " | Metadados: "
+INCIDENT_TEXT = "INCIDENTE DETECTADO: "
+UPLOAD_TEXT = "Arquivo enviado de '%s' para '%s'."
+TRANSFER_TEXT = "Objeto '%s' transferido de '%s' para '%s'."
+INVALID_PRICE_TEXT = "Evento com 'price' invalido: %s. Pulando processamento."
+PROCESSED_TEXT = "State: %s, Value: R$ %s"
+SKIPPED_TEXT = "Evento de venda ignorado (preco <= R$ %s): R$ %s"
 UPLOAD_SERVICE = "MinIO/S3"
 TRANSFER_SERVICE = "MinIO/S3_Lifecycle"
 VALIDATION_SERVICE = "Data_Validation"

@@ -58,8 +58,8 @@ def audit_rows(events: DataFrame, preset: bool = False) -> DataFrame:
 def audit_operations(operations: DataFrame) -> DataFrame:
     """Rows for pipeline operations (timestamp, dag_id, task_id, operation, metadata JSON text)."""
     details = F.concat(
-        F.lit("Operação: "), F.col("operation"),
-        F.coalesce(F.concat(F.lit(" | Metadados: "), F.col("metadata")), F.lit("")),
+        F.lit(K.OPERATION_TEXT), F.col("operation"),
+        F.coalesce(F.concat(F.lit(K.METADATA_TEXT), F.col("metadata")), F.lit("")),
     )
     values = {c: F.col(c) for c in ("timestamp", "dag_id", "task_id", "user") if c in operations.columns}
     return _rows(operations, values | {
@@ -86,7 +86,7 @@ def audit_incidents(incidents: DataFrame) -> DataFrame:
     return _rows(incidents, values | {
         "level": severity,
         "action": F.lit("SECURITY_INCIDENT"),
-        "details": F.concat(F.lit("INCIDENTE DETECTADO: "), F.coalesce(F.col("error"), F.lit(""))),
+        "details": F.concat(F.lit(K.INCIDENT_TEXT), F.coalesce(F.col("error"), F.lit(""))),
         "compliance_status": F.when(severity.isin(K.BREACH_SEVERITIES), F.lit("LGPD_BREACH")).otherwise(
             F.lit("LGPD_WARNING")
         ),
@@ -102,8 +102,8 @@ def audit_transfers(moves: DataFrame) -> DataFrame:
     a transfer between buckets.
     """
     is_upload = F.col("object_key").isNull()
-    upload = F.format_string("Arquivo enviado de '%s' para '%s'.", "source", "destination")
-    transfer = F.format_string("Objeto '%s' transferido de '%s' para '%s'.", "object_key", "source", "destination")
+    upload = F.format_string(K.UPLOAD_TEXT, "source", "destination")
+    transfer = F.format_string(K.TRANSFER_TEXT, "object_key", "source", "destination")
     values = {c: F.col(c) for c in ("timestamp", "user") if c in moves.columns}
     for name in ("dag_id", "task_id"):
         values[name] = F.coalesce(F.col(name), F.lit("N/A")) if name in moves.columns else F.lit("N/A")

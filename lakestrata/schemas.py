@@ -12,6 +12,8 @@ def struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
+# Column names and types below are fixed values: they are those of the files.
+
 # Domain tables -------------------------------------------------------------
 CUSTOMERS = struct(customer_id=STRING, customer_unique_id=STRING, customer_city=STRING, customer_state=STRING)
 ORDERS = struct(order_id=STRING, customer_id=STRING, order_status=STRING, order_purchase_timestamp=NTZ)

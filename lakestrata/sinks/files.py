@@ -43,7 +43,7 @@ def write_layer(
     if replace not in ("partitions", "table"):
         raise ValueError("replace is 'partitions' or 'table'")
     path = layer_path(root, layer, table)
-    if replace == "table" and mode == "overwrite":
+    if replace == "table" and mode == "overwrite" and _exists(df.sparkSession, path):
         staged = work_path(df.sparkSession, "rebuild")
         df.write.parquet(staged)
         df = df.sparkSession.read.schema(df.schema).parquet(staged)
@@ -54,6 +54,17 @@ def write_layer(
     return path
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at ``path``; other failures are raised."""
+    try:
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
 def write_gold(df: DataFrame, root: str, table: str, partition_by: Sequence[str]) -> str:
     return write_layer(df, root, "gold", table, partition_by)
 

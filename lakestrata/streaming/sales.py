@@ -94,9 +94,9 @@ def sales_audit(events: DataFrame, as_of: datetime | str, minimum: float = K.MIN
         pick("LGPD_WARNING", "LGPD_PROCESSED", "LGPD_NA").alias("compliance_status"),
         pick("MEDIUM", "INFO", "INFO").alias("risk_level"),
         pick(
-            F.concat(F.lit("Evento com 'price' invalido: "), F.col("price").cast("string"), F.lit(". Pulando processamento.")),
-            F.concat(F.lit("State: "), state, F.lit(", Value: R$ "), shown),
-            F.concat(F.lit(f"Evento de venda ignorado (preco <= R$ {minimum}): R$ "), shown),
+            F.format_string(K.INVALID_PRICE_TEXT, F.col("price").cast("string")),
+            F.format_string(K.PROCESSED_TEXT, state, shown),
+            F.format_string(K.SKIPPED_TEXT, F.lit(str(minimum)), shown),
         ).alias("message"),
     ))
 
