@@ -30,9 +30,11 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lakestrata.llm.common import Batches, cut_lineage, mix64, pylist, text_of
+from lakestrata.operators.dedupe import with_sequence
+from lakestrata.operators.joins import broadcast_if_small
 
 EVERY = 24  # symbols of a chunk, about
 LONGEST = 3  # words of a phrase
@@ -44,8 +46,6 @@ GROUP = 3_000_000
 BITMAP_BITS = 1 << 27
 # Rows of a batch that a task hands on.
 ROWS = 50_000
-# Cells that rank a language's phrases before one task ranks their best.
-CELLS = 64
 
 END = b"."  # no word holds it
 _ENDS = re.compile(rb"[.,;:!?\x0A-\x0D][.,;:!?\x0A-\x0D\x20\x09]*")
@@ -295,8 +295,11 @@ def score_phrases(ngrams: DataFrame, words: DataFrame, *, top: int = TOP) -> Dat
     kept = lowest.join(inside, ["lang", "phrase"], "left").where(F.expr("longer IS NULL OR 100 * longer < 50 * a"))
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     flat = kept.select("lang", F.col("phrase").cast("string").alias("phrase"), "a", "cut.l", "cut.r", "cut.score")
-    cell = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(CELLS))).orderBy(*order)
-    best = flat.withColumn("rank", F.row_number().over(cell)).where(F.col("rank") <= top)
-    last = Window.partitionBy("lang").orderBy(*order)
-    ranked = best.withColumn("rank", F.row_number().over(last)).where(F.col("rank") <= top)
-    return ranked.join(words, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+    # Numbered over all languages by one range shuffle: no language is one task.
+    numbered = with_sequence(flat, ["lang", *order], "rank")
+    first = numbered.groupBy("lang").agg(F.min("rank").alias("first"))
+    ranked = (
+        numbered.join(broadcast_if_small(first), "lang").withColumn("rank", F.col("rank") - F.col("first") + 1)
+        .where(F.col("rank") <= top)
+    )
+    return ranked.join(broadcast_if_small(words), "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
