@@ -163,18 +163,22 @@ class _Scorer:
 # --- learning ---------------------------------------------------------------
 
 def learned_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, toxic, half): one identifier per distinct labelled text outside
-    the held-out fold. Only digests of texts are shuffled."""
+    """(doc_id, text_hash, toxic, half, copies): one identifier per distinct
+    labelled text outside the held-out fold, and the rows that repeat it under
+    that identifier. Only 64-bit hashes of texts are shuffled."""
     learned = crc32_of("doc_id") % FOLDS != HELD_OUT
     marks = (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & learned)
         .groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
     )
-    texts = docs.where(F.col("doc_id").isNotNull() & learned).select("doc_id", F.sha2(text_of(), 256).alias("digest"))
+    texts = (
+        docs.where(F.col("doc_id").isNotNull() & learned).select("doc_id", F.xxhash64(text_of()).alias("text_hash"))
+        .groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("copies"))
+    )
     return (
-        texts.join(marks, "doc_id").groupBy("digest")
-        .agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic"))
-        .select("doc_id", "toxic", F.pmod(F.xxhash64("digest"), F.lit(2)).cast("int").alias("half"))
+        texts.join(marks, "doc_id").groupBy("text_hash")
+        .agg(F.min(F.struct("doc_id", "copies")).alias("first"), F.max("toxic").alias("toxic"))
+        .select("first.doc_id", "text_hash", "toxic", F.pmod(F.xxhash64("text_hash"), F.lit(2)).cast("int").alias("half"), "first.copies")
     )
 
 
@@ -267,9 +271,14 @@ def train(docs: DataFrame, labels: DataFrame, *, sent_forms: int = SENT_FORMS) -
     if not toxic or not other:
         rate = (toxic + 1e-9) / (toxic + other + 2e-9)
         return Model(None, {}, intercept=float(np.clip(log(rate / (1 - rate)), -20, 20)))
-    # A text may stand under one identifier in several rows, or in different ones.
-    source = docs.where(crc32_of("doc_id") % FOLDS != HELD_OUT).select("doc_id", text_of().alias("text"))
-    chosen = source.join(broadcast_if_small(texts, SENT_LABELS), "doc_id").select("toxic", "half", "text")
+    source = docs.where(crc32_of("doc_id") % FOLDS != HELD_OUT).select(
+        "doc_id", F.xxhash64(text_of()).alias("text_hash"), text_of().alias("text")
+    )
+    found = source.join(broadcast_if_small(texts, SENT_LABELS), ["doc_id", "text_hash"])
+    # Rows that repeat, if there are any, are shuffled to be taken once.
+    if not texts.where("copies > 1").isEmpty():
+        found = found.where("copies = 1").unionByName(found.where("copies > 1").dropDuplicates(["doc_id", "text_hash"]))
+    chosen = found.select("toxic", "half", "text")
     counts = cut_lineage(
         chosen.mapInArrow(_count_forms, "form string, " + ", ".join(f"{c} long" for c in _COUNTS))
         .groupBy("form").agg(*[F.sum(c).alias(c) for c in _COUNTS]),
@@ -284,7 +293,7 @@ def train(docs: DataFrame, labels: DataFrame, *, sent_forms: int = SENT_FORMS) -
     segments = cut_lineage(measured[0].unionByName(measured[1]), "toxic_segments")
     tail = segments.where("toxic = 0").agg(
         F.sum(F.size("segments")).alias("m"), F.sum("n_words").alias("n"),
-        F.sum(F.aggregate("segments", F.lit(0.0), lambda a, s: a + s)).alias("s"),
+        F.round(F.sum(F.aggregate("segments", F.lit(0.0), lambda a, s: a + s)), 6).alias("s"),
     ).first()
     tail_rate = (tail["m"] + TAIL_PRIOR) / ((tail["s"] or 0.0) + TAIL_PRIOR)
     tail_k = (tail["m"] + 1) / (tail["n"] + 1)
@@ -298,7 +307,7 @@ def train(docs: DataFrame, labels: DataFrame, *, sent_forms: int = SENT_FORMS) -
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.float64()), batch.column(0)], names=["x", "toxic"])
 
     rows = segments.mapInArrow(bins, "x double, toxic int").groupBy("x", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()
-    intercept, slope = _curve([(r["x"], r["toxic"], r["n"]) for r in rows])
+    intercept, slope = _curve(sorted((r["x"], r["toxic"], r["n"]) for r in rows))
     forms = cut_lineage(log_odds(counts, F.col("toxic0") + F.col("toxic1"), F.col("other0") + F.col("other1")), "toxic_odds")
     return Model(forms, _sent(forms, sent_forms), tail_rate, tail_k, intercept, max(slope, 0.0))
 
