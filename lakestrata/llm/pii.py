@@ -95,16 +95,23 @@ def _letter(digest: Column, place: Column, first: str, n: int) -> Column:
     return F.substr(alphabet, _draw(digest, place, n) + 1, F.lit(1))
 
 
+# Script, first letter and number of letters that are drawn from.
+LETTERS = [
+    ("IsCyrillic", "а", 32), ("IsGreek", "α", 17), ("IsHan", "一", 2000), ("IsHangul", "가", 2000), ("IsHiragana", "か", 62),
+    ("IsKatakana", "カ", 62), ("IsArabic", "ب", 20), ("IsHebrew", "א", 27), ("IsThai", "ก", 46), ("IsDevanagari", "क", 37),
+    ("IsArmenian", "ա", 38), ("IsGeorgian", "ა", 33),
+]
+
+
 def _like(text: Column, digest: Column) -> Column:
     """Digits, letters and their scripts as in ``text``, drawn from the digest."""
-    chars = F.split(text, "")
-    return F.array_join(F.transform(chars, lambda c, k: (
-        F.when(c.rlike(r"^\d$"), _draw(digest, k, 10).cast("string"))
-        .when(c.rlike(r"^\p{IsCyrillic}$"), _letter(digest, k, "а", 32))
-        .when(c.rlike(r"^\p{IsGreek}$"), _letter(digest, k, "α", 17))
-        .when(c.rlike(r"^\p{L}$"), _letter(digest, k, "a", 26))
-        .otherwise(c)
-    )), "")
+    def drawn(c: Column, k: Column) -> Column:
+        out = F.when(c.rlike(r"^[0-9]$"), _draw(digest, k, 10).cast("string")).when(c.rlike("^[A-Za-z]$"), _letter(digest, k, "a", 26))
+        for script, first, n in LETTERS:
+            out = out.when(c.rlike(rf"^\p{{{script}}}$"), _letter(digest, k, first, n))
+        return out.when(c.rlike(r"^\p{L}$"), _letter(digest, k, "a", 26)).otherwise(c)
+
+    return F.array_join(F.transform(F.split(text, ""), drawn), "")
 
 
 def _luhn(digits: Column) -> Column:
@@ -116,9 +123,14 @@ def _luhn(digits: Column) -> Column:
     )), F.lit(0), lambda a, b: a + b)
 
 
-def _card(norm: Column, digest: Column) -> Column:
-    """The first digit stays; a valid number gets a valid one."""
-    body = F.concat(F.left(norm, F.lit(1)), F.substr(_like(norm, digest), F.lit(2), F.length(norm) - 2))
+def _lead(norm: Column, attempt: Column, digest: Column) -> Column:
+    """The first digit stays; after ten attempts it may be any."""
+    return F.when(attempt >= 10, F.left(_like(norm, digest), F.lit(1))).otherwise(F.left(norm, F.lit(1)))
+
+
+def _card(norm: Column, attempt: Column, digest: Column) -> Column:
+    """A valid number gets a valid one."""
+    body = F.concat(_lead(norm, attempt, digest), F.substr(_like(norm, digest), F.lit(2), F.length(norm) - 2))
     check = F.pmod(10 - _luhn(F.concat(body, F.lit("0"))) % 10, F.lit(10)).cast("string")
     last = F.substr(_like(norm, digest), F.length(norm), F.lit(1))
     return F.concat(body, F.when(_luhn(norm) % 10 == 0, check).otherwise(last))
@@ -174,10 +186,10 @@ def _name(norm: Column, gender: Column, attempt: Column, digest: Column) -> Colu
 def surrogate(kind: Column, norm: Column, gender: Column, attempt: Column, key: str) -> Column:
     """The surrogate's normal form."""
     digest = _digest(key, kind, norm, attempt.cast("string"))
-    phone = F.concat(F.left(norm, F.lit(1)), F.substr(_like(norm, digest), F.lit(2), F.length(norm)))
+    phone = F.concat(_lead(norm, attempt, digest), F.substr(_like(norm, digest), F.lit(2), F.length(norm)))
     return (
         F.when(kind == "email", _email(norm, attempt, digest, key)).when(kind == "ip", _ip(norm, attempt, digest))
-        .when(kind == "card", _card(norm, digest)).when(kind == "name", _name(norm, gender, attempt, digest))
+        .when(kind == "card", _card(norm, attempt, digest)).when(kind == "name", _name(norm, gender, attempt, digest))
         .when(kind == "phone", phone).otherwise(_like(norm, digest))
     )
 
@@ -221,17 +233,23 @@ def _mentions(text: Column) -> Column:
     return F.array_distinct(F.flatten(F.transform(found, entities)))
 
 
+# Draws of one entity before the search for distinct surrogates ends.
+MOST_ATTEMPTS = 60
+
+
 def surrogates(mentions: DataFrame, key: str) -> DataFrame:
     """(kind, norm, surrogate) of every distinct entity; surrogates differ
     from each other and from all entities of their kind.
 
     Of entities that drew the same, the one with the smallest normal form
-    keeps it; the others, and those that drew an entity, draw again.
+    keeps it; the others, and those that drew an entity, draw again. Where the
+    entities fill so much of a form that ``MOST_ATTEMPTS`` draws do not tell
+    them apart, there is hardly a surrogate left: that is an error.
     """
     entities = cut_lineage(mentions.groupBy("kind", "norm").agg(F.max("gender").alias("gender")), "entities")
     drawn = lambda df: df.withColumn("surrogate", surrogate(*map(F.col, ("kind", "norm", "gender", "attempt")), key))
     current = cut_lineage(drawn(entities.withColumn("attempt", F.lit(0))), "surrogates")
-    while True:
+    for _ in range(MOST_ATTEMPTS):
         keeper = current.groupBy("kind", "surrogate").agg(F.min("norm").alias("keeper"))
         taken = entities.select("kind", F.col("norm").alias("surrogate"), F.lit(True).alias("taken"))
         checked = cut_lineage(
@@ -245,6 +263,8 @@ def surrogates(mentions: DataFrame, key: str) -> DataFrame:
         if again.isEmpty():
             return good.select("kind", "norm", "surrogate")
         current = cut_lineage(good.unionByName(drawn(again)), "surrogates")
+    crowded = sorted(r["kind"] for r in again.select("kind").distinct().collect())
+    raise ValueError(f"no distinct surrogates are left for some entities of kind {', '.join(crowded)}")
 
 
 def _written(mention: Column, known: Column) -> Column:

@@ -210,6 +210,25 @@ def test_collisions_are_drawn_again(spark, monkeypatch):
     assert len(rows) == len(drawn) == 21 and not drawn & {r["norm"] for r in rows}
 
 
+def test_a_crowded_space_is_an_error_and_no_endless_search(spark, monkeypatch):
+    monkeypatch.setattr(pii, "MOST_ATTEMPTS", 3)
+    monkeypatch.setattr(pii, "surrogate", lambda kind, norm, gender, attempt, key: F.lit("same"))
+    mentions = spark.createDataFrame([("phone", "1", None), ("phone", "2", None)], "kind string, norm string, gender string")
+    with pytest.raises(ValueError, match="phone"):
+        pii.surrogates(mentions, "k")
+
+
+def test_letters_keep_their_script(spark):
+    import unicodedata
+
+    words = ["用户", "例子", "ひらがな", "カタカナ", "한국어", "مرحبا", "שלום", "привет", "γεια", "latin"]
+    df = spark.createDataFrame([(f"{w}@{w}.org",) for w in words], "text string").withColumn("doc_id", F.monotonically_increasing_id())
+    out = [r["text"] for r in pii.replace_entities(df, "key").collect()]
+    script = lambda text: {unicodedata.name(c).split()[0] for c in text if c.isalpha()}
+    got = sorted(str(sorted(script(t.split("@")[0]))) for t in out)
+    assert got == sorted(str(sorted(script(w))) for w in words) and not set(out) & {f"{w}@{w}.org" for w in words}
+
+
 def test_native_plan(spark, capsys):
     df = spark.createDataFrame([(1, "a@b.org")], "doc_id long, text string")
     pii.replace_entities(df, "k").explain()
