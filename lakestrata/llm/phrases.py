@@ -294,7 +294,10 @@ def score_phrases(ngrams: DataFrame, words: DataFrame, *, top: int = TOP) -> Dat
     )
     kept = lowest.join(inside, ["lang", "phrase"], "left").where(F.expr("longer IS NULL OR 100 * longer < 50 * a"))
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    flat = kept.select("lang", F.col("phrase").cast("string").alias("phrase"), "a", "cut.l", "cut.r", "cut.score")
+    # Written once: numbering reads them three times.
+    flat = cut_lineage(
+        kept.select("lang", F.col("phrase").cast("string").alias("phrase"), "a", "cut.l", "cut.r", "cut.score"), "scored"
+    )
     # Numbered over all languages by one range shuffle: no language is one task.
     numbered = with_sequence(flat, ["lang", *order], "rank")
     first = numbered.groupBy("lang").agg(F.min("rank").alias("first"))
