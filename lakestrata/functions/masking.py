@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from lakestrata import constants as K
-from lakestrata.functions.permute import permuted
+from lakestrata.functions.permute import once, permuted, permuted_digits
 
 # Word pools of the pseudonyms (fixed values).
 FIRST_NAMES = [
@@ -157,26 +157,21 @@ def mask_permuted(col: Column, kind: str, key: str) -> Column:
     if kind not in PERMUTED_FORMS:
         raise ValueError(f"kind is one of {', '.join(PERMUTED_FORMS)}")
     text, form = col.cast("string"), PERMUTED_FORMS[kind]
-    part = lambda n: F.regexp_extract(text, form, n)
-    digits = {
-        "cpf": F.concat(part(1), part(2), part(3)), "phone": F.concat(part(2), part(3)), "numbered": part(2),
-    }[kind]
-    known = text.rlike(form)
-    number = F.when(known, digits.cast("bigint"))
     secret = f"{key}|{kind}"
-    if kind == "cpf":
-        # The permuted number is used in every check digit: computed once.
-        out = F.transform(F.array(permuted(number, 10 ** 9, secret)), _cpf)[0]
-    elif kind == "phone":
-        new = F.lpad(permuted(number, 10 ** 8, secret).cast("string"), 8, "0")
-        out = F.transform(F.array(new), lambda n: F.concat(part(1), F.substring(n, 1, 4), F.lit("-"), F.substring(n, 5, 4)))[0]
-    else:
-        width = F.length(digits)
-        new = F.coalesce(*[
-            F.lpad(permuted(F.when(width == w, number), 10 ** w, f"{secret}|{w}").cast("string"), w, "0") for w in range(1, 16)
-        ])
-        out = F.concat(part(1), new, part(3))
-    return F.when(known, out).otherwise(mask_hash(text, key))
+
+    def masked(part: Column) -> Column:
+        if kind == "cpf":
+            return once(permuted(F.concat(part["p1"], part["p2"], part["p3"]), 10 ** 9, secret), _cpf)
+        if kind == "phone":
+            new = F.lpad(permuted(F.concat(part["p2"], part["p3"]), 10 ** 8, secret).cast("string"), 8, "0")
+            return once(new, lambda n: F.concat(part["p1"], F.substring(n, 1, 4), F.lit("-"), F.substring(n, 5, 4)))
+        width = F.length(part["p2"])
+        new = F.lpad(permuted_digits(part["p2"], width, secret).cast("string"), width, F.lit("0"))
+        return F.concat(part["p1"], new, part["p3"])
+
+    # The parts and the permuted number are used several times: computed once.
+    parts = F.struct(*[F.regexp_extract(text, form, n).alias(f"p{n}") for n in (1, 2, 3)])
+    return F.when(text.rlike(form), once(parts, masked)).otherwise(mask_hash(text, key))
 
 
 def laplace_noise(

@@ -9,6 +9,7 @@ is permuted again until it is back (cycle walking).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from math import isqrt
 
 from pyspark.sql import Column, functions as F
@@ -29,23 +30,35 @@ def halves(size: int) -> tuple[int, int]:
     return a, -(-size // a)
 
 
-def round_number(half: Column, step: Column, key: str) -> Column:
+def round_number(half: Column, step: Column, key: Column) -> Column:
     """Digest of a half in a round, as a number below 2 ** 52."""
-    text = F.concat_ws("|", F.lit(key), step.cast("string"), half.cast("string"))
+    text = F.concat_ws("|", key, step.cast("string"), half.cast("string"))
     return F.conv(F.substring(F.sha2(text, 256), 1, 13), 16, 10).cast("bigint")
 
 
-def _rounds(number: Column, a: int, b: int, key: str) -> Column:
-    pair = F.struct(F.pmod(number, F.lit(a)).alias("l"), F.floor(number / F.lit(a)).cast("bigint").alias("r"))
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once a row, however often it is
+    looked at."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _rounds(number: Column, a: Column, b: Column, key: Column) -> Column:
+    pair = F.struct(F.pmod(number, a).alias("l"), F.floor(number / a).cast("bigint").alias("r"))
 
     def one(state: Column, step: Column) -> Column:
         left, right = state["l"], state["r"]
         return F.when(
-            step % 2 == 0, F.struct(F.pmod(left + round_number(right, step, key), F.lit(a)).alias("l"), right.alias("r"))
-        ).otherwise(F.struct(left.alias("l"), F.pmod(right + round_number(left, step, key), F.lit(b)).alias("r")))
+            step % 2 == 0, F.struct(F.pmod(left + round_number(right, step, key), a).alias("l"), right.alias("r"))
+        ).otherwise(F.struct(left.alias("l"), F.pmod(right + round_number(left, step, key), b).alias("r")))
 
     steps = F.array(*[F.lit(k) for k in range(ROUNDS)])
-    return F.aggregate(steps, pair, one, lambda s: s["l"] + s["r"] * F.lit(a))
+    return F.aggregate(steps, pair, one, lambda s: s["l"] + s["r"] * a)
+
+
+def _inside(number: Column, size: Column) -> Column:
+    return F.when((number >= 0) & (number < size), number).when(
+        number.isNotNull(), F.raise_error(F.lit("number outside the permuted range"))
+    )
 
 
 def permuted(number: Column, size: int, key: str) -> Column:
@@ -56,21 +69,31 @@ def permuted(number: Column, size: int, key: str) -> Column:
     if not 2 <= size <= 10 ** 15:
         raise ValueError("the range has 2 to 10 ** 15 numbers")
     a, b = halves(size)
-    start = number.cast("bigint")
-    start = F.when((start >= 0) & (start < size), start).when(start.isNotNull(), F.raise_error(F.lit("number outside the permuted range")))
+    limit, sides = F.lit(size), (F.lit(a), F.lit(b), F.lit(key))
     if a * b == size:
-        return _rounds(start, a, b, key)
+        return once(_inside(number.cast("bigint"), limit), lambda n: _rounds(n, *sides))
     # The first step is always made, the others while the walk is outside.
-    outside = F.lit(size)
-    walked = F.aggregate(
+    walk = F.aggregate(
         F.array(*[F.lit(k) for k in range(WALK)]),
-        F.struct(F.lit(True).alias("out"), start.alias("n")),
-        lambda state, _: F.when(~state["out"], state).otherwise(_stepped(state["n"], a, b, key, outside)),
+        F.struct(F.lit(True).alias("out"), _inside(number.cast("bigint"), limit).alias("n")),
+        lambda state, _: F.when(~state["out"], state).otherwise(
+            once(_rounds(state["n"], *sides), lambda n: F.struct((n >= limit).alias("out"), n.alias("n")))
+        ),
     )
-    return F.when(walked["out"], F.raise_error(F.lit("the walk did not come back"))).otherwise(walked["n"])
+    return once(walk, lambda w: F.when(w["out"], F.raise_error(F.lit("the walk did not come back"))).otherwise(w["n"]))
 
 
-def _stepped(number: Column, a: int, b: int, key: str, size: Column) -> Column:
-    following = F.array(_rounds(number, a, b, key))
-    # One computed value, looked at twice.
-    return F.transform(following, lambda n: F.struct((n >= size).alias("out"), n.alias("n")))[0]
+def permuted_digits(number: Column, width: Column, key: str) -> Column:
+    """``number`` of up to ``width`` digits, 1 to 15, as ``permuted(number,
+    10 ** width, f"{key}|{width}")`` gives it: one permutation a row, whatever
+    widths there are."""
+    if not key:
+        raise ValueError("masking key is required")
+    powers = F.array(*[F.lit(10 ** k).cast("bigint") for k in range(16)])
+    right = F.floor(width / 2).cast("int")
+    given = F.struct(
+        _inside(number.cast("bigint"), F.get(powers, width)).alias("n"),
+        F.get(powers, width - right).alias("a"), F.get(powers, right).alias("b"),
+        F.concat(F.lit(f"{key}|"), width.cast("string")).alias("key"),
+    )
+    return once(given, lambda g: _rounds(g["n"], g["a"], g["b"], g["key"]))

@@ -132,7 +132,9 @@ def mask_permuted(spark, sf_dir):
     """Pseudonyms by keyed permutation: as many of them as there are values."""
     key = F.lpad(F.col("c_custkey").cast("string"), 9, "0")
     phone = F.concat(F.lit("+55 11 9"), F.substring(key, 2, 4), F.lit(" "), F.right(key, F.lit(4)))
-    copies = table(spark, sf_dir, "customer").select(
+    # Thirty digests a row: a file of few row groups is dealt to all cores first.
+    dealt = table(spark, sf_dir, "customer").select("c_custkey").repartition(spark.sparkContext.defaultParallelism)
+    copies = dealt.select(
         "c_custkey", F.concat(key, F.lit("00")).alias("cpf"), F.concat(F.lit("Customer#"), key).alias("code"), phone.alias("telefone"),
     )
     policy = {c: MaskRule("permuted", {"kind": k}) for c, k in (("cpf", "cpf"), ("code", "numbered"), ("telefone", "phone"))}

@@ -10,7 +10,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from lakestrata.functions import masking
-from lakestrata.functions.permute import halves, permuted
+from lakestrata.functions.permute import halves, permuted, permuted_digits
 from lakestrata.operators import quality
 from lakestrata.operators.private import bounded_rows, private_totals, show_threshold
 from lakestrata.operators.quantiles import exact_quantiles
@@ -105,6 +105,29 @@ def test_permuted_pseudonyms_are_distinct_and_keep_their_form(spark):
         masking.mask_permuted(F.col("c"), "word", "k")
 
 
+def test_numbers_of_any_width_are_permuted_once(spark):
+    """All widths share one permutation a row, with the result of each width's own."""
+    rows = [(w, n) for w in range(1, 16) for n in {0, 1, 10 ** w - 1, 10 ** w // 3}] + [(None, None), (3, None)]
+    df = spark.createDataFrame(rows, "w int, n long")
+    out = df.select("w", "n", permuted_digits(F.col("n"), F.col("w"), "key").alias("p"))
+    single = F.coalesce(*[permuted(F.when(F.col("w") == w, F.col("n")), 10 ** w, f"key|{w}") for w in range(1, 16)])
+    assert sorted(map(str, out.collect())) == sorted(map(str, df.select("w", "n", single.alias("p")).collect()))
+    with pytest.raises(Exception, match="outside"):
+        spark.range(1).select(permuted_digits(F.lit(100), F.lit(2), "key")).collect()
+    with pytest.raises(ValueError):
+        permuted_digits(F.lit(1), F.lit(1), "")
+    masked = df.select(masking.mask_permuted(F.lpad(F.col("n").cast("string"), 5, "0"), "numbered", "key").alias("m"))
+    plan = masked._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("aggregate(") == 1
+
+
+def test_masking_of_a_one_task_table_uses_all_cores(spark):
+    from lakestrata.workload.registry import load_all
+
+    out = load_all()["mask_permuted"].run(spark, "/root/testdata/sf0.001")
+    assert out.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
 ORDERS = "person string, grp string, v double, id int"
 
 
