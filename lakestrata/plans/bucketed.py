@@ -10,12 +10,26 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lakestrata.operators.aggregates import row_counts
 from lakestrata.operators.joins import left_join
 from lakestrata.plans.consolidate import Tables, items_with_products, order_first_tables
 
 PARTS = ("spine", "payments", "lines", "reviews")
+# Rows of the largest table that one bucket holds, about: a task sorts them.
+BUCKET_ROWS = 500_000
+
+
+def buckets_for(tables: Tables, least: int = 8) -> int:
+    """Buckets that keep a bucket of the largest table at ``BUCKET_ROWS``.
+
+    A stored bucket is one task of every later join, which adaptive execution
+    does not split: their number must grow with the rows.
+    """
+    counts = row_counts({name: tables[name] for name in ("orders", "payments", "items", "reviews")})
+    most = counts.agg(F.max("n_rows").alias("n")).first()["n"]
+    return max(least, -(-most // BUCKET_ROWS))
 
 
 def store_by_order(spark: SparkSession, tables: Tables, root: str, prefix: str, buckets: int) -> None:
@@ -23,7 +37,8 @@ def store_by_order(spark: SparkSession, tables: Tables, root: str, prefix: str,
     ``_reviews`` under ``root`` and enter them in the catalog.
 
     Each bucket is one file: rows are dealt by the order id before the write.
-    Choose ``buckets`` so that one bucket of the largest table fits a task. An
+    Choose ``buckets`` so that one bucket of the largest table fits a task, as
+    ``buckets_for`` does. An
     order that alone holds more than that belongs to ``consolidate``, which
     salts it.
     """

@@ -54,7 +54,8 @@ def consolidate_order_first(spark, sf_dir):
 def consolidate_bucketed(spark, sf_dir):
     """The same from silver tables that are stored by order."""
     prefix = f"by_order_{uuid.uuid4().hex}"
-    bucketed.store_by_order(spark, domain_tables(spark, sf_dir), work_path(spark, "by-order"), prefix, buckets=8)
+    tables = domain_tables(spark, sf_dir)
+    bucketed.store_by_order(spark, tables, work_path(spark, "by-order"), prefix, bucketed.buckets_for(tables))
     wide = bucketed.consolidate_stored(bucketed.read_by_order(spark, prefix))
     bucketed.forget(spark, prefix)
     return wide

@@ -78,6 +78,32 @@ def test_stored_tables_join_without_an_exchange_on_the_order(spark, tmp_path, ca
     assert wide.count() == plain.count()  # the files stay
 
 
+def test_buckets_grow_with_the_rows(spark, monkeypatch):
+    orders = spark.range(30).select(F.col("id").alias("order_id"))
+    items = spark.range(95).select((F.col("id") % 30).alias("order_id"))
+    tables = {"orders": orders, "payments": orders, "items": items, "reviews": orders.limit(0)}
+    assert bucketed.buckets_for(tables) == 8
+    monkeypatch.setattr(bucketed, "BUCKET_ROWS", 10)
+    assert bucketed.buckets_for(tables) == 10
+    assert bucketed.buckets_for(tables | {"items": items.unionByName(items)}) == 19
+
+
+def test_the_stored_consolidation_has_as_many_tasks_as_its_rows_need(spark, monkeypatch):
+    from lakestrata.workload.registry import load_all
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    monkeypatch.setattr(bucketed, "BUCKET_ROWS", 500)
+    try:
+        queries = load_all()
+        wide, plain = (queries[f"consolidate_{name}"].run(spark, SF) for name in ("bucketed", "order_first"))
+        lines = domain_tables(spark, SF, "items")["items"].count()
+        assert wide.rdd.getNumPartitions() >= lines / 500 > 8
+        assert wide.exceptAll(plain).count() == 0 == plain.exceptAll(wide).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 @pytest.fixture(scope="module")
 def audited(spark):
     rng = random.Random(3)
