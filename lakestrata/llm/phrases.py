@@ -29,10 +29,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakestrata.llm.common import Batches, cut_lineage, mix64, pylist, text_of
+from lakestrata.llm.common import Batches, cut_lineage, mix64, text_of
 from lakestrata.operators.dedupe import with_sequence
 from lakestrata.operators.joins import broadcast_if_small
 
@@ -43,6 +44,7 @@ TOP = 2000
 SCALE = 1_000_000
 # Symbols that one task counts together before it hands the counts on.
 GROUP = 3_000_000
+LONG_WORD = 16
 BITMAP_BITS = 1 << 27
 # Rows of a batch that a task hands on.
 ROWS = 50_000
@@ -113,32 +115,39 @@ def dictionary(docs: DataFrame, lang: Column, *, every: int = EVERY) -> DataFram
     return source.mapInArrow(_parse(every), _CHUNKS).groupBy("lang", "chunk", "words").agg(F.sum("times").alias("times"))
 
 
-def _groups(batches: Batches, most: int) -> Iterator[tuple[str, list[bytes], np.ndarray, np.ndarray, np.ndarray]]:
+def _groups(batches: Batches, most: int) -> Iterator[tuple[str, pa.Array, np.ndarray, np.ndarray, np.ndarray]]:
     """Chunks of one language at a time: names of the symbols, the symbols'
     numbers, the frequency of each one's chunk, and whether it is among the
-    last two of its chunk. A group ends after ``most`` symbols."""
-    kept: dict[str, list] = {}
-
-    def done(lang: str):
-        numbers, ids, times, last, _ = kept.pop(lang)
-        return lang, list(numbers), np.concatenate(ids), np.concatenate(times), np.concatenate(last)
-
+    last two of its chunk. Batches are read until they hold ``most`` symbols.
+    Number 0 is the end of a piece."""
+    kept: list[tuple[pa.Array, pa.ListArray, pa.Array]] = []
+    held = 0
     for batch in batches:
-        for lang, chunk, times in zip(*(pylist(batch, c) for c in ("lang", "chunk", "times"))):
-            state = kept.setdefault(lang, [_Numbers({END: 0}), [], [], [], 0])
-            ids = state[0].of(chunk.split(b" "))
-            state[1].append(ids)
-            state[2].append(np.full(len(ids), times, np.int64))
-            last = np.zeros(len(ids), bool)
-            last[-2:] = True
-            state[3].append(last)
-            state[4] += len(ids)
-            if state[4] >= most:
-                yield done(lang)
-        if sum(state[4] for state in kept.values()) >= most:
-            yield done(max(kept, key=lambda lang: kept[lang][4]))
-    for lang in list(kept):
-        yield done(lang)
+        lang, chunk, times = (batch.column(batch.schema.get_field_index(c)) for c in ("lang", "chunk", "times"))
+        split = pc.split_pattern(chunk, b" ")
+        kept.append((lang, split, times))
+        # Very long words count by their bytes.
+        held += max(len(split.flatten()), chunk.nbytes // LONG_WORD)
+        if held >= most:
+            yield from _numbered(kept)
+            kept, held = [], 0
+    if kept:
+        yield from _numbered(kept)
+
+
+def _numbered(kept: list) -> Iterator[tuple[str, pa.Array, np.ndarray, np.ndarray, np.ndarray]]:
+    lang, split, times = (pa.concat_arrays(list(arrays)) for arrays in zip(*kept))
+    for one in pc.unique(lang):
+        mask = pc.equal(lang, one)
+        chunks, each = split.filter(mask), times.filter(mask).to_numpy()
+        sizes = pc.list_value_length(chunks).to_numpy()
+        coded = pa.concat_arrays([pa.array([END], pa.binary()), chunks.flatten()]).dictionary_encode()
+        ids = coded.indices.to_numpy()[1:].astype(np.int64)
+        last = np.zeros(len(ids), bool)
+        ends = np.cumsum(sizes)
+        # Every chunk has two symbols at least.
+        last[ends - 1] = last[ends - 2] = True
+        yield one.as_py(), coded.dictionary, ids, np.repeat(each, sizes), last
 
 
 def _starts(ids: np.ndarray, last: np.ndarray, size: int) -> np.ndarray:
@@ -158,19 +167,22 @@ def _summed(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[first], np.add.reduceat(times, first) if len(first) else times
 
 
-def _rows(lang: str, size: int, phrases: list[bytes], times: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for at in range(0, len(phrases), ROWS):
-        part = phrases[at:at + ROWS]
+def _rows(lang: str, names: pa.Array, numbers: list[np.ndarray], times: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Phrases with their frequency; ``numbers`` holds those of the first
+    words, the second ones, and so on."""
+    for at in range(0, len(times), ROWS):
+        words = [names.take(pa.array(n[at:at + ROWS])) for n in numbers]
+        part = pc.binary_join_element_wise(*words, b" ") if len(words) > 1 else words[0]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(part), pa.string()), pa.array([size] * len(part), pa.int32()),
-             pa.array(part, pa.binary()), pa.array(times[at:at + ROWS], pa.int64())],
+            [pa.array([lang] * len(part), pa.string()), pa.array([len(words)] * len(part), pa.int32()),
+             part, pa.array(times[at:at + ROWS], pa.int64())],
             names=["lang", "size", "phrase", "times"],
         )
 
 
-def _hashes(lang: str, names: list[bytes]) -> np.ndarray:
+def _hashes(lang: str, names: pa.Array) -> np.ndarray:
     seed = zlib.crc32(lang.encode())
-    return np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in names), dtype=np.uint64, count=len(names))
+    return np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in names.to_pylist()), dtype=np.uint64, count=len(names))
 
 
 def _pair_hashes(hashes: np.ndarray) -> np.ndarray:
@@ -216,22 +228,20 @@ def _count_phrases(most: int, bitmap) -> Callable[[Batches], Batches]:
             n = len(names)
             at = _starts(ids, last, 1)
             words, total = _summed(ids[at], times[at])
-            yield from _rows(lang, 1, [names[i] for i in words.tolist()], total)
+            yield from _rows(lang, names, [words], total)
             place = _pair_hashes(_hashes(lang, names)[ids]) & np.uint64(BITMAP_BITS - 1)
             held = whole[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1) == 1
             at = _starts(ids, last, 2)
             at = at[held[at]]
             pairs, total = _summed(ids[at] * n + ids[at + 1], times[at])
-            first, second = (pairs // n).tolist(), (pairs % n).tolist()
-            yield from _rows(lang, 2, [names[i] + b" " + names[j] for i, j in zip(first, second)], total)
+            yield from _rows(lang, names, [pairs // n, pairs % n], total)
             at = _starts(ids, last, 3)
             at = at[held[at] & held[at + 1]]
             # Pairs numbered in their order, so that three words fit one integer.
             code = np.searchsorted(pairs, ids[at] * n + ids[at + 1])
             keys, total = _summed(code * n + ids[at + 2], times[at])
-            head, third = pairs[keys // n], (keys % n).tolist()
-            phrases = [b" ".join((names[i], names[j], names[k])) for i, j, k in zip((head // n).tolist(), (head % n).tolist(), third)]
-            yield from _rows(lang, 3, phrases, total)
+            head = pairs[keys // n]
+            yield from _rows(lang, names, [head // n, head % n, keys % n], total)
 
     return run
 

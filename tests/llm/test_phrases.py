@@ -6,6 +6,7 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -102,6 +103,20 @@ def test_small_groups_short_chunks_and_a_full_bitmap(spark, rows, monkeypatch):
     assert set(collocated(spark, rows, min_count=5, top=7, every=1000)) == want
 
 
+def test_groups_number_whole_batches_and_end_at_long_words():
+    chunks = [("en", b". a b a .", 3), ("de", b"a x", 2), ("en", b"b c", 5)]
+    batch = lambda rows: pa.RecordBatch.from_arrays(
+        [pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.int64())],
+        names=["lang", "chunk", "times"],
+    )
+    (en, names, ids, times, last), de = P._groups(iter([batch(chunks)]), 100)
+    assert (en, de[0]) == ("en", "de") and names[0].as_py() == P.END
+    assert [names[i].as_py() for i in ids.tolist()] == [b".", b"a", b"b", b"a", b".", b"b", b"c"]
+    assert times.tolist() == [3] * 5 + [5] * 2 and last.tolist() == [False] * 3 + [True] * 4
+    long = [batch([("en", b"w%d " % k + b"x" * 5_000, 1)]) for k in range(4)]
+    assert len(list(P._groups(iter(long), 300))) == 4
+
+
 def test_very_long_text_and_empty_table(spark):
     text = "one two three, " * 40_000
     assert set(collocated(spark, [(text, "en")])) == brute([(text, "en")])
