@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lakestrata.operators.dedupe import dedupe_first
+from lakestrata.settings import cut_lineage
 
 Order = Sequence[str | Column]
 
@@ -21,9 +22,15 @@ def _has_key(keys: Sequence[str]) -> Column:
     return reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
 
 
-def _keys_of(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Each key once: a target may hold a key many times."""
-    return df.where(_has_key(keys)).select(*keys).distinct()
+def _fresh_keys(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys of the batch that the target lacks, each once.
+
+    Only keys are moved, and each at most once per task: target and batch may
+    hold a key many times.
+    """
+    sides = batch.select(*keys, F.lit(0).alias("_known")).unionByName(target.select(*keys, F.lit(1).alias("_known")))
+    merged = sides.where(_has_key(keys)).groupBy(*keys).agg(F.max("_known").alias("_known"))
+    return merged.where("_known = 0").select(*keys)
 
 
 def _new_without_key(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -37,12 +44,22 @@ def _new_without_key(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -
 
 def new_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Order) -> DataFrame:
     """Batch rows whose key the target lacks, the first per key, and rows
-    without a key that it lacks."""
-    first = dedupe_first(batch.where(_has_key(keys)), keys, order)
-    added = first.join(_keys_of(target, keys), list(keys), "left_anti")
+    without a key that it lacks.
+
+    The keys are compared before rows are moved, and the new ones are written to
+    the shared folder: a batch that is known for the most part moves few rows.
+    """
+    fresh = cut_lineage(_fresh_keys(target, batch, keys), "fresh")
+    added = dedupe_first(batch.join(fresh, list(keys), "left_semi"), keys, order)
     return added.select(*batch.columns).unionByName(_new_without_key(target, batch, keys).select(*batch.columns))
 
 
+def first_rows(batch: DataFrame, keys: Sequence[str], order: Order) -> DataFrame:
+    """``new_rows`` where there is no target yet."""
+    rows = batch.where(~_has_key(keys)).dropDuplicates(batch.columns)
+    return dedupe_first(batch.where(_has_key(keys)), keys, order).unionByName(rows)
+
+
 def insert_if_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Order) -> DataFrame:
     """Target plus the new rows of the batch; existing keys win."""
     return target.unionByName(new_rows(target, batch, keys, order).select(*target.columns))

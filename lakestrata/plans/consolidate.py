@@ -90,9 +90,10 @@ def consolidate(
 
     def per_order(spine: DataFrame, parts: Tables) -> DataFrame:
         """Left join the parts on the order, those with hot keys last: a salted
-        join leaves its rows in another partitioning."""
+        join leaves its rows in another partitioning. Parts of one row per order
+        come first, so that they are joined before the items multiply the rows."""
         wide = spine
-        for name in sorted(parts, key=lambda name: bool(hot.get(name))):
+        for name in sorted(parts, key=lambda name: (bool(hot.get(name)), name in many)):
             wide = left_join(wide, parts[name], "order_id", null_keys=null_keys, hot=hot.get(name))
         columns = [c for df in (spine, *parts.values()) for c in df.columns if c != "order_id"]
         return wide.select("order_id", *columns)

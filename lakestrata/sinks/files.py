@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakestrata import schemas
-from lakestrata.operators.load import new_rows, upsert
+from lakestrata.operators.load import first_rows, new_rows, upsert
 from lakestrata.settings import work_path
 from lakestrata.sources.tables import MissingTableError, avro_available, layer_path
 
@@ -27,14 +27,18 @@ def write_avro(df: DataFrame, path: str, avro_schema: str) -> None:
 
 def write_layer(
     df: DataFrame, root: str, layer: str, table: str, partition_by: Sequence[str] = (), mode: str = "overwrite",
-    replace: str = "partitions",
+    replace: str = "partitions", values: DataFrame | None = None,
 ) -> str:
     """Write a layer table; with partitions only those in ``df`` are replaced.
 
     ``replace="table"`` is for a full rebuild: partitions that ``df`` no longer
     holds are removed too. The rebuild is written to the shared folder first
     and only copied over the table when it is whole, so one that fails leaves
-    the old table, and a copy that fails can be repeated from there.
+    the old table, and a copy that fails can be repeated from there. ``values``
+    are the partition values of ``df``, for a caller that can tell them with
+    less work than by building ``df``. Where they cover all partitions of the
+    old table, none is left to remove and there is no copy: Spark stages the
+    files beside the table and puts them in place when all are written.
 
     Rows are clustered by partition value first, in many tasks per value, so
     a large or hot partition is written in parallel and a task does not keep
@@ -43,17 +47,30 @@ def write_layer(
     if replace not in ("partitions", "table"):
         raise ValueError("replace is 'partitions' or 'table'")
     path = layer_path(root, layer, table)
+    in_place = replace == "partitions"
     if replace == "table" and mode == "overwrite" and _exists(df.sparkSession, path):
-        staged = work_path(df.sparkSession, "rebuild")
-        df.write.parquet(staged)
-        df = df.sparkSession.read.schema(df.schema).parquet(staged)
+        in_place = bool(partition_by) and values is not None and _covers(values, path, partition_by)
+        if not in_place:
+            staged = work_path(df.sparkSession, "rebuild")
+            df.write.parquet(staged)
+            df = df.sparkSession.read.schema(df.schema).parquet(staged)
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic" if replace == "partitions" else "static")
+    writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic" if in_place else "static")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return path
 
 
+def _covers(values: DataFrame, path: str, partition_by: Sequence[str]) -> bool:
+    """Whether ``values`` holds every partition of the table at ``path``; a table
+    of other partition columns is not covered."""
+    old = values.sparkSession.read.parquet(path)
+    if list(old.columns[-len(partition_by):]) != list(partition_by):
+        return False
+    names = [F.col(c).cast("string") for c in partition_by]
+    return old.select(*names).distinct().subtract(values.select(*names)).isEmpty()
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     """Whether there is anything at ``path``; other failures are raised."""
     try:
@@ -124,7 +141,8 @@ def append_new(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        target = batch.limit(0)
+        first_rows(batch, keys, order).write.mode("append").parquet(path)
+        return
     new_rows(target, batch, keys, order).select(*target.columns).write.mode("append").parquet(path)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lakestrata.operators import quality
 from lakestrata.plans import pipelines
 from lakestrata.plans.pipelines import Lake
-from lakestrata.settings import work_path
+from lakestrata.settings import cut_lineage, work_path
 from lakestrata.sinks import files
 from lakestrata.sources.domain import domain_tables, table
 from lakestrata.sources.tables import load_tables, read_csv, read_layer, split_rescued
@@ -41,7 +41,8 @@ def stream_pipeline_totals(spark, sf_dir):
     """Batch, rebuild, and the stream run twice: each order line is consumed once."""
     lake = Lake(work_path(spark, "stream"))
     tables = domain_tables(spark, sf_dir)
-    tables["orders"] = tables["orders"].join(tables["items"].select("order_id").distinct(), "order_id", "left_semi")
+    ordered = tables["orders"].join(tables["items"].select("order_id").distinct(), "order_id", "left_semi")
+    tables["orders"] = cut_lineage(ordered, "ordered")  # both rounds read it
     totals = dict.fromkeys(("consumed", "processed", "skipped", "invalid"), 0)
     for _ in range(2):
         pipelines.consolidate_and_mask(spark, tables, lake, DEMO_KEY, AS_OF, driving="orders", mode="preaggregate")

@@ -215,6 +215,29 @@ def test_a_rebuild_that_fails_leaves_the_old_table(spark, tmp_path):
     assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(1, "x"), (2, "y")]
 
 
+def test_a_rebuild_of_the_same_months_is_written_once(spark, tmp_path, monkeypatch):
+    staged = []
+    monkeypatch.setattr(files, "work_path", lambda spark, name: staged.append(name) or str(tmp_path / f"{name}{len(staged)}"))
+    schema = "v int, mes string"
+    write = lambda df, *months: files.write_layer(
+        df, str(tmp_path), "silver", "t", ["mes"], replace="table", values=spark.createDataFrame([(m,) for m in months], "mes string")
+    )
+    path = write(spark.createDataFrame([(1, "x"), (2, "y"), (3, None)], schema), "x", "y", None)
+    write(spark.createDataFrame([(4, "x"), (5, "y"), (6, None), (7, "z")], schema), "x", "y", None, "z")
+    rows = lambda: sorted(tuple(r) for r in spark.read.parquet(path).collect())
+    assert rows() == [(4, "x"), (5, "y"), (6, None), (7, "z")] and not staged
+    broken = spark.range(10).select(
+        F.when(F.col("id") == 9, F.raise_error(F.lit("half-way"))).otherwise(F.col("id").cast("int")).alias("v"),
+        F.element_at(F.array(*[F.lit(m) for m in ("x", "y", None, "z")]), (F.col("id") % 4 + 1).cast("int")).alias("mes"),
+    )
+    with pytest.raises(Exception, match="half-way"):
+        write(broken, "x", "y", None, "z")
+    assert rows() == [(4, "x"), (5, "y"), (6, None), (7, "z")] and not staged
+    # A month that is gone, the NULL one too, is removed by the staged rebuild.
+    write(spark.createDataFrame([(8, "x"), (9, "y")], schema), "x", "y")
+    assert rows() == [(8, "x"), (9, "y")] and staged == ["rebuild"]
+
+
 def test_batch_counts_losses_at_the_item_grain(spark, tmp_path):
     lake = Lake(str(tmp_path / "lake"))
     tables = domain_tables(spark, SF)

@@ -61,6 +61,16 @@ def test_order_joins_share_one_partitioning(spark, plan_of, no_broadcast):
     assert len(by_order) == 4  # spine, payments, items, reviews; the wide rows move once
 
 
+def test_one_row_per_order_is_joined_before_the_items(spark, plan_of, no_broadcast):
+    plan = plan_of(consolidate(domain_tables(spark, SF), driving="orders", mode="preaggregate"))
+    joins = [line for line in plan.splitlines() if "SortMergeJoin [order_id" in line]
+    # Plans print from the top: the last join on the order is the first one.
+    assert len(joins) == 3
+    below = plan[plan.index(joins[0]):plan.index(joins[1])]
+    assert "review_score" not in joins[0] and plan.index(joins[1]) < plan.index("avg(review_score") < plan.index("l_partkey")
+    assert "l_linenumber" not in below
+
+
 def test_filters_and_columns_reach_the_scan(spark, plan_of):
     queries = load_all()
     plan = plan_of(queries["between_ts"].run(spark, SF))
